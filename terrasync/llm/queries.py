@@ -16,7 +16,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(spans):
         return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
-    counts = [F.size(F.filter("secrets", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
+    def count(kind: str):
+        return F.size(F.filter("secrets", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in base]
     return found.select("doc_id", *counts, F.sha2(joined(F.filter("secrets", lambda x: x["kind"].isin(base))), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
 
 
