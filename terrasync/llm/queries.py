@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, quality, secret_scan, simhash
-from .common import table
+from . import chat, mixing, packing, quality, secret_scan, sharding, simhash, token_counts, topk
+from .common import shared_dir, table, written
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,10 +62,70 @@ FROM u GROUP BY conv_id
 """
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM p)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10
+"""
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after a load, a takedown of toxic documents, a move of poor ones to quarantine, and a repeated load."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    counts = written(token_counts.counted(docs), "token-counts")
+    toxic = labels.where("toxic = 1").select(F.col("doc_id").alias("id"))
+    poor = labels.where("quality = 0 and toxic = 0").select(F.col("doc_id").alias("id"))
+    taken, old = (counts.join(x, "id", "left_semi") for x in (toxic, poor))
+    rollup = token_counts.Rollup(spark, f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}")
+    rollup.commit("load", token_counts.inserts(counts))
+    rollup.commit("takedown", token_counts.deletes(taken))
+    rollup.commit("quarantine", token_counts.revisions(old, old.withColumn("source", F.lit("quarantine"))))
+    rollup.commit("load", token_counts.inserts(counts))
+    return rollup.totals()
+
+
+OP7_SQL = r"""
+WITH toxic AS (SELECT doc_id FROM labels WHERE toxic = 1), poor AS (SELECT doc_id FROM labels WHERE quality = 0 AND toxic = 0), d AS (
+  SELECT CASE WHEN doc_id IN (FROM poor) THEN 'quarantine' ELSE source END AS source, lang,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w, len(regexp_extract_all(text, '[0-9A-Za-z]+|[^0-9A-Za-z\x20\x09-\x0D]')) AS p
+  FROM documents WHERE doc_id NOT IN (FROM toxic)
+), c AS (SELECT source, lang, 'words-1' AS tokenizer, w AS n FROM d UNION ALL SELECT source, lang, 'pieces-1', p FROM d)
+SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(coalesce(n, 0)) AS BIGINT) AS n_tokens FROM c GROUP BY ALL
+"""
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(octet_length(encode(text)), 0) AS n_bytes, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS BIGINT) AS h FROM documents
+), x AS (SELECT d.*, t.depth, h >> (60 - t.depth) AS prefix FROM d, (SELECT CAST(range AS INTEGER) AS depth FROM range(61)) t
+), b AS (SELECT depth, prefix, sum(n_bytes) AS bytes, count(*) AS docs FROM x GROUP BY ALL
+), leaf AS (SELECT x.doc_id, min(depth) AS depth FROM x JOIN b USING (depth, prefix) WHERE bytes <= 1048576 OR docs = 1 OR depth = 60 GROUP BY x.doc_id)
+SELECT x.doc_id, CAST(x.n_bytes AS BIGINT) AS n_bytes, substr(lpad(bin(x.h), 60, '0'), 1, x.depth) AS shard, x.depth, CAST(0 AS BIGINT) AS page, CAST(b.bytes AS BIGINT) AS shard_bytes
+FROM leaf JOIN x USING (doc_id, depth) JOIN b USING (depth, prefix)
+"""
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -74,5 +136,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *quality.MEASURES, "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_chat_format, op5_source_mix, op9_simhash_near_dedup, op10_quality_rules)}
-ORACLES = {"op2_chat_format": OP2_SQL}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_secret_scan,
+        op2_chat_format,
+        op3_top_k,
+        op4_packing,
+        op5_source_mix,
+        op7_token_counts,
+        op8_sharding,
+        op9_simhash_near_dedup,
+        op10_quality_rules,
+    )
+}
+ORACLES = {"op2_chat_format": OP2_SQL, "op3_top_k": OP3_SQL, "op7_token_counts": OP7_SQL, "op8_sharding": OP8_SQL}
