@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, quality, secret_scan, sharding, simhash, token_counts, topk
+from . import chat, mixing, packing, quality, repeats, secret_scan, sharding, simhash, token_counts, topk
 from .common import shared_dir, table, written
 
 
@@ -86,6 +86,10 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after a load, a takedown of toxic documents, a move of poor ones to quarantine, and a repeated load."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -144,6 +148,7 @@ QUERIES = {
         op3_top_k,
         op4_packing,
         op5_source_mix,
+        op6_repeats,
         op7_token_counts,
         op8_sharding,
         op9_simhash_near_dedup,
