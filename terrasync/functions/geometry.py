@@ -33,25 +33,34 @@ def _coordinates(g: Column, kind: str) -> Column:
     return F.from_json(g, f"struct<coordinates:{kind}>")["coordinates"]
 
 
+def let(value: Column, f) -> Column:
+    """f of a value that stands in the expression once, however often f uses it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def kind_of(g: Column) -> Column:
     return F.get_json_object(g, "$.type")
 
 
-def positions(g: Column) -> Column:
-    """All positions of a geometry, array<array<double>>, those of a collection's members included; none: empty."""
+def _members(g: Column) -> Column:
+    return F.from_json(g, "struct<geometries:array<string>>")["geometries"]
+
+
+def _simple_positions(x: Column) -> Column:
+    t = kind_of(x)
+    found = (
+        F.when(t == "Point", F.array(_coordinates(x, _POINT)))
+        .when(t.isin("LineString", "MultiPoint"), _coordinates(x, _LINE))
+        .when(t.isin("Polygon", "MultiLineString"), F.flatten(_coordinates(x, _RINGS)))
+        .when(t == "MultiPolygon", F.flatten(F.flatten(_coordinates(x, _PARTS))))
+    )
+    return F.filter(F.coalesce(found, F.array().cast(_LINE)), lambda p: F.size(p) >= 2)
 
-    def simple(x: Column) -> Column:
-        t = kind_of(x)
-        found = (
-            F.when(t == "Point", F.array(_coordinates(x, _POINT)))
-            .when(t.isin("LineString", "MultiPoint"), _coordinates(x, _LINE))
-            .when(t.isin("Polygon", "MultiLineString"), F.flatten(_coordinates(x, _RINGS)))
-            .when(t == "MultiPolygon", F.flatten(F.flatten(_coordinates(x, _PARTS))))
-        )
-        return F.filter(F.coalesce(found, F.array().cast(_LINE)), lambda p: F.size(p) >= 2)
 
-    members = F.from_json(g, "struct<geometries:array<string>>")["geometries"]
-    return F.when(kind_of(g) == "GeometryCollection", F.flatten(F.transform(F.coalesce(members, F.array().cast("array<string>")), simple))).otherwise(simple(g))
+def positions(g: Column) -> Column:
+    """All positions of a geometry, array<array<double>>, those of a collection's members included; none: empty."""
+    none = F.array().cast("array<string>")
+    return let(g, lambda x: F.when(kind_of(x) == "GeometryCollection", F.flatten(F.transform(F.coalesce(_members(x), none), _simple_positions))).otherwise(_simple_positions(x)))
 
 
 def is_valid_text(g: Column) -> Column:
@@ -63,14 +72,11 @@ def has_positions(g: Column) -> Column:
     return is_valid_text(g) & (F.size(positions(g)) > 0)
 
 
-def force_2d(g: Column) -> Column:
-    """The geometry with two ordinates to a position, rounded to nine decimals."""
-
-    def flat(p: Column) -> Column:
-        return F.transform(F.slice(p, 1, 2), lambda v: F.round(v, 9))
+def _mapped(g: Column, move) -> Column:
+    """The geometry with every position replaced by move of it."""
 
     def line(x: Column) -> Column:
-        return F.transform(x, flat)
+        return F.transform(x, move)
 
     def rings(x: Column) -> Column:
         return F.transform(x, line)
@@ -82,41 +88,51 @@ def force_2d(g: Column) -> Column:
             return F.to_json(F.struct(t.alias("type"), f(_coordinates(x, kind)).alias("coordinates")))
 
         return (
-            F.when(t == "Point", written(_POINT, flat))
+            F.when(t == "Point", written(_POINT, move))
             .when(t.isin("LineString", "MultiPoint"), written(_LINE, line))
             .when(t.isin("Polygon", "MultiLineString"), written(_RINGS, rings))
             .when(t == "MultiPolygon", written(_PARTS, lambda c: F.transform(c, rings)))
         )
 
-    members = F.from_json(g, "struct<geometries:array<string>>")["geometries"]
-    collected = F.concat(F.lit('{"type":"GeometryCollection","geometries":['), F.array_join(F.transform(members, simple), ","), F.lit("]}"))
-    return F.when(kind_of(g) == "GeometryCollection", collected).otherwise(simple(g))
+    def whole(x: Column) -> Column:
+        collected = F.concat(F.lit('{"type":"GeometryCollection","geometries":['), F.array_join(F.transform(_members(x), simple), ","), F.lit("]}"))
+        return F.when(kind_of(x) == "GeometryCollection", collected).otherwise(simple(x))
+
+    return let(g, whole)
+
+
+def force_2d(g: Column) -> Column:
+    """The geometry with two ordinates to a position, rounded to nine decimals."""
+    return _mapped(g, lambda p: F.transform(F.slice(p, 1, 2), lambda v: F.round(v, 9)))
 
 
 def bounds(g: Column) -> Column:
     """struct<x0, y0, x1, y1>; null for a geometry without positions."""
-    p = positions(g)
-    xs, ys = F.transform(p, lambda q: q[0]), F.transform(p, lambda q: q[1])
-    box = F.struct(F.array_min(xs).alias("x0"), F.array_min(ys).alias("y0"), F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1"))
-    return F.when(F.size(p) > 0, box)
+
+    def box(p: Column) -> Column:
+        xs, ys = F.transform(p, lambda q: q[0]), F.transform(p, lambda q: q[1])
+        return F.when(F.size(p) > 0, F.struct(F.array_min(xs).alias("x0"), F.array_min(ys).alias("y0"), F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1")))
+
+    return let(positions(g), box)
 
 
 def envelope(g: Column) -> Column:
     """The bounding polygon; a point's is the point, an upright or level line's the line."""
-    b = bounds(g)
-    x0, y0, x1, y1 = b["x0"], b["y0"], b["x1"], b["y1"]
 
     def shape(kind: str, c: Column) -> Column:
         return F.to_json(F.struct(F.lit(kind).alias("type"), c.alias("coordinates")))
 
-    ring = F.array(F.array(*(F.array(x, y) for x, y in ((x0, y0), (x0, y1), (x1, y1), (x1, y0), (x0, y0)))))
-    level = (x0 == x1) | (y0 == y1)
-    return (
-        F.when(b.isNull(), None)
-        .when((x0 == x1) & (y0 == y1), shape("Point", F.array(x0, y0)))
-        .when(level, shape("LineString", F.array(F.array(x0, y0), F.array(x1, y1))))
-        .otherwise(shape("Polygon", ring))
-    )
+    def drawn(b: Column) -> Column:
+        x0, y0, x1, y1 = b["x0"], b["y0"], b["x1"], b["y1"]
+        ring = F.array(F.array(*(F.array(x, y) for x, y in ((x0, y0), (x0, y1), (x1, y1), (x1, y0), (x0, y0)))))
+        return (
+            F.when(b.isNull(), None)
+            .when((x0 == x1) & (y0 == y1), shape("Point", F.array(x0, y0)))
+            .when((x0 == x1) | (y0 == y1), shape("LineString", F.array(F.array(x0, y0), F.array(x1, y1))))
+            .otherwise(shape("Polygon", ring))
+        )
+
+    return let(bounds(g), drawn)
 
 
 def to_metres(lon: Column, lat: Column) -> tuple[Column, Column]:
@@ -141,38 +157,20 @@ def _between(source: int, target: int):
 def transform(g: Column, source: int, target: int) -> Column:
     """The geometry, in two dimensions, in another reference system."""
     convert = _between(source, target)
-    if convert is None:
-        return force_2d(g)
-
-    def moved(p: Column) -> Column:
-        return F.array(*convert(p[0], p[1]))
-
-    def line(x: Column) -> Column:
-        return F.transform(x, moved)
-
-    def rings(x: Column) -> Column:
-        return F.transform(x, line)
-
-    t = kind_of(g)
-
-    def written(kind: str, f) -> Column:
-        return F.to_json(F.struct(t.alias("type"), f(_coordinates(g, kind)).alias("coordinates")))
-
-    return (
-        F.when(t == "Point", written(_POINT, moved))
-        .when(t.isin("LineString", "MultiPoint"), written(_LINE, line))
-        .when(t.isin("Polygon", "MultiLineString"), written(_RINGS, rings))
-        .when(t == "MultiPolygon", written(_PARTS, lambda c: F.transform(c, rings)))
-    )
+    return force_2d(g) if convert is None else _mapped(g, lambda p: F.array(*convert(p[0], p[1])))
 
 
 def box_in_metres(g: Column, srid: int) -> Column:
     """The bounds in the web map's metres: struct<x0, y0, x1, y1>."""
-    b, convert = bounds(g), _between(srid, METRES)
+    convert = _between(srid, METRES)
     if convert is None:
-        return b
-    (x0, y0), (x1, y1) = convert(b["x0"], b["y0"]), convert(b["x1"], b["y1"])
-    return F.when(b.isNotNull(), F.struct(x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1")))
+        return bounds(g)
+
+    def moved(b: Column) -> Column:
+        (x0, y0), (x1, y1) = convert(b["x0"], b["y0"]), convert(b["x1"], b["y1"])
+        return F.when(b.isNotNull(), F.struct(x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1")))
+
+    return let(bounds(g), moved)
 
 
 # ---------------------------------------------------------------- polygons, on Arrow batches
