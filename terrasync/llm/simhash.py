@@ -61,11 +61,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def block_masks(n: int, bits: int = BITS, per_key: int = PER_KEY) -> list[int]:
     """Masks of the block choices, for n fingerprints: the fewest blocks whose keys are long enough for n.
 
-    With r blocks a choice has r - bits of them. More blocks mean longer keys and more choices, so the
+    At least two blocks must agree, so that keys are long and rows per fingerprint alike up to about
+    per_key * 2**21 fingerprints. With r blocks a choice has r - bits of them. More blocks mean longer keys and more choices, so the
     work of a fingerprint grows slowly while keys stay short of members.
     """
-    r = bits + 1
-    while r < 2 * bits + 2 and n > per_key << (64 * (r - bits) // r):
+    r = bits + 2
+    while r < 2 * bits and n > per_key << (64 * (r - bits) // r):
         r += 1
     edges = [64 * i // r for i in range(r + 1)]
     blocks = [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:], strict=False)]
