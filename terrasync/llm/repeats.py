@@ -248,7 +248,7 @@ def _windows(docs: DataFrame, left: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 50_000], strict=True), schema.types, strict=True)], schema=schema)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, seen = None, set()
+        now, seen, before = None, set(), None
         for b in batches:
             got: list[tuple[int, int, int]] = []
             columns = (b.column(i).to_pylist() for i in range(6))
@@ -257,12 +257,15 @@ def _windows(docs: DataFrame, left: DataFrame, length: int) -> DataFrame:
                     got.append((doc, first, -last))
                     continue
                 if (gram, rank) != now:
-                    now, seen = (gram, rank), set()
+                    now, seen, before = (gram, rank), set(), None
+                if (doc, first) == before:  # a document that is listed twice
+                    continue
                 if data is None:
-                    if seen and (doc, first) not in seen:
+                    if before is not None:
                         got.append((doc, first, first + length))
-                    seen.add((doc, first)) if not seen else None
+                    before = doc, first
                     continue
+                before = doc, first
                 for j in range(last - first + 1):
                     if (w := data[j : j + length]) in seen:
                         got.append((doc, first + j, first + j + length))
