@@ -90,6 +90,22 @@ def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+OP6_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (SELECT doc_id, unnest(range(len(s))) AS i, unnest(s) AS s FROM (SELECT doc_id, list_transform(range(len(h) // 2 - 99), lambda i: md5(substr(h, CAST(2 * i + 1 AS BIGINT), 200))) AS s FROM d)
+), again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS n FROM w) WHERE n > 1
+), part AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new FROM again
+), run AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM part) GROUP BY doc_id, g
+), gap AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS k0, a AS k1 FROM run
+  UNION ALL SELECT d.doc_id, NULL, NULL, coalesce(m.b, 0), len(d.h) // 2 FROM d LEFT JOIN (SELECT doc_id, max(b) AS b FROM run GROUP BY 1) m USING (doc_id)
+)
+SELECT doc_id, CAST(any_value(len(h) // 2) AS BIGINT) AS n_bytes, CAST(coalesce(sum(b - a), 0) AS BIGINT) AS n_removed, count(a) AS n_spans,
+       sha256(unhex(string_agg(substr(h, CAST(2 * k0 + 1 AS BIGINT), CAST(2 * (k1 - k0) AS BIGINT)), '' ORDER BY k0))) AS kept_sha256
+FROM gap JOIN d USING (doc_id) GROUP BY doc_id
+"""
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after a load, a takedown of toxic documents, a move of poor ones to quarantine, and a repeated load."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -140,6 +156,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *quality.MEASURES, "base_failed", "kept")
 
 
+OP10_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents
+), g AS (SELECT doc_id, i, array_to_string(w[i : i + 4], ' ') AS s FROM d, unnest(range(1, len(w) - 3)) AS u(i)
+), twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, s) AS n FROM g) WHERE n > 1
+), again AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM twice, range(5) AS v(j) GROUP BY 1
+), m AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines
+  FROM d LEFT JOIN again USING (doc_id)
+), f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT 2 * n_symbols > n_words AND word_chars BETWEEN 2 * n_words AND 20 * n_words AND NOT 2 * n_dup_lines > n_lines AS kept
+FROM f
+"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -155,4 +189,4 @@ QUERIES = {
         op10_quality_rules,
     )
 }
-ORACLES = {"op2_chat_format": OP2_SQL, "op3_top_k": OP3_SQL, "op7_token_counts": OP7_SQL, "op8_sharding": OP8_SQL}
+ORACLES = {"op2_chat_format": OP2_SQL, "op3_top_k": OP3_SQL, "op6_repeats": OP6_SQL, "op7_token_counts": OP7_SQL, "op8_sharding": OP8_SQL, "op10_quality_rules": OP10_SQL}
