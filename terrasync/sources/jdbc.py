@@ -58,3 +58,28 @@ def check_connections(spark: SparkSession, stores: dict[str, dict], timeout: int
             failed.append(f"{name}: {str(e).splitlines()[0]}")
     if failed:
         raise ConnectionError("; ".join(failed))
+
+
+def execute(spark: SparkSession, url: str, statements: list[str], properties: dict | None = None) -> None:
+    """Runs statements over one connection of the driver, all or none."""
+    props = spark._jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        props.setProperty(k, str(v))
+    connection = spark._jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        connection.setAutoCommit(False)
+        for s in statements:
+            made = connection.createStatement()
+            made.execute(s)
+            made.close()
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
+
+
+def stage_rows(df: DataFrame, url: str, table: str, properties: dict | None = None, batch_size: int = 1000, connections: int = 8) -> None:
+    """Writes rows to a staging table in batches, over so many connections at most."""
+    df.coalesce(connections).write.mode("overwrite").option("batchsize", batch_size).jdbc(url, table, properties=properties or {})
