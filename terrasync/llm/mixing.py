@@ -156,14 +156,13 @@ def take_mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     their copies in any order among themselves.
     """
     decided = mix_documents(docs, id_col, source_col, text_col, **how).where("copies > 0")
-    decided = decided.groupBy("doc_id").agg(F.collect_list(F.struct("source", "size", "copies")).alias("found"))
-    decided = written(decided, "mix-decided").withColumnsRenamed({"doc_id": "__id", "found": "__found"})
+    decided = decided.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("source", "size", "copies"))).alias("__found"))
+    nothing = F.lit(-(1 << 63))  # stands for a null id, so that rows meet and are numbered by one plain key
+    decided = written(decided.select(F.coalesce("doc_id", nothing).alias("__key"), "__found"), "mix-decided")
     names = docs.columns
-    rows = docs.join(decided, docs[id_col].eqNullSafe(F.col("__id")))
-    size = word_count(docs[text_col])
-    mine = F.filter("__found", lambda x: x["source"].eqNullSafe(docs[source_col]) & (x["size"] == size))
-    rows = rows.withColumn("__mine", mine)
-    # Of equal rows each takes its own entry; a doc_id that stands once, the usual case, has one entry.
-    nth = F.when(F.size("__mine") > 1, F.row_number().over(W.partitionBy(F.col("__id"), docs[source_col], size).orderBy(F.lit(0)))).otherwise(1)
-    rows = rows.withColumn("__n", nth).withColumn("__copies", F.get("__mine", F.col("__n") - 1)["copies"])
+    rows = docs.withColumns({"__key": F.coalesce(docs[id_col].cast("long"), nothing), "__size": word_count(docs[text_col])}).join(decided, "__key")
+    rows = rows.withColumn("__mine", F.filter("__found", lambda x: x["source"].eqNullSafe(docs[source_col]) & (x["size"] == F.col("__size"))))
+    # Rows of one id, source and size take one entry each. They are numbered where the join has brought them.
+    nth = F.row_number().over(W.partitionBy("__key", docs[source_col], "__size").orderBy(F.lit(0)))
+    rows = rows.where(F.size("__mine") > 0).withColumn("__copies", F.get("__mine", nth - 1)["copies"])
     return rows.where("__copies > 0").withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(*names)
