@@ -29,74 +29,76 @@ def check_srid(srid: int | None) -> int:
     return srid
 
 
-def _coordinates(g: Column, kind: str) -> Column:
-    return F.from_json(g, f"struct<coordinates:{kind}>")["coordinates"]
-
-
 def let(value: Column, f) -> Column:
     """f of a value that stands in the expression once, however often f uses it."""
     return F.transform(F.array(value), f)[0]
 
 
-def kind_of(g: Column) -> Column:
-    return F.get_json_object(g, "$.type")
+def _parts(g: Column) -> Column:
+    """Type, coordinates as JSON text, and members as JSON texts, from one parse."""
+    return F.from_json(g, "struct<type:string,coordinates:string,geometries:array<string>>")
+
+
+def _by_kind(g: Column, point, line, rings, parts) -> Column:
+    """What the function for its nesting of coordinates gives for a geometry that is no collection; else null."""
 
+    def chosen(x: Column) -> Column:
+        t, c = x["type"], x["coordinates"]
+        return (
+            F.when(t == "Point", point(t, F.from_json(c, _POINT)))
+            .when(t.isin("LineString", "MultiPoint"), line(t, F.from_json(c, _LINE)))
+            .when(t.isin("Polygon", "MultiLineString"), rings(t, F.from_json(c, _RINGS)))
+            .when(t == "MultiPolygon", parts(t, F.from_json(c, _PARTS)))
+        )
 
-def _members(g: Column) -> Column:
-    return F.from_json(g, "struct<geometries:array<string>>")["geometries"]
+    return let(_parts(g), chosen)
 
 
-def _simple_positions(x: Column) -> Column:
-    t = kind_of(x)
-    found = (
-        F.when(t == "Point", F.array(_coordinates(x, _POINT)))
-        .when(t.isin("LineString", "MultiPoint"), _coordinates(x, _LINE))
-        .when(t.isin("Polygon", "MultiLineString"), F.flatten(_coordinates(x, _RINGS)))
-        .when(t == "MultiPolygon", F.flatten(F.flatten(_coordinates(x, _PARTS))))
-    )
+def _simple_positions(g: Column) -> Column:
+    found = _by_kind(g, lambda t, c: F.array(c), lambda t, c: c, lambda t, c: F.flatten(c), lambda t, c: F.flatten(F.flatten(c)))
     return F.filter(F.coalesce(found, F.array().cast(_LINE)), lambda p: F.size(p) >= 2)
 
 
+def _is_collection(g: Column) -> Column:
+    return g.rlike(r'^[^\[]*"GeometryCollection"')
+
+
 def positions(g: Column) -> Column:
     """All positions of a geometry, array<array<double>>, those of a collection's members included; none: empty."""
-    none = F.array().cast("array<string>")
-    return let(g, lambda x: F.when(kind_of(x) == "GeometryCollection", F.flatten(F.transform(F.coalesce(_members(x), none), _simple_positions))).otherwise(_simple_positions(x)))
 
+    def all_of(x: Column) -> Column:
+        members = F.coalesce(_parts(x)["geometries"], F.array().cast("array<string>"))
+        return F.when(_is_collection(x), F.flatten(F.transform(members, _simple_positions))).otherwise(_simple_positions(x))
 
-def is_valid_text(g: Column) -> Column:
-    return g.isNotNull() & (F.trim(g) != "")
+    return let(g, all_of)
 
 
 def has_positions(g: Column) -> Column:
-    """Neither null nor blank nor empty. Repair never empties a geometry, so validity needn't be tested."""
-    return is_valid_text(g) & (F.size(positions(g)) > 0)
+    """Neither null nor blank nor empty: some coordinates begin with a number, however deep.
+
+    Repair never empties a geometry, so validity needn't be tested; nor need the text be parsed.
+    """
+    return g.isNotNull() & g.rlike(r'"coordinates"\s*:\s*\[[\[\],\s]*-?[0-9]')
 
 
 def _mapped(g: Column, move) -> Column:
     """The geometry with every position replaced by move of it."""
 
-    def line(x: Column) -> Column:
-        return F.transform(x, move)
+    def line(c: Column) -> Column:
+        return F.transform(c, move)
 
-    def rings(x: Column) -> Column:
-        return F.transform(x, line)
-
-    def simple(x: Column) -> Column:
-        t = kind_of(x)
+    def rings(c: Column) -> Column:
+        return F.transform(c, line)
 
-        def written(kind: str, f) -> Column:
-            return F.to_json(F.struct(t.alias("type"), f(_coordinates(x, kind)).alias("coordinates")))
+    def written(f):
+        return lambda t, c: F.to_json(F.struct(t.alias("type"), f(c).alias("coordinates")))
 
-        return (
-            F.when(t == "Point", written(_POINT, move))
-            .when(t.isin("LineString", "MultiPoint"), written(_LINE, line))
-            .when(t.isin("Polygon", "MultiLineString"), written(_RINGS, rings))
-            .when(t == "MultiPolygon", written(_PARTS, lambda c: F.transform(c, rings)))
-        )
+    def simple(x: Column) -> Column:
+        return _by_kind(x, written(move), written(line), written(rings), written(lambda c: F.transform(c, rings)))
 
     def whole(x: Column) -> Column:
-        collected = F.concat(F.lit('{"type":"GeometryCollection","geometries":['), F.array_join(F.transform(_members(x), simple), ","), F.lit("]}"))
-        return F.when(kind_of(x) == "GeometryCollection", collected).otherwise(simple(x))
+        collected = F.concat(F.lit('{"type":"GeometryCollection","geometries":['), F.array_join(F.transform(_parts(x)["geometries"], simple), ","), F.lit("]}"))
+        return F.when(_is_collection(x), collected).otherwise(simple(x))
 
     return let(g, whole)
 

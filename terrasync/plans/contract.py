@@ -68,11 +68,12 @@ class Contract:
 
     def selected(self, mark) -> Column:
         """Rows to copy: with a geometry, meeting the adopter's condition, changed since the mark."""
-        return where_all(geo.has_positions(F.col(self.geometry)), adopter(self.where), change_filter(self.created, self.updated, mark))
+        # The cheapest condition first; the geometry's text is looked at only where the others hold.
+        return where_all(change_filter(self.created, self.updated, mark), adopter(self.where), geo.has_positions(F.col(self.geometry)))
 
     def present(self) -> Column:
         """Rows that should be in the target, changed or not."""
-        return where_all(geo.has_positions(F.col(self.geometry)), adopter(self.where))
+        return where_all(adopter(self.where), geo.has_positions(F.col(self.geometry)))
 
     def last_event(self) -> Column:
         return last_event(self.created, self.updated)
