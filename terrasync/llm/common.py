@@ -21,13 +21,23 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/terrasync-{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes the tables this application has written for itself; results that still read them can't be used after."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back, which cuts the lineage there.
 
     A lost executor costs nothing behind this point, and the table's real size is known to the planner.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

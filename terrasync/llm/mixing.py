@@ -128,7 +128,7 @@ def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     Equal rows are settled together and share their copies out evenly. Rows without words take nothing.
     A null source is a source; a null doc_id is a document; an empty table gives an empty result.
     """
-    grouped = written(rows.groupBy("doc_id", "source", "size").agg(F.count("*").alias("m")).withColumn("id", F.monotonically_increasing_id()), "mix-rows")
+    grouped = written(rows.groupBy("doc_id", "source", "size").agg(F.count("*").alias("m")), "mix-rows")
     targets = written(source_targets(grouped.select("source", (F.col("size") * F.col("m")).alias("size"))), "mix-targets").withColumnRenamed("source", "s")
     share_of = F.when(F.col("source_size") > 0, F.least(F.lit(float(most)), F.col("target") / F.col("source_size"))).otherwise(0.0)
     joined = grouped.join(targets.drop("n_rows"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
