@@ -8,9 +8,8 @@ from pyspark.sql import Window as W
 
 
 def latest(rows: DataFrame, key: str, *newest_first: Column) -> DataFrame:
-    """One row for each key, the newest; ties go to the row whose text is largest, so reruns agree."""
-    tie = F.to_json(F.struct(*rows.columns)).desc_nulls_last()
-    order = W.partitionBy(key).orderBy(*(c.desc_nulls_last() for c in newest_first), tie)
+    """One row for each key, the newest; ties are settled by a hash of the whole row, so reruns agree."""
+    order = W.partitionBy(key).orderBy(*(c.desc_nulls_last() for c in newest_first), F.xxhash64(*rows.columns))
     return rows.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
 
 

@@ -191,6 +191,21 @@ class Kpis:
         return self
 
 
+@dataclass
+class Parallel:
+    """What a job's parallelization block means here: JDBC ranges, rows per fetch and rows per batch written."""
+
+    enabled: bool = True
+    thread_pool_size: int = 1
+    chunk_size: int = 100
+    page_size: int = 1000
+    queue_capacity: int = 100
+
+    @property
+    def ranges(self) -> int:
+        return max(1, self.thread_pool_size) if self.enabled else 1
+
+
 #: Jobs and whether they run where nothing is said.
 JOBS = {
     "admin-unit-level-1-geoserver-job": True,
@@ -211,6 +226,10 @@ class Settings:
     jobs: dict[str, bool] = field(default_factory=lambda: dict(JOBS))
     source_timezone: str | None = None
     stores: dict[str, dict] = field(default_factory=dict)
+    parallel: dict[str, Parallel] = field(default_factory=dict)
+
+    def parallel_for(self, job: str) -> Parallel:
+        return self.parallel.get(job) or Parallel()
 
     def zone(self, own: str | None) -> str | None:
         return resolve_zone(own, self.source_timezone)
@@ -230,6 +249,7 @@ def load(tree: Mapping) -> Settings:
         jobs=jobs,
         source_timezone=batch.get("source-timezone"),
         stores=dict(((tree.get("spring") or {}).get("datasource")) or {}),
+        parallel={k: _from(Parallel, v or {}) for k, v in ((tree.get("parallelization") or {}).get("jobs") or {}).items()},
     )
     check_layers(found.layers)
     found.zone(None)

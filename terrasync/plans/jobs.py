@@ -50,12 +50,14 @@ Source = Callable[[str], DataFrame]
 class Engine:
     """Runs jobs of one configuration from a source into one warehouse.
 
-    source gives the DataFrame of a source table by its name; transform is a hook on every delta.
+    source gives the DataFrame of a source table by its name; transform is a hook on every delta. sink, if
+    given, gets (contract, source schema, delta, removed rows or None) before a run is published, to apply
+    them to a database as well; where it fails, the run isn't published and the next one does it again.
     """
 
-    def __init__(self, spark: SparkSession, settings: Settings, source: Source, warehouse: Warehouse, clock: Callable[[], datetime] = lambda: datetime.now(UTC), transform: Callable[[DataFrame], DataFrame] | None = None):
+    def __init__(self, spark: SparkSession, settings: Settings, source: Source, warehouse: Warehouse, clock: Callable[[], datetime] = lambda: datetime.now(UTC), transform: Callable[[DataFrame], DataFrame] | None = None, sink: Callable | None = None):
         pin_utc(spark)
-        self.spark, self.settings, self.source, self.warehouse, self.clock, self.transform = spark, settings, source, warehouse, clock, transform
+        self.spark, self.settings, self.source, self.warehouse, self.clock, self.transform, self.sink = spark, settings, source, warehouse, clock, transform, sink
 
     # ---- one table
 
@@ -125,6 +127,8 @@ class Engine:
             known = states.advance(known, contract.sync_key, str(contract.source), result.watermark, int(now.timestamp() * 1000), now)
         if checked or old_geo is None:
             known = states.mark_orphan_check(known, contract.sync_key, str(contract.source), now)
+        if self.sink is not None and (result.has_changes or result.deleted):
+            self.sink(contract, source.schema, delta, gone)
         if checked or tables:
             tables[states.TABLE] = self.warehouse.stage(states.TABLE, known.coalesce(1))
             self.warehouse.publish(tables)

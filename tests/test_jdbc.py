@@ -58,3 +58,41 @@ def test_statements_of_areas():
     columns = ddl.table_columns(area_contract(area, schema), schema, business=True)
     assert columns == {"id": "varchar(255)", "created_at": "timestamptz", "territory_level_3_id": "varchar(64)", "area": "numeric", "updated_at": "timestamptz", "boundary_box": "geometry(Polygon, 4326)", "centroid_coordinates": "geometry(Point, 4326)"}
     assert "IN (SELECT nid FROM gone)" in ddl.delete_listed(area_contract(area, schema), "gone")
+
+
+def settings():
+    from terrasync.plans.config import load
+
+    return load(
+        {
+            "batch": {"layers": [{"source-table": "a.rivers", "primary-key": "pk", "area-of-interest-id-column": "aoi", "creation-date-column": "made", "geometry-column": "shape", "srid": 4674}]},
+            "parallelization": {"jobs": {"layer-jobs": {"thread-pool-size": 12, "page-size": 500}}},
+            "spring": {"datasource": {"geo-target": {"url": "jdbc:postgresql://geo/db", "username": "u"}, "target": {"url": "jdbc:postgresql://t/db"}}},
+        }
+    )
+
+
+def test_source_query_and_ranges():
+    from terrasync.functions.ids import TableName
+    from terrasync.sources import postgis
+
+    s = settings()
+    assert s.parallel_for("layer-jobs").ranges == 12 and s.parallel_for("layer-jobs").page_size == 500 and s.parallel_for("other").ranges == 1
+    assert postgis.tables_of(s) == {"a.rivers": ("shape", "pk", 4674, "layer-jobs")}
+    text = postgis.geometry_as_json(TableName("a", "rivers"), ["pk", "shape", "name"], "shape", 4674)
+    assert text.startswith('(SELECT "pk", "name", ST_AsGeoJSON(ST_Force2D(ST_Transform("shape", 4674)))::text AS "shape" FROM "a"."rivers"') and "ST_IsEmpty" in text
+
+
+def test_sink_stages_then_moves(spark):
+    from terrasync.sources import postgis
+
+    done = []
+    s = settings()
+    schema = T.StructType.fromDDL("pk bigint, aoi bigint, made timestamp, shape string")
+    contract = layer_contract(s.layers[0], schema, s)
+    sink = postgis.writer(spark, s, execute=lambda _, url, statements, props: done.append((url, statements)), stage=lambda rows, url, table, props: done.append((url, table, rows.columns)))
+    delta = spark.createDataFrame([], "id string, area_of_interest_id string, created_at timestamp, geom string")
+    sink(contract, schema, delta, spark.createDataFrame([("1",)], "nid string"))
+    assert {d[0] for d in done} == {"jdbc:postgresql://geo/db"}  # a layer has no business table
+    assert done[1][2] == ["id", "area_of_interest_id", "created_at", "geom"] and done[2][2] == ["nid"]
+    assert [x.split()[0] for x in done[3][1]] == ["INSERT", "DROP", "DELETE", "DROP"]

@@ -126,6 +126,21 @@ def test_failed_job_changes_nothing(world):
     assert world.warehouse._last()[0] == number
 
 
+def test_failing_sink_leaves_the_old_state(spark, tmp_path):
+    w = World(spark, tmp_path)
+    seen = []
+
+    def sink(contract, schema, delta, gone):
+        seen.append((contract.sync_key, delta.count(), gone))
+        raise OSError("no connection")
+
+    w.engine.sink = sink
+    assert w.engine.run_admin_unit(1).status == "FAILED" and seen == [("admin_unit_level_1", 1, None)]
+    assert w.warehouse.read("geo/dsp.territory_level_1") is None and w.warehouse.read(states.TABLE) is None
+    w.engine.sink = None
+    assert w.engine.run_admin_unit(1).status == "COMPLETED" and set(w.rows("geo/dsp.territory_level_1")) == {"1"}
+
+
 def test_two_writers(spark, tmp_path):
     a, b = Warehouse(spark, f"file://{tmp_path}"), Warehouse(spark, f"file://{tmp_path}")
     a.put("x", spark.range(2))
