@@ -22,8 +22,9 @@ from pyspark.sql import Window as W
 from .common import written
 
 K, SCALE, EVERY = 10, 1024, 100
-#: Length buckets at most; rows of a bucket's block, of a query block, and of a slice inside a block.
-BUCKETS, BLOCK, QUERY_BLOCK, SLICE = 64, 16384, 2048, 2048
+#: Length buckets at most; rows of a bucket's block and of a query block (some 30 MB of 64 dimensions, which
+#: bounds a task's memory; larger ones copy each row to fewer blocks); candidates and queries multiplied at once.
+BUCKETS, BLOCK, QUERY_BLOCK, SLICE, AT_ONCE = 64, 65536, 65536, 2048, 1024
 #: Local cosine from which coordinate pruning is tried, and the share of a slice it must leave at most.
 COSINE, LEAVES = 0.6, 0.25
 _LONG = (1 << 63) - 1
@@ -144,8 +145,10 @@ def _meet(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             c, q = (_matrix(t.column("v"), width) for t in (cand, quer))
             cn, qn = (t.column("norm").to_numpy() for t in (cand, quer))
             floor = quer.column("floor").to_numpy()
-            for i, best in enumerate(search_block(qid, q, qn, floor, cid, c, cn, k)):
-                got += [(int(qid[i]), vec, score) for score, vec in best]
+            for a in range(0, len(qid), AT_ONCE):
+                part = slice(a, a + AT_ONCE)
+                for i, best in zip(qid[part], search_block(qid[part], q[part], qn[part], floor[part], cid, c, cn, k), strict=True):
+                    got += [(int(i), vec, score) for score, vec in best]
         elif cand.num_rows and quer.num_rows:
             cid = sorted(cand.column("id").to_pylist())
             got = [(i, j, 0) for i in quer.column("id").to_pylist() for j in [x for x in cid[: k + 1] if x != i][:k]]

@@ -33,6 +33,7 @@ def table(spark, vectors):
 def test_spark_equals_brute_force(spark, monkeypatch, n):
     monkeypatch.setattr(topk, "BLOCK", 700)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 20)
+    monkeypatch.setattr(topk, "AT_ONCE", 7)
     rng = np.random.default_rng(1)
     x = (rng.normal(size=(n, 8)) * rng.uniform(0.1, 3, (n, 1))).astype(np.float32)
     x[n // 2 :: 3] = x[0]
