@@ -71,6 +71,10 @@ class Contract:
         # The cheapest condition first; the geometry's text is looked at only where the others hold.
         return where_all(change_filter(self.created, self.updated, mark), adopter(self.where), geo.has_positions(F.col(self.geometry)))
 
+    def changed(self, mark) -> Column:
+        """selected, with or without a geometry."""
+        return where_all(change_filter(self.created, self.updated, mark), adopter(self.where))
+
     def present(self) -> Column:
         """Rows that should be in the target, changed or not."""
         return where_all(adopter(self.where), geo.has_positions(F.col(self.geometry)))

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
@@ -35,6 +35,7 @@ class Result:
     job: str
     status: str = "COMPLETED"
     read: int = 0
+    skipped: int = 0  # changed rows without a geometry
     upserted: int = 0
     deleted: int = 0
     has_changes: bool = False
@@ -77,12 +78,14 @@ class Engine:
 
         # The delta feeds boxes, the watermark, departures and two upserts, so it is written once.
         g = F.col(f"`{contract.geometry}`")
-        picked = source.where(contract.selected(mark))
+        counted = Observation()
+        changed = source.where(contract.changed(mark)).observe(counted, F.count(F.lit(1)).alias("n"))
+        picked = changed.where(geo.has_positions(g))
         box = geo.box_in_metres(g, contract.srid)
         rows = picked.select(*contract.projection(source.schema), contract.last_event().alias("__event"), box.alias("__box"))
         rows = self.warehouse.staged(self.warehouse.stage(f"delta/{contract.sync_key}", rows))
         seen = rows.agg(F.count("*").alias("n"), F.max("__event").alias("event")).first()
-        result = Result(contract.sync_key, read=seen.n, has_changes=seen.n > 0, watermark=seen.event)
+        result = Result(contract.sync_key, read=seen.n, skipped=counted.get["n"] - seen.n, has_changes=seen.n > 0, watermark=seen.event)
         delta = keyed.latest(rows, contract.key, F.col("__event")).drop("__event", "__box")
         delta = self.transform(delta) if self.transform else delta
         boxes = rows.select("__box.*")

@@ -104,8 +104,9 @@ def test_first_load_then_nothing_then_changes(world):
     world.now += timedelta(days=2)
     areas = world.tables["src.areas"]
     world.tables["src.areas"] = [(30, "n30", 21, T0, world.now, square(5)), areas[1]]
-    world.tables["src.rivers"] += [(43, "n43", 31, world.now, None, square(9))]
+    world.tables["src.rivers"] += [(43, "n43", 31, world.now, None, square(9)), (44, "n44", 31, world.now, None, " ")]
     got = world.run()
+    assert got["dsp_rivers"].skipped == 1 and got["area-of-interest"].skipped == 0
     assert got["area-of-interest"].deleted == 1 and got["area-of-interest"].read == 1 and got["dsp_rivers"].read == 1
     assert got["area-of-interest"].boxes.count() == 2
     assert set(world.rows("geo/dsp.area_of_interest")) == {"30", "31"} == set(world.rows("target/dsp.area_of_interest"))
