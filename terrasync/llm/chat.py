@@ -34,69 +34,45 @@ def unescape(text: Column) -> Column:
     return F.replace(F.replace(F.replace(text, F.lit("\\|"), F.lit("|")), F.lit("\\n"), F.lit("\n")), F.lit("\\s"), F.lit("\\"))
 
 
-def _merged(turns: Column) -> Column:
-    """array<struct<role, texts>> of adjacent same-role turns. Null-safe: roles and texts hold no nulls here.
-
-    Runs are found from the places where the role changes, so each turn is copied once however long the
-    conversation is.
-    """
-    n = F.size(turns)
-    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (turns[i]["role"] != turns[F.greatest(i - 1, F.lit(0))]["role"]))
-    return F.transform(
-        starts,
-        lambda s, k: F.struct(
-            turns[s]["role"].alias("role"),
-            F.transform(F.slice(turns, s + 1, F.coalesce(F.get(starts, k + 1), n) - s), lambda t: t["text"]).alias("texts"),
-        ),
-    )
-
-
 def format_chats(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """One row per conversation: id_col, n_turns, formatted, loss_spans.
+    """One row per conversation: id_col, n_turns, formatted, loss_mask.
 
-    loss_spans are the (start, length) code points of formatted on which loss is taken: the assistant's
-    texts, still escaped, without marks. Turns are ordered by turn, ties by role, then text; a null turn
-    comes first; null roles and texts are empty; repeated rows are turns of their own; a null id is a
-    conversation like any other; further columns are ignored; an empty table gives an empty result.
+    loss_mask runs along formatted, an entry for each turn: skip code points without loss, take with loss,
+    tail without. Loss lies on the assistant's texts, still escaped, without marks. Turns are ordered by
+    turn, ties by role, then text; a null turn comes first; null roles and texts are empty; repeated rows
+    are turns of their own; a null id is a conversation like any other; further columns are ignored; an
+    empty table gives an empty result. The work grows with a conversation's length, not with its square.
     """
     one = turns.select(
         turns[id_col].alias("id"),
         F.struct(turns[turn_col].alias("turn"), F.coalesce(turns[role_col], F.lit("")).alias("role"), F.coalesce(turns[text_col], F.lit("")).alias("text")).alias("t"),
     )
-    merged = one.groupBy("id").agg(F.sort_array(F.collect_list("t")).alias("turns")).select("id", F.size("turns").cast("long").alias("n_turns"), _merged(F.col("turns")).alias("blocks"))
-    # Every block as its pieces: marks, and texts with or without loss.
-    pieces = F.flatten(
-        F.transform(
-            "blocks",
-            lambda b: F.concat(
-                F.array(F.struct(F.concat(F.lit(START), escape(b["role"]), F.lit("\n")).alias("s"), F.lit(False).alias("loss"))),
-                F.flatten(
-                    F.transform(
-                        b["texts"],
-                        lambda t, i: F.concat(
-                            F.when(i > 0, F.array(F.struct(F.lit(SEP).alias("s"), F.lit(False).alias("loss")))).otherwise(F.array().cast("array<struct<s:string,loss:boolean>>")),
-                            F.array(F.struct(escape_text(t).alias("s"), (b["role"] == ASSISTANT).alias("loss"))),
-                        ),
-                    )
-                ),
-                F.array(F.struct(F.lit(END).alias("s"), F.lit(False).alias("loss"))),
-            ),
+    sorted_ = one.groupBy("id").agg(F.sort_array(F.collect_list("t")).alias("turn"))
+    roles = sorted_.select("id", "turn", F.size("turn").alias("n"), F.transform("turn", lambda t: t["role"]).alias("roles"), F.array(F.lit(None).cast("string")).alias("none"))
+    # Adjacent turns of one role are one block: a turn knows the roles before and after it.
+    near = roles.select("id", "turn", "n", F.slice(F.concat("none", "roles"), F.lit(1), F.col("n")).alias("before"), F.concat(F.slice("roles", F.lit(2), F.col("n")), "none").alias("after"))
+
+    def parts(z: Column) -> Column:
+        role = z["turn"]["role"]
+        return F.struct(
+            F.when(role == z["before"], SEP).otherwise(F.concat(F.lit(START), escape(role), F.lit("\n"))).alias("lead"),
+            escape_text(z["turn"]["text"]).alias("text"),
+            F.when(role == z["after"], "").otherwise(END).alias("tail"),
+            (role == ASSISTANT).alias("loss"),
         )
-    )
-    # Neighbouring offsets come from one running pass over the lengths.
-    walked = F.aggregate(
-        "pieces",
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans")),
-        lambda a, p: F.struct(
-            (a["at"] + F.length(p["s"])).alias("at"),
-            F.when(p["loss"], F.concat(a["spans"], F.array(F.struct(a["at"].alias("start"), F.length(p["s"]).cast("long").alias("length"))))).otherwise(a["spans"]).alias("spans"),
-        ),
-        lambda a: a["spans"],
-    )
-    return (
-        merged.select("id", "n_turns", pieces.alias("pieces"))
-        .select("id", "n_turns", F.array_join(F.transform("pieces", lambda p: p["s"]), "").alias("formatted"), walked.alias("loss_spans"))
-        .withColumnRenamed("id", id_col)
+
+    cut = near.select("id", "n", F.transform(F.arrays_zip("turn", "before", "after"), parts).alias("parts"))
+
+    def mask(p: Column) -> Column:
+        lead, text, tail = (F.length(p[c]).cast("long") for c in ("lead", "text", "tail"))
+        none = F.lit(0).cast("long")
+        return F.when(p["loss"], F.struct(lead.alias("skip"), text.alias("take"), tail.alias("tail"))).otherwise(F.struct((lead + text + tail).alias("skip"), none.alias("take"), none.alias("tail")))
+
+    return cut.select(
+        F.col("id").alias(id_col),
+        F.col("n").cast("long").alias("n_turns"),
+        F.array_join(F.transform("parts", lambda p: F.concat(p["lead"], p["text"], p["tail"])), "").alias("formatted"),
+        F.transform("parts", mask).alias("loss_mask"),
     )
 
 
@@ -113,6 +89,10 @@ def read_turns(formatted: Column) -> Column:
     return F.flatten(F.transform(blocks, turns))
 
 
-def read_loss(formatted: Column, spans: Column) -> Column:
-    """The text under the loss mask, unescaped, nothing between its parts."""
-    return F.array_join(F.transform(spans, lambda x: unescape(formatted.substr((x["start"] + 1).cast("int"), x["length"].cast("int")))), "")
+def read_loss(formatted: Column, mask: Column) -> Column:
+    """The text under the loss mask, unescaped, nothing between its parts.
+
+    The text is cut before each turn's mark, so an entry of the mask is applied to its own turn.
+    """
+    turns = F.split(formatted, r"(?=<\|im_(?:start|sep)\|>)", -1)
+    return F.array_join(F.zip_with(F.filter(turns, lambda t: t != ""), mask, lambda t, m: unescape(t.substr((m["skip"] + 1).cast("int"), m["take"].cast("int")))), "")
