@@ -26,6 +26,8 @@ from pyspark.sql import Window as W
 from .common import written
 
 WINDOW, PACKET, END_ID = 1024, 256, 0
+#: Pieces that a task returns at once.
+AT_ONCE = 1024
 #: Rounds whose packets are numbered together in one group, and groups summed up together.
 ROUNDS, GROUPS = 256, 4096
 
@@ -171,11 +173,14 @@ def pack(
                 continue
             length, start, seq, off, owner = np.add.reduceat(length, first), start[first], seq[first], off[first], owner[first]
             ids = [np.frombuffer(x, "<u2").astype("<u4") for x in b.column("ids").to_pylist()]
-            parts = [ids[o][s : s + n] for o, s, n in zip(owner, start, length, strict=True)]
-            out = [b.column("id").take(pa.array(owner)), pa.array(start), pa.array(length), pa.array([zlib.crc32(x) for x in parts], pa.int64()), b.column("n").take(pa.array(owner)), pa.array(seq), pa.array(off)]
-            if with_ids:
-                out.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(length)), pa.int32()), pa.array(np.concatenate(parts).astype(np.int32))))
-            yield pa.RecordBatch.from_arrays(out, names + ["ids"] * with_ids)
+            for k in range(0, len(start), AT_ONCE):
+                i = slice(k, k + AT_ONCE)
+                parts = [ids[o][s : s + n] for o, s, n in zip(owner[i], start[i], length[i], strict=True)]
+                at = pa.array(owner[i])
+                out = [b.column("id").take(at), pa.array(start[i]), pa.array(length[i]), pa.array([zlib.crc32(x) for x in parts], pa.int64()), b.column("n").take(at), pa.array(seq[i]), pa.array(off[i])]
+                if with_ids:
+                    out.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(length[i])), pa.int32()), pa.array(np.concatenate(parts).astype(np.int32))))
+                yield pa.RecordBatch.from_arrays(out, names + ["ids"] * with_ids)
 
     schema = f"id {met.schema['id'].dataType.simpleString()}" + "".join(f", {x} bigint" for x in names[1:]) + ", ids array<int>" * with_ids
     return met.mapInArrow(each, schema).withColumnRenamed("id", id_col)

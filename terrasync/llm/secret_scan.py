@@ -54,8 +54,8 @@ EXTRA_RULES = (
 )
 RULES = BASE_RULES + EXTRA_RULES
 
-#: Rows and bytes of one block of the index; only speed and memory depend on them.
-BLOCK_BYTES = 8 << 20
+#: Bytes of one block of the index; only speed and memory (some 20 times as much) depend on it.
+BLOCK_BYTES = 2 << 20
 _FEW = 64
 
 
@@ -187,6 +187,13 @@ def _code(gram: bytes) -> int:
     return gram[0] << 16 | gram[1] << 8 | gram[2]
 
 
+@lru_cache(maxsize=4)
+def _wanted(grams: tuple[bytes, ...]) -> np.ndarray:
+    out = np.zeros(1 << 24, bool)
+    out[[_code(g) for g in grams]] = True
+    return out
+
+
 class BlockIndex:
     """Postings of the rules' trigrams over the texts of one block."""
 
@@ -198,9 +205,7 @@ class BlockIndex:
             return
         folded = _FOLD[joined]
         codes = folded[:-2] << 16 | folded[1:-1] << 8 | folded[2:]
-        wanted = np.zeros(1 << 24, bool)
-        wanted[[_code(g) for g in grams]] = True
-        at = np.flatnonzero(wanted[codes])
+        at = np.flatnonzero(_wanted(tuple(grams))[codes])
         starts = np.cumsum([0] + [len(t) + 2 for t in texts[:-1]])
         rows, codes = np.searchsorted(starts, at, "right") - 1, codes[at]
         for g in grams:
