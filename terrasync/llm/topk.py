@@ -192,9 +192,10 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec
 
     def to_blocks(q: DataFrame, which: list[int]) -> DataFrame:
         """Queries copied to the blocks of those buckets that can still reach their floor."""
-        every_block = [F.struct(F.lit(b).alias("bucket"), F.lit(i).alias("block"), F.lit(sizes[b].top).alias("top")) for b in which for i in range(blocks[b])]
-        reached = F.filter(F.array(*every_block), lambda x: F.col("norm") * x["top"] * (1 + 1e-9) >= F.col("floor"))
-        return q.withColumn("x", F.explode(reached)).select("x.bucket", "x.block", "query_block", "id", "v", "norm", "floor")
+        known = [F.struct(F.lit(b).alias("bucket"), F.lit(blocks[b]).alias("blocks"), F.lit(sizes[b].top).alias("top")) for b in which]
+        reached = F.filter(F.array(*known), lambda x: F.col("norm") * x["top"] * (1 + 1e-9) >= F.col("floor"))
+        met = q.withColumn("x", F.explode(reached)).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("x.blocks") - 1)))
+        return met.select("x.bucket", "block", "query_block", "id", "v", "norm", "floor")
 
     first = min(sizes)
     opened = to_blocks(queries.withColumn("floor", F.lit(float("-inf"))), [first])
