@@ -9,7 +9,8 @@ shorter strings in it do, so positions whose rank is unique drop out at each len
    the window's bytes alone, so equal windows elect the same place, and only elected positions go on.
 2. The stretch of all windows that elect one position, LENGTH to about 2 * LENGTH - GRAM bytes. Spark
    deals and sorts (gram rank, stretch rank, position). The first of equal stretches stands for the others,
-   all of whose windows are repeats. A gram with one stretch is done.
+   all of whose windows are repeats. A gram with one stretch is done. Grams that a sample shows to stand in
+   very many unlike stretches are dealt by part of the stretch rank too, and go to step 3 in any case.
 3. LENGTH bytes, the threshold, at every position of the stretches left, that is of grams with unlike
    stretches (the edges of repeated passages). The first of equal windows stays.
 
@@ -40,6 +41,9 @@ from .common import written
 LENGTH, GRAM = 100, 32
 #: Unlike stretches of a gram from which its windows are dealt out one by one.
 BIG = 256
+#: Documents sampled for hot grams; unlike stretches there that make a gram hot; hot grams at most; parts of one.
+#: They decide how rows are dealt out, never a result.
+SAMPLE, HOT, MOST_HOT, PARTS = 1024, 8, 10_000, 64
 #: Windows that are looked at together, and stretches that a task gathers before it settles them.
 CHUNK, GATHER = 1 << 18, 1 << 22
 _LOW = np.uint64(0xFFFFFF)
@@ -124,9 +128,26 @@ def _rows(*columns: np.ndarray, names: list[str]) -> pa.RecordBatch:
 _RANKED = ["kind", "gram", "rank", "doc", "at"]
 
 
+def hot_grams(docs: DataFrame, text_col: str, length: int = LENGTH) -> np.ndarray:
+    """Gram ranks, MOST_HOT at most, with more than HOT unlike stretches in about SAMPLE documents, sorted."""
+    share = min(1.0, SAMPLE / max(1, docs.count()))
+    one = docs.select(docs[text_col].alias("text")).sample(False, share, 42)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for text in b.column("text").to_pylist():
+                gram, rank, _, _ = stretches((text or "").encode(), length)
+                yield _rows(gram, rank, names=["gram", "rank"])
+
+    found = one.mapInArrow(each, "gram bigint, rank bigint").distinct().groupBy("gram").agg(F.count("*").alias("n"))
+    rows = found.where(F.col("n") > HOT).orderBy(F.desc("n"), "gram").limit(MOST_HOT).collect()
+    return np.sort(np.array([r.gram for r in rows], np.int64).view(np.uint64))
+
+
 def _ranked(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
-    """Steps 1 and 2, inside a task: the first of equal stretches (kind 0, at = first window << 8 | windows - 1),
-    and what the others show to be repeated (kind 1, from rank to at)."""
+    """Steps 1 and 2, inside a task: the first of equal stretches (kind 0, or 2 if its gram is hot, at = first
+    window << 8 | windows - 1), and what the others show to be repeated (kind 1, from rank to at)."""
+    hot = hot_grams(docs, text_col, length)
     one = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(_LAST)).alias("doc"), docs[text_col].alias("text"))
 
     def settle(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +160,7 @@ def _ranked(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFra
         same = np.zeros(len(gram), bool)  # a document that is listed twice doesn't repeat itself
         same[1:] = again[1:] & (doc[1:] == doc[:-1]) & (first[1:] == first[:-1])
         keep = ~again
-        yield _rows(np.zeros(keep.sum(), np.int8), gram[keep], rank[keep], doc[keep], first[keep] << 8 | (last - first)[keep], names=_RANKED)
+        yield _rows(np.where(np.isin(gram[keep], hot), 2, 0).astype(np.int8), gram[keep], rank[keep], doc[keep], first[keep] << 8 | (last - first)[keep], names=_RANKED)
         again &= ~same
         start, end, doc = first[again], last[again] + length, doc[again]
         order = np.lexsort((start, doc))
@@ -165,50 +186,63 @@ def _ranked(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFra
 
 def _settled(ranked: DataFrame, length: int, big: int) -> DataFrame:
     """Step 2 over all tasks: repeats (gram null, from start to end) and the stretches of grams that have
-    several (gram, first and last window in start and end; large: more than big of them)."""
-
-    def met(gram, rank, doc, at) -> Iterator[tuple[np.ndarray, ...]]:
-        first = np.concatenate([[True], gram[1:] != gram[:-1]])
-        lead = first | np.concatenate([[True], rank[1:] != rank[:-1]])
-        same = np.concatenate([[False], (doc[1:] == doc[:-1]) & (at[1:] == at[:-1])]) & ~lead
-        group = np.cumsum(first) - 1
-        unlike = np.bincount(group, weights=lead).astype(np.int64)[group]
-        start = at >> 8
-        stop = start + (at & 255)
-        gone = ~lead & ~same
-        yield gone, gone, doc[gone], start[gone], stop[gone] + length, None
-        left = lead & (unlike > 1)
-        yield left, unlike[left] > big, doc[left], start[left], stop[left], gram[left]
+    several (gram, first and last window in start and end; large: more than big of them, or the gram is hot).
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
+    Rows come sorted and stream through: a task holds one batch and at most big stretches of one gram.
+    """
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            for _, large, doc, start, stop, gram in met(*(np.concatenate(x) for x in zip(*held, strict=True))):
-                if len(doc):
-                    grams = pa.nulls(len(doc), pa.int64()) if gram is None else pa.array(gram)
-                    flags = pa.array(np.zeros(len(doc), bool)) if gram is None else pa.array(large)
-                    yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(start), pa.array(stop), grams, flags], ["doc", "start", "end", "gram", "large"])
+    def out(doc: np.ndarray, start: np.ndarray, end: np.ndarray, gram: np.ndarray | None = None, large: np.ndarray | None = None) -> pa.RecordBatch:
+        n = len(doc)
+        grams = pa.nulls(n, pa.int64()) if gram is None else pa.array(gram)
+        flags = pa.array(np.zeros(n, bool) if large is None else large)
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(start), pa.array(end), grams, flags], ["doc", "start", "end", "gram", "large"])
 
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before: dict[int, tuple[int, ...]] = {}  # the last row of a kind
+        held = [np.zeros(0, np.int64)] * 4  # gram, doc, start, stop of the last gram's first stretches
+        gone_on = None  # the last gram and its number of stretches, if they were passed on as too many
         for b in batches:
-            kind, gram, rank, doc, at = (b.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-            if (done := kind == 1).any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[done]), pa.array(rank[done]), pa.array(at[done]), pa.nulls(int(done.sum()), pa.int64()), pa.array(np.zeros(done.sum(), bool))], ["doc", "start", "end", "gram", "large"]
-                )
-            gram, rank, doc, at = (x[~done] for x in (gram, rank, doc, at))
-            if not len(gram):
-                continue
-            cut = int(np.searchsorted(gram, gram[-1]))  # the last gram may go on in the next batch
-            if cut:
-                held.append((gram[:cut], rank[:cut], doc[:cut], at[:cut]))
-                yield from flush()
-                held = []
-            held.append((gram[cut:], rank[cut:], doc[cut:], at[cut:]))
-        if held:
-            yield from flush()
-
-    dealt = ranked.repartition("gram").sortWithinPartitions("kind", "gram", "rank", "doc", "at")
+            kinds, *columns = (b.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            if (done := kinds == 1).any():
+                yield out(columns[2][done], columns[1][done], columns[3][done])
+            for kind in (0, 2):
+                if not (here := kinds == kind).any():
+                    continue
+                gram, rank, doc, at = (x[here] for x in columns)
+                last = before.get(kind)
+                lead, same = np.ones(len(gram), bool), np.zeros(len(gram), bool)
+                lead[1:] = (gram[1:] != gram[:-1]) | (rank[1:] != rank[:-1])
+                same[1:] = (doc[1:] == doc[:-1]) & (at[1:] == at[:-1])
+                if last:
+                    lead[0] = (gram[0], rank[0]) != last[:2]
+                    same[0] = (doc[0], at[0]) == last[2:]
+                before[kind] = gram[-1], rank[-1], doc[-1], at[-1]
+                start = at >> 8
+                stop = start + (at & 255)
+                again = ~lead & ~same
+                yield out(doc[again], start[again], stop[again] + length)
+                rows = [x[lead] for x in (gram, doc, start, stop)]
+                if kind == 2:
+                    yield out(*rows[1:], rows[0], np.ones(len(rows[0]), bool))
+                    continue
+                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+                if not len(rows[0]):
+                    continue
+                group = np.cumsum(np.concatenate([[0], rows[0][1:] != rows[0][:-1]]))
+                unlike = np.bincount(group)
+                if gone_on and gone_on[0] == rows[0][0]:
+                    unlike[0] += gone_on[1]
+                full = unlike[-1] > big
+                of, is_last = unlike[group], group == group[-1]  # the last gram may go on in the next batch
+                left = (of > 1) & (~is_last | full)
+                yield out(*(x[left] for x in rows[1:]), rows[0][left], of[left] > big)
+                gone_on = (rows[0][-1], unlike[-1]) if full else None
+                held = [x[is_last & ~full] for x in rows]
+        if len(held[0]) > 1:
+            yield out(*held[1:], held[0], np.zeros(len(held[0]), bool))
+
+    part = F.when(F.col("kind") == 2, F.pmod("rank", F.lit(PARTS))).otherwise(F.lit(0))
+    dealt = ranked.repartition(F.col("gram"), part).sortWithinPartitions("kind", "gram", "rank", "doc", "at")
     return dealt.mapInArrow(each, "doc bigint, start bigint, end bigint, gram bigint, large boolean")
 
 

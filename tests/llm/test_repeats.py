@@ -36,6 +36,24 @@ def test_equals_brute_force(spark, seed, big):
     assert dict(run(df, big=big)) == brute(rows)
 
 
+@pytest.mark.parametrize("hot", [1, 1 << 30])
+def test_dealing_does_not_matter(spark, monkeypatch, hot):
+    """Hot grams or none, and batches of a few rows, across which grams and stretches go on."""
+    monkeypatch.setattr(repeats, "HOT", hot)
+    rng = random.Random(7)
+    phrase = "".join(rng.choice("abcdefgh") for _ in range(60))
+    some = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    tails = [some(90) for _ in range(6)]
+    rows = [(i, some(rng.randint(0, 80)) + phrase + rng.choice(tails) + some(rng.randint(0, 80))) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert (len(repeats.hot_grams(df, "text")) > 0) == (hot == 1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        assert dict(run(df, big=3)) == brute(rows) == dict(run(df))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_odd_rows(odd, odd_rows, none):
     got, want = run(odd), brute([r[:2] for r in odd_rows])
     assert len(got) == len(odd_rows) and all(v == want[k] for k, v in got)
