@@ -61,10 +61,12 @@ def shard_documents(docs: DataFrame, limit: int = LIMIT_BYTES, id_col: str = "do
 
     shard is the bucket's hash prefix in binary digits. A shard holds limit bytes at most, unless it is a
     single larger document. Rows whose ids agree have one hash and can't be split apart: where they exceed
-    the limit they go on overflow pages of it, numbered from 0; page is 0 elsewhere. Null texts have no
-    bytes; null ids share a hash; other columns are ignored; an empty table gives an empty result.
+    the limit they go on overflow pages of it, numbered from 0 and filled within one partition of the input
+    each; page is 0 elsewhere. Null texts have no bytes; null ids share a hash; other columns are ignored; an
+    empty table gives an empty result.
     """
-    rows = written(docs.select(docs[id_col].alias("id"), F.coalesce(F.octet_length(docs[text_col]), F.lit(0)).cast("long").alias("n_bytes")).withColumn("hash", hash_of(F.col("id"))), "shard-rows")
+    sizes = docs.select(docs[id_col].alias("id"), F.coalesce(F.octet_length(docs[text_col]), F.lit(0)).cast("long").alias("n_bytes"))
+    rows = written(sizes.withColumns({"hash": hash_of(F.col("id")), "part": F.spark_partition_id()}), "shard-rows")
     leaves = written(directory(rows.select("hash", F.col("n_bytes").alias("bytes")), limit), "shard-directory")
     # Leaves tile the hashes, so a row's leaf is the one with its prefix at one of the depths in use.
     depths = [r.depth for r in leaves.select("depth").distinct().collect()]  # HASH_BITS + 1 at most
@@ -73,11 +75,16 @@ def shard_documents(docs: DataFrame, limit: int = LIMIT_BYTES, id_col: str = "do
     digits = F.when(F.col("depth") == 0, "").otherwise(F.expr("lpad(conv(prefix, 10, 2), depth, '0')"))
     full = (F.col("depth") == HASH_BITS) & (F.col("bytes") > limit) & (F.col("docs") > 1)
     plain = met.where(~full).select("id", "n_bytes", digits.alias("shard"), "depth", F.lit(0).cast("long").alias("page"), F.col("bytes").alias("shard_bytes"))
-    # Rows of one id: so many to a page that the largest of them would fit.
-    over = met.where(full).withColumn("most", F.max("n_bytes").over(W.partitionBy("prefix")))
-    nth = F.row_number().over(W.partitionBy("prefix").orderBy("n_bytes")) - 1
-    page = F.floor(nth / F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.lit(1), F.col("most")))))
-    paged = over.withColumn("page", page).withColumn("shard_bytes", F.sum("n_bytes").over(W.partitionBy("prefix", "page"))).select("id", "n_bytes", digits.alias("shard"), "depth", "page", "shard_bytes")
+    # Rows of one id: so many to a page that the largest of them would fit. They are numbered by partition of
+    # the input, as they may be a great part of it, and only the partitions' numbers of pages are summed up.
+    over = written(met.where(full).select("id", "n_bytes", digits.alias("shard"), "depth", "prefix", "part"), "shard-over")
+    fit = over.groupBy("prefix").agg(F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.lit(1), F.max("n_bytes")))).alias("per"))
+    parts = over.groupBy("prefix", "part").agg(F.count("*").alias("n")).join(fit, "prefix").withColumn("pages", F.ceil(F.col("n") / F.col("per")))
+    earlier = W.partitionBy("prefix").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    bases = parts.select("prefix", "part", "per", F.coalesce(F.sum("pages").over(earlier), F.lit(0)).alias("base"))
+    nth = F.row_number().over(W.partitionBy("prefix", "part").orderBy("n_bytes")) - 1
+    numbered = over.withColumn("nth", nth).join(bases, ["prefix", "part"]).withColumn("page", (F.col("base") + F.floor(F.col("nth") / F.col("per"))).cast("long"))
+    paged = numbered.withColumn("shard_bytes", F.sum("n_bytes").over(W.partitionBy("prefix", "page"))).select("id", "n_bytes", "shard", "depth", "page", "shard_bytes")
     return plain.unionByName(paged).select(F.col("id").alias(id_col), "n_bytes", "shard", "depth", "page", "shard_bytes")
 
 

@@ -55,6 +55,20 @@ def test_shards(odd, odd_rows, none):
     assert sharding.shard_documents(none).collect() == []
 
 
+def test_overflow_pages(spark):
+    """A third of the rows have no id: their pages hold to the limit, whatever partitions they come from."""
+    rows = [(None if i % 3 == 0 else i, "x" * (i % 50)) for i in range(900)]
+    for parts in (1, 7):
+        got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts), 500).collect()
+        assert Counter((r.doc_id, r.n_bytes) for r in got) == Counter((i, len(t)) for i, t in rows)
+        pages = defaultdict(int)
+        for r in got:
+            pages[r.shard, r.page] += r.n_bytes
+        assert all(r.shard_bytes == pages[r.shard, r.page] <= 500 for r in got)
+        full = {r.page for r in got if r.doc_id is None}
+        assert full == set(range(len(full))) and len(full) > 20
+
+
 def test_written_shards(spark, odd, tmp_path):
     docs = odd.where("doc_id is not null").dropDuplicates(["doc_id"])
     sharding.write_shards(docs, f"file://{tmp_path}/s", 5000)
