@@ -78,17 +78,22 @@ class Rollup:
         fs, target = self._fs(self._folder(batch_id))
         fs.mkdirs(target.getParent())
         _, source = self._fs(staged)
-        # Renaming onto a folder that exists would put the batch inside it, so the winner is asked for first.
         if fs.exists(target) or not fs.rename(source, target):
             fs.delete(source, True)
             return False
+        # Of two writers at once the second one's folder ends up inside the first one's, where totals() doesn't look.
+        inside = self.spark._jvm.org.apache.hadoop.fs.Path(target, source.getName())
+        if fs.exists(inside):
+            fs.delete(inside, True)
+            return False
         return True
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, n_docs, n_tokens) of what is there; groups that sum up to nothing are left out."""
-        fs, place = self._fs(f"{self.path}/committed")
-        if fs.exists(place):
-            found = self.spark.read.schema(DELTAS).option("recursiveFileLookup", "true").parquet(f"{self.path}/committed")
+        files = f"{self.path}/committed/*/part-*"
+        fs, place = self._fs(files)
+        if len(fs.globStatus(place) or ()):
+            found = self.spark.read.schema(DELTAS).parquet(files)
         else:
             found = self.spark.createDataFrame([], DELTAS)
         return found.groupBy(*KEYS).agg(F.sum("docs").alias("n_docs"), F.sum("tokens").alias("n_tokens")).where("n_docs <> 0 or n_tokens <> 0")

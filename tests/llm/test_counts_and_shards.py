@@ -1,4 +1,5 @@
 import re
+import shutil
 from collections import Counter, defaultdict
 
 from terrasync.llm import sharding, token_counts
@@ -35,6 +36,19 @@ def test_rollup(spark, odd, odd_rows, none, tmp_path):
     assert totals(rollup) == {}
 
 
+def test_writers_at_once(spark, odd, tmp_path, monkeypatch):
+    """A second writer that saw no batch before its rename adds nothing, and neither does what it may leave inside."""
+    rollup = token_counts.Rollup(spark, f"file://{tmp_path}/r")
+    changes = token_counts.inserts(token_counts.counted(odd))
+    assert rollup.commit("load", changes)
+    want = totals(rollup)
+    (folder,) = (tmp_path / "r" / "committed").iterdir()
+    shutil.copytree(folder, folder / "second")
+    assert totals(rollup) == want
+    monkeypatch.setattr(rollup, "has", lambda _: False)
+    assert not rollup.commit("load", changes) and totals(rollup) == want
+
+
 def test_shards(odd, odd_rows, none):
     for limit in (1 << 30, 20_000, 3000, 1):
         got = sharding.shard_documents(odd, limit).collect()
