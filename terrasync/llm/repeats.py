@@ -43,7 +43,7 @@ LENGTH, GRAM = 100, 32
 BIG = 256
 #: Documents sampled for hot grams; unlike stretches there that make a gram hot; hot grams at most; parts of one.
 #: They decide how rows are dealt out, never a result.
-SAMPLE, HOT, MOST_HOT, PARTS = 1024, 8, 10_000, 64
+SAMPLE, HOT, MOST_HOT, PARTS = 512, 4, 10_000, 64
 #: Windows that are looked at together, and stretches that a task gathers before it settles them.
 CHUNK, GATHER = 1 << 18, 1 << 22
 _LOW = np.uint64(0xFFFFFF)
