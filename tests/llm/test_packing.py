@@ -61,6 +61,18 @@ def test_long_runs_of_spaces(encode):
     assert packing.encoder(*packing.default_files())(text) == encode(text)[:-1]
 
 
+def test_added_tokens_have_their_own_id(spark):
+    """Ids are those of tokenizers with add_special_tokens=False and nothing else set."""
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n y", "<|endoftext| >", "<|endoftext|>" + " " * 1_200_000]
+    own = packing.encoder(*packing.default_files())
+    assert own(texts[0]) == [64, 220, 50256, 275]
+    assert [own(x) for x in texts] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    rows = list(enumerate(texts[:4]))
+    pieces = packing.pack(spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string"), with_ids=True).collect()
+    check(pieces, rows, lambda x: [*t.encode(x, add_special_tokens=False).ids, 0])
+
+
 def test_windows_follow_targets(spark, encode):
     rows = [(i, "word " * (40 + i % 50), f"s{i % 3}") for i in range(600)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
