@@ -277,6 +277,49 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
     return one.mapInArrow(each, f"id {kind}, secrets array<struct<start:bigint,end:bigint,kind:string>>").withColumnRenamed("id", id_col)
 
 
+_KEY_END = re.compile(r"-----END (?:[A-Z]+ )*PRIVATE KEY-----")
+_KEY_GAP = re.compile(r"""(?:\s|\\+[nrt]|[>"',])*""")
+_KEY_HEADER = re.compile(r"(?:Proc-Type|DEK-Info|Key-Info|MIC-Info|Content-Domain|Comment):[^\n\\]*")
+_KEY_BASE64 = re.compile(r"[A-Za-z0-9+/]+=*")
+_KEY_BREAK, _KEY_EOL = re.compile(r"[\r\n]|\\[nr]"), re.compile(r"""[ \t]*(?:[\r\n\\"']|\Z)""")
+#: Characters from which a run of base64 counts as a key's whether or not it has a line of its own.
+_KEY_RUN = 16
+
+
+def _key_end(text: str, at: int, stop: int) -> int:
+    """Where the private key ends whose first line ends at `at`; the next key's first line starts at `stop`.
+
+    That is behind its END line or, where none comes, behind the header and base64 lines that follow. In a
+    text without line breaks long runs of base64 are lines, and the run behind them is the last.
+    """
+    if m := _KEY_END.search(text, at, stop):
+        return m.end()
+    end, long = at, False
+    while True:
+        start = _KEY_GAP.match(text, end, stop).end()
+        if m := _KEY_HEADER.match(text, start, stop):
+            end = m.end()
+        elif m := _KEY_BASE64.match(text, start, stop):
+            run = m.end() - start >= _KEY_RUN
+            if not run and not (_KEY_EOL.match(text, m.end(), stop) if _KEY_BREAK.search(text, end, start) else long):
+                return end
+            end, long = m.end(), run
+        else:
+            return end
+
+
+def _whole_keys(text: str, spans: list[tuple[int, int, int]], kinds: list[str]) -> list[tuple[int, int, int]]:
+    """Spans of private keys reach over the key's body: the rule, as op1's SQL has it, finds the first line only."""
+    out, stop = [], len(text)
+    for s, k, e in reversed(spans):
+        if kinds[k] == "private_key":
+            out.append((s, k, _key_end(text, e, stop)))
+            stop = s
+        else:
+            out.append((s, k, e))
+    return out[::-1]
+
+
 def _mask(text: str, spans: list[tuple[int, int, int]], kinds: list[str]) -> str:
     """Overlapping spans become one mark, named after the first."""
     merged: list[list[int]] = []
@@ -295,7 +338,7 @@ def _mask(text: str, spans: list[tuple[int, int, int]], kinds: list[str]) -> str
 def redact_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
     """docs with every secret replaced by a mark; all rows and columns stay, null texts stay null.
 
-    length_col, where the table has it, is set to the new number of code points of changed texts.
+    A private key goes with its body and its END line. length_col, where the table has it, is set to the new number of code points of changed texts.
     """
     kinds = [r.kind for r in rules]
     names = docs.columns
@@ -308,7 +351,7 @@ def redact_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: s
             texts = b.column(at).to_pylist()
             found = find([t or "" for t in texts], rules)
             if any(found):
-                masked = [_mask(t, x, kinds) if x else t for t, x in zip(texts, found, strict=True)]
+                masked = [_mask(t, _whole_keys(t, x, kinds), kinds) if x else t for t, x in zip(texts, found, strict=True)]
                 columns = b.columns
                 columns[at] = pa.array(masked, b.schema.types[at])
                 if sized:

@@ -1,4 +1,6 @@
+import random
 import re
+import string
 
 import pytest
 from pyspark.sql import functions as F
@@ -59,3 +61,28 @@ def test_spark(spark, odd, odd_rows, none):
     assert row.text.startswith("[ASSIGN REMOVED]") and len(row.text) == row.n_chars and not re.search("AKIA|0123", row.text)
     assert red.where("doc_id <> 12 or doc_id is null").exceptAll(odd).isEmpty()
     assert S.redact_secrets(odd.drop("n_chars")).where(F.col("text").contains("REMOVED")).count() == 1
+
+
+def test_no_byte_of_a_private_key_is_left(spark):
+    rng = random.Random(3)
+    lines = ["".join(rng.choice(string.ascii_letters + string.digits + "+/") for _ in range(64)) for _ in range(12)] + ["Zq9+w=="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: DES-EDE3-CBC,0A1B2C3D4E5F6071\n\n"
+    body = "\n".join(lines)
+    mark = "[PRIVATE_KEY REMOVED]"
+    cases = [
+        (f"a {begin}\n{body}\n{end}\nb c.", f"a {mark}\nb c."),
+        (f"a {begin}\r\n{headers}{body}\r\n{end} b", f"a {mark} b"),
+        ('k = "' + f"{begin}\n{body}\n{end}".replace("\n", "\\n") + '"', f'k = "{mark}"'),
+        (f"{begin}\n{body}\n\nNow some words.", f"{mark}\n\nNow some words."),  # no END line
+        (f"{begin}\n{headers}{body}", mark),
+        (f"{begin}\n{lines[0]}\nNow some words.", f"{mark}\nNow some words."),
+        (f"{begin} {' '.join(lines)}, and words", f"{mark}, and words"),
+        (f"{begin}\n{body}\n{begin}\n{body}\n{end}\nb", f"{mark}\n{mark}\nb"),
+        (f"A line {begin} begins it.", f"A line {mark} begins it."),
+        (f"{begin}\n{body}\n  > {lines[0]}\n", f"{mark}\n"),
+    ]
+    df = spark.createDataFrame([(i, t, len(t)) for i, (t, _) in enumerate(cases)], "doc_id long, text string, n_chars long")
+    got = S.redact_secrets(df).orderBy("doc_id").collect()
+    assert [r.text for r in got] == [want for _, want in cases]
+    assert all(r.n_chars == len(r.text) for r in got)
