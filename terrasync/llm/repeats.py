@@ -34,7 +34,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
+from xxhash import xxh3_64_intdigest, xxh64_intdigest
 
 from .common import written
 
@@ -108,24 +108,40 @@ def merge(start: np.ndarray, end: np.ndarray, group: np.ndarray | None = None) -
     return start[first], (reach - shift)[np.append(first[1:], len(start)) - 1], group[first]
 
 
+def merge_docs(start: np.ndarray, end: np.ndarray, doc: np.ndarray, sub: np.ndarray) -> tuple[np.ndarray, ...]:
+    """merge() within documents, sorted by (doc, sub, start)."""
+    if not len(start):
+        return start, end, doc, sub
+    new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (sub[1:] != sub[:-1])])
+    start, end, group = merge(start, end, np.cumsum(new) - 1)
+    first = np.flatnonzero(new)[group]
+    return start, end, doc[first], sub[first]
+
+
+def _sub(text: bytes, no_id: bool) -> int:
+    """Tells documents of one doc apart, by text; those without an id come last."""
+    return xxh64_intdigest(text) >> 2 | no_id << 62
+
+
 def _packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, id, z): z the compressed bytes of a text; doc a null-free id, with null last."""
+    """(doc, sub, id, z): z the compressed bytes of a text; doc a null-free id, with null last; sub from _sub()."""
     one = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(_LAST)).alias("doc"), docs[id_col].alias("id"), docs[text_col].alias("text"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
         for b in batches:
-            z = [squeeze((t or "").encode()) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("id"), pa.array(z, pa.binary())], ["doc", "id", "z"])
+            texts = [(t or "").encode() for t in b.column("text").to_pylist()]
+            sub = [_sub(t, not has) for t, has in zip(texts, b.column("id").is_valid().to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(sub, pa.int64()), b.column("id"), pa.array(map(squeeze, texts), pa.binary())], ["doc", "sub", "id", "z"])
 
-    return one.mapInArrow(each, f"doc bigint, id {one.schema['id'].dataType.simpleString()}, z binary")
+    return one.mapInArrow(each, f"doc bigint, sub bigint, id {one.schema['id'].dataType.simpleString()}, z binary")
 
 
 def _rows(*columns: np.ndarray, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns], names)
 
 
-_RANKED = ["kind", "gram", "rank", "doc", "at"]
+_RANKED = ["kind", "gram", "rank", "doc", "sub", "at"]
 
 
 def hot_grams(docs: DataFrame, text_col: str, length: int = LENGTH) -> np.ndarray:
@@ -148,32 +164,33 @@ def _ranked(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFra
     """Steps 1 and 2, inside a task: the first of equal stretches (kind 0, or 2 if its gram is hot, at = first
     window << 8 | windows - 1), and what the others show to be repeated (kind 1, from rank to at)."""
     hot = hot_grams(docs, text_col, length)
-    one = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(_LAST)).alias("doc"), docs[text_col].alias("text"))
+    one = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(_LAST)).alias("doc"), docs[id_col].isNull().alias("no_id"), docs[text_col].alias("text"))
 
     def settle(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        gram, rank, first, last, doc = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((first, doc))
+        gram, rank, first, last, doc, sub = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((first, sub, doc))
         order = order[np.argsort((gram ^ (rank * np.uint64(0x9E3779B97F4A7C15)))[order], kind="stable")]
-        gram, rank, first, last, doc = (x[order] for x in (gram, rank, first, last, doc))
+        gram, rank, first, last, doc, sub = (x[order] for x in (gram, rank, first, last, doc, sub))
         again = np.zeros(len(gram), bool)
         again[1:] = (gram[1:] == gram[:-1]) & (rank[1:] == rank[:-1])
         same = np.zeros(len(gram), bool)  # a document that is listed twice doesn't repeat itself
-        same[1:] = again[1:] & (doc[1:] == doc[:-1]) & (first[1:] == first[:-1])
+        same[1:] = again[1:] & (doc[1:] == doc[:-1]) & (sub[1:] == sub[:-1]) & (first[1:] == first[:-1])
         keep = ~again
-        yield _rows(np.where(np.isin(gram[keep], hot), 2, 0).astype(np.int8), gram[keep], rank[keep], doc[keep], first[keep] << 8 | (last - first)[keep], names=_RANKED)
+        yield _rows(np.where(np.isin(gram[keep], hot), 2, 0).astype(np.int8), gram[keep], rank[keep], doc[keep], sub[keep], first[keep] << 8 | (last - first)[keep], names=_RANKED)
         again &= ~same
-        start, end, doc = first[again], last[again] + length, doc[again]
-        order = np.lexsort((start, doc))
-        start, end, doc = merge(start[order], end[order], doc[order])
-        yield _rows(np.ones(len(start), np.int8), doc, start, doc, end, names=_RANKED)
+        start, end, doc, sub = first[again], last[again] + length, doc[again], sub[again]
+        order = np.lexsort((start, sub, doc))
+        start, end, doc, sub = merge_docs(start[order], end[order], doc[order], sub[order])
+        yield _rows(np.ones(len(start), np.int8), doc ^ sub, start, doc, sub, end, names=_RANKED)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for b in batches:
-            for doc, text in zip(b.column("doc").to_pylist(), b.column("text").to_pylist(), strict=True):
-                got = stretches((text or "").encode(), length)
+            for doc, no_id, text in zip(*(b.column(x).to_pylist() for x in ("doc", "no_id", "text")), strict=True):
+                data = (text or "").encode()
+                got = stretches(data, length)
                 if len(got[0]):
-                    held.append((*got, np.full(len(got[0]), doc, np.int64)))
+                    held.append((*got, np.full(len(got[0]), doc, np.int64), np.full(len(got[0]), _sub(data, no_id), np.int64)))
                     n += len(got[0])
                 if n >= GATHER:
                     yield from settle(held)
@@ -181,7 +198,7 @@ def _ranked(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFra
         if held:
             yield from settle(held)
 
-    return one.mapInArrow(each, "kind tinyint, gram bigint, rank bigint, doc bigint, at bigint")
+    return one.mapInArrow(each, "kind tinyint, gram bigint, rank bigint, doc bigint, sub bigint, at bigint")
 
 
 def _settled(ranked: DataFrame, length: int, big: int) -> DataFrame:
@@ -191,37 +208,37 @@ def _settled(ranked: DataFrame, length: int, big: int) -> DataFrame:
     Rows come sorted and stream through: a task holds one batch and at most big stretches of one gram.
     """
 
-    def out(doc: np.ndarray, start: np.ndarray, end: np.ndarray, gram: np.ndarray | None = None, large: np.ndarray | None = None) -> pa.RecordBatch:
+    def out(doc: np.ndarray, sub: np.ndarray, start: np.ndarray, end: np.ndarray, gram: np.ndarray | None = None, large: np.ndarray | None = None) -> pa.RecordBatch:
         n = len(doc)
         grams = pa.nulls(n, pa.int64()) if gram is None else pa.array(gram)
         flags = pa.array(np.zeros(n, bool) if large is None else large)
-        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(start), pa.array(end), grams, flags], ["doc", "start", "end", "gram", "large"])
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(sub), pa.array(start), pa.array(end), grams, flags], ["doc", "sub", "start", "end", "gram", "large"])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before: dict[int, tuple[int, ...]] = {}  # the last row of a kind
-        held = [np.zeros(0, np.int64)] * 4  # gram, doc, start, stop of the last gram's first stretches
+        held = [np.zeros(0, np.int64)] * 5  # gram, doc, sub, start, stop of the last gram's first stretches
         gone_on = None  # the last gram and its number of stretches, if they were passed on as too many
         for b in batches:
-            kinds, *columns = (b.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            kinds, *columns = (b.column(i).to_numpy(zero_copy_only=False) for i in range(6))
             if (done := kinds == 1).any():
-                yield out(columns[2][done], columns[1][done], columns[3][done])
+                yield out(columns[2][done], columns[3][done], columns[1][done], columns[4][done])
             for kind in (0, 2):
                 if not (here := kinds == kind).any():
                     continue
-                gram, rank, doc, at = (x[here] for x in columns)
+                gram, rank, doc, sub, at = (x[here] for x in columns)
                 last = before.get(kind)
                 lead, same = np.ones(len(gram), bool), np.zeros(len(gram), bool)
                 lead[1:] = (gram[1:] != gram[:-1]) | (rank[1:] != rank[:-1])
-                same[1:] = (doc[1:] == doc[:-1]) & (at[1:] == at[:-1])
+                same[1:] = (doc[1:] == doc[:-1]) & (sub[1:] == sub[:-1]) & (at[1:] == at[:-1])
                 if last:
                     lead[0] = (gram[0], rank[0]) != last[:2]
-                    same[0] = (doc[0], at[0]) == last[2:]
-                before[kind] = gram[-1], rank[-1], doc[-1], at[-1]
+                    same[0] = (doc[0], sub[0], at[0]) == last[2:]
+                before[kind] = gram[-1], rank[-1], doc[-1], sub[-1], at[-1]
                 start = at >> 8
                 stop = start + (at & 255)
                 again = ~lead & ~same
-                yield out(doc[again], start[again], stop[again] + length)
-                rows = [x[lead] for x in (gram, doc, start, stop)]
+                yield out(doc[again], sub[again], start[again], stop[again] + length)
+                rows = [x[lead] for x in (gram, doc, sub, start, stop)]
                 if kind == 2:
                     yield out(*rows[1:], rows[0], np.ones(len(rows[0]), bool))
                     continue
@@ -242,31 +259,31 @@ def _settled(ranked: DataFrame, length: int, big: int) -> DataFrame:
             yield out(*held[1:], held[0], np.zeros(len(held[0]), bool))
 
     part = F.when(F.col("kind") == 2, F.pmod("rank", F.lit(PARTS))).otherwise(F.lit(0))
-    dealt = ranked.repartition(F.col("gram"), part).sortWithinPartitions("kind", "gram", "rank", "doc", "at")
-    return dealt.mapInArrow(each, "doc bigint, start bigint, end bigint, gram bigint, large boolean")
+    dealt = ranked.repartition(F.col("gram"), part).sortWithinPartitions("kind", "gram", "rank", "doc", "sub", "at")
+    return dealt.mapInArrow(each, "doc bigint, sub bigint, start bigint, end bigint, gram bigint, large boolean")
 
 
 def _windows(docs: DataFrame, left: DataFrame, length: int) -> DataFrame:
-    """Step 3: repeats (doc, start, end) among the windows of the stretches that are left."""
-    spans = left.groupBy("doc").agg(F.collect_list(F.struct("gram", "start", "end", "large")).alias("spans")).withColumnRenamed("doc", "d")
-    met = docs.select("doc", "z").join(spans, F.col("doc") == F.col("d")).select("doc", "z", "spans")
-    schema = pa.schema([("gram", pa.int64()), ("rank", pa.int64()), ("doc", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("bytes", pa.binary())])
+    """Step 3: repeats (doc, sub, start, end) among the windows of the stretches that are left."""
+    spans = left.groupBy("doc", "sub").agg(F.collect_list(F.struct("gram", "start", "end", "large")).alias("spans")).toDF("d", "s", "spans")
+    met = docs.select("doc", "sub", "z").join(spans, (F.col("doc") == F.col("d")) & (F.col("sub") == F.col("s"))).select("doc", "sub", "z", "spans")
+    schema = pa.schema([("gram", pa.int64()), ("rank", pa.int64()), ("doc", pa.int64()), ("sub", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("bytes", pa.binary())])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor().decompress
-        firsts: dict[tuple[int, int], tuple[int, int]] = {}  # of the windows dealt out one by one
-        repeats: list[tuple[int, int]] = []
+        firsts: dict[tuple[int, int], tuple[int, int, int]] = {}  # of the windows dealt out one by one
+        repeats: list[tuple[int, int, int]] = []
         for b in batches:
             out: list[tuple] = []
-            for doc, z, spans in zip(b.column("doc").to_pylist(), b.column("z").to_pylist(), b.column("spans").to_pylist(), strict=True):
+            for doc, sub, z, spans in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 text = expand(z)
                 for x in spans:
                     gram, first, last = x["gram"], x["start"], x["end"]
                     if not x["large"]:
-                        out.append((gram, 0, doc, first, last, text[first : last + length]))
+                        out.append((gram, 0, doc, sub, first, last, text[first : last + length]))
                         continue
                     for i in range(first, last + 1):
-                        key, here = (gram, xxh3_64_intdigest(text[i : i + length]) - (1 << 63)), (doc, i)
+                        key, here = (gram, xxh3_64_intdigest(text[i : i + length]) - (1 << 63)), (doc, sub, i)
                         there = firsts.setdefault(key, here)
                         if here != there:
                             firsts[key] = min(here, there)
@@ -279,56 +296,56 @@ def _windows(docs: DataFrame, left: DataFrame, length: int) -> DataFrame:
         yield from dealt_out(firsts, repeats)
 
     def dealt_out(firsts, repeats) -> Iterator[pa.RecordBatch]:
-        rows = [(g, r, doc, i, i, None) for (g, r), (doc, i) in firsts.items()]
+        rows = [(g, r, doc, sub, i, i, None) for (g, r), (doc, sub, i) in firsts.items()]
         if repeats:
             at = np.array(sorted(repeats), np.int64)
-            start, end, doc = merge(at[:, 1], at[:, 1] + length, at[:, 0])
-            rows += [(d, 0, d, a, -e, None) for a, e, d in zip(start.tolist(), end.tolist(), doc.tolist(), strict=True)]  # end < 0: settled
+            merged = merge_docs(at[:, 2], at[:, 2] + length, at[:, 0], at[:, 1])
+            rows += [(d ^ s, 0, d, s, a, -e, None) for a, e, d, s in zip(*(x.tolist() for x in merged), strict=True)]  # end < 0: settled
         for k in range(0, len(rows), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 50_000], strict=True), schema.types, strict=True)], schema=schema)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, seen, before = None, set(), None
         for b in batches:
-            got: list[tuple[int, int, int]] = []
-            columns = (b.column(i).to_pylist() for i in range(6))
-            for gram, rank, doc, first, last, data in zip(*columns, strict=True):
+            got: list[tuple[int, int, int, int]] = []
+            columns = (b.column(i).to_pylist() for i in range(7))
+            for gram, rank, doc, sub, first, last, data in zip(*columns, strict=True):
                 if last < 0:
-                    got.append((doc, first, -last))
+                    got.append((doc, sub, first, -last))
                     continue
                 if (gram, rank) != now:
                     now, seen, before = (gram, rank), set(), None
-                if (doc, first) == before:  # a document that is listed twice
+                if (doc, sub, first) == before:  # a document that is listed twice
                     continue
                 if data is None:
                     if before is not None:
-                        got.append((doc, first, first + length))
-                    before = doc, first
+                        got.append((doc, sub, first, first + length))
+                    before = doc, sub, first
                     continue
-                before = doc, first
+                before = doc, sub, first
                 for j in range(last - first + 1):
                     if (w := data[j : j + length]) in seen:
-                        got.append((doc, first + j, first + j + length))
+                        got.append((doc, sub, first + j, first + j + length))
                     else:
                         seen.add(w)
             if got:
                 at = np.array(sorted(set(got)), np.int64)
-                start, end, doc = merge(at[:, 1], at[:, 2], at[:, 0])
-                yield _rows(doc, start, end, names=["doc", "start", "end"])
+                start, end, doc, sub = merge_docs(at[:, 2], at[:, 3], at[:, 0], at[:, 1])
+                yield _rows(doc, sub, start, end, names=["doc", "sub", "start", "end"])
 
-    fetched = met.mapInArrow(fetch, "gram bigint, rank bigint, doc bigint, start bigint, end bigint, bytes binary")
-    return fetched.repartition("gram", "rank").sortWithinPartitions("gram", "rank", "doc", "start").mapInArrow(settle, "doc bigint, start bigint, end bigint")
+    fetched = met.mapInArrow(fetch, "gram bigint, rank bigint, doc bigint, sub bigint, start bigint, end bigint, bytes binary")
+    return fetched.repartition("gram", "rank").sortWithinPartitions("gram", "rank", "doc", "sub", "start").mapInArrow(settle, "doc bigint, sub bigint, start bigint, end bigint")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, big: int = BIG) -> tuple[DataFrame, DataFrame]:
-    """(doc, start, end): bytes covered by strings of length bytes that start earlier too; and the packed texts.
+    """(doc, sub, start, end): bytes covered by strings of length bytes that start earlier too; and the packed texts.
 
-    Spans may overlap or touch. Documents are ordered by id, null last.
+    Spans may overlap or touch. Documents are ordered by id, null last, and those of one id by a hash of the text.
     """
     packed = _packed(docs, id_col, text_col)
     settled = written(_settled(_ranked(docs, id_col, text_col, length), length, big), "repeats-settled")
     windows = written(_windows(packed, settled.where("gram is not null"), length), "repeats-windows")
-    return settled.where("gram is null").select("doc", "start", "end").unionByName(windows), packed
+    return settled.where("gram is null").select("doc", "sub", "start", "end").unionByName(windows), packed
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, big: int = BIG, with_text: bool = False) -> DataFrame:
@@ -336,12 +353,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Every byte is removed that lies in a string of length bytes which also starts earlier, in a document
     of smaller id or earlier in its own; overlaps count, and strings are judged on the input. A null or
-    short text keeps all; a row listed twice doesn't repeat itself; a null id counts as the largest; rows
-    of one id must agree in text. Other columns are ignored; an empty table gives an empty result.
+    short text keeps all; a null id counts as the largest. Rows that agree in id (null or not) and text are one
+    document listed twice and don't repeat each other; unlike texts of one id are documents of their own, in
+    the order of a hash. Other columns are ignored; an empty table gives an empty result.
     """
     spans, packed = repeated_spans(docs, id_col, text_col, length, big)
-    listed = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans")).withColumnRenamed("doc", "d")
-    met = packed.join(listed, F.col("doc") == F.col("d"), "left").select("id", "z", "spans")
+    listed = spans.groupBy("doc", "sub").agg(F.collect_list(F.struct("start", "end")).alias("spans")).toDF("d", "s", "spans")
+    met = packed.join(listed, (F.col("doc") == F.col("d")) & (F.col("sub") == F.col("s")), "left").select("id", "z", "spans")
     names = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -62,6 +62,28 @@ def test_odd_rows(odd, odd_rows, none):
     assert kept[3] == b"one" and all(hashlib.sha256(v).hexdigest() == want[k][3] for k, v in kept.items())
 
 
+@pytest.mark.parametrize("big", [2, 256])
+def test_unlike_texts_of_one_id_or_none(spark, big):
+    """Documents are told apart by id and text; several have no id, or one id, and passages at equal places."""
+    rng = random.Random(9)
+    some = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    pool = [some(150) for _ in range(4)]
+    rows = [(rng.choice([None, None, 5, (1 << 63) - 1, 10 + i]), rng.choice([pool[0], some(150)]) + some(rng.randint(0, 90)) + rng.choice(pool) + some(40)) for i in range(80)]
+    rows += rows[:5]
+    order = lambda r: (r[0] is None, r[0] or 0, repeats._sub(r[1].encode(), r[0] is None))
+    seen, want = {}, {}
+    for r in sorted(set(rows), key=order):
+        b = r[1].encode()
+        gone = bytearray(len(b))
+        for k in range(len(b) - 99):
+            if seen.setdefault(b[k : k + 100], (r, k)) != (r, k):
+                gone[k : k + 100] = b"\1" * 100
+        want[r] = bytes(x for x, g in zip(b, gone, strict=True) if not g)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = repeats.remove_repeats(df, big=big, with_text=True).collect()
+    assert sorted((str(r.doc_id), bytes(r.kept)) for r in got) == sorted((str(r[0]), want[r]) for r in rows)
+
+
 def test_chunks_do_not_matter(monkeypatch):
     rng = random.Random(1)
     text = "".join(rng.choice("ab") for _ in range(3000)).encode()
