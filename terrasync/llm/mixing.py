@@ -25,6 +25,8 @@ GROUP = 32
 SEED = 42
 #: Documents of a source that may change sides at the end, one after the other.
 LANDINGS = 2
+#: Equal rows that are written out from one array.
+AT_ONCE = 4096
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -122,47 +124,77 @@ def dependent_rounding(nodes: DataFrame) -> DataFrame:
     return settled.select("id", "one")
 
 
-def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """rows (doc_id, source, size): adds source_size, target, copies and taken, one row for each row.
-
-    Equal rows are settled together and share their copies out evenly. Rows without words take nothing.
-    A null source is a source; a null doc_id is a document; an empty table gives an empty result.
-    """
-    grouped = written(rows.groupBy("doc_id", "source", "size").agg(F.count("*").alias("m")), "mix-rows")
-    targets = written(source_targets(grouped.select("source", (F.col("size") * F.col("m")).alias("size"))), "mix-targets").withColumnRenamed("source", "s")
+def _decided(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """A row for each group of equal rows (doc_id, source, size, tag): adds key, m (their number), source_size, target and all_copies."""
+    group = ("doc_id", "source", "size", "tag")
+    grouped = written(rows.groupBy(*group).agg(F.count("*").alias("m")), "mix-rows")
+    targets = written(source_targets(grouped.select("source", (F.col("size") * F.col("m")).alias("size")), weights, share, most), "mix-targets").withColumnRenamed("source", "s")
     share_of = F.when(F.col("source_size") > 0, F.least(F.lit(float(most)), F.col("target") / F.col("source_size"))).otherwise(0.0)
     joined = grouped.join(targets.drop("n_rows"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     joined = joined.withColumn("expected", F.when(F.col("size") > 0, share_of * F.col("m")).otherwise(0.0)).withColumn("sure", F.floor("expected")).withColumn("p", F.col("expected") - F.col("sure"))
     # The tree draws by what a row holds, not by where it lies, so that reruns agree.
-    key = F.xxhash64("doc_id", "source", "size")
-    nodes = joined.where("p > 0").select("source", key.alias("id"), F.col("size").cast("double").alias("z"), "p")
+    joined = joined.withColumn("key", F.xxhash64(*group))
+    nodes = joined.where("p > 0").select("source", F.col("key").alias("id"), F.col("size").cast("double").alias("z"), "p")
     ones = dependent_rounding(nodes).where("one").select(F.col("id").alias("key")).distinct()
     ones = written(ones, "mix-ones").withColumn("one", F.lit(1))
-    total = joined.withColumn("key", key).join(ones, "key", "left").withColumn("all_copies", F.col("sure") + F.coalesce("one", F.lit(0)))
-    each = total.withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), "m")))
+    total = joined.join(ones, "key", "left").withColumn("all_copies", (F.col("sure") + F.coalesce("one", F.lit(0))).cast("long"))
+    return total.select(*group, "key", "m", "source_size", "target", "all_copies")
+
+
+def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """rows (doc_id, source, size, and tag if they have it): adds source_size, target, copies and taken, one row for each row.
+
+    tag tells rows of one id, source and size apart. Equal rows are settled together and share their copies
+    out evenly. Rows without words take nothing. A null source is a source; a null doc_id is a document; an
+    empty table gives an empty result.
+    """
+    if "tag" not in rows.columns:
+        rows = rows.withColumn("tag", F.lit(0).cast("long"))
+    total = _decided(rows, weights, share, most)
+    # Equal rows come back in two steps, so that no array is as long as their number.
+    runs = total.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("m") - 1) / AT_ONCE) * AT_ONCE, F.lit(AT_ONCE).cast("long"))))
+    each = runs.withColumn("k", F.explode(F.sequence(F.col("from") + 1, F.least(F.col("m"), F.col("from") + AT_ONCE))))
     copies = F.floor(F.col("all_copies") / F.col("m")) + F.when(F.col("k") <= F.col("all_copies") % F.col("m"), 1).otherwise(0)
     return each.select("doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))
 
 
+def _measured(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> dict[str, Column]:
+    return {"doc_id": docs[id_col], "source": docs[source_col], "size": word_count(docs[text_col]), "tag": F.xxhash64(docs[text_col])}
+
+
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **how) -> DataFrame:
     """mix() over a table of documents, whose size is their number of words (null text: 0)."""
-    return mix(docs.select(docs[id_col].alias("doc_id"), docs[source_col].alias("source"), word_count(docs[text_col]).alias("size")), **how)
+    return mix(docs.select(*(c.alias(n) for n, c in _measured(docs, id_col, source_col, text_col).items())), **how)
 
 
 def take_mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **how) -> DataFrame:
     """The mixed corpus: the rows of docs, each as often as the mix takes it, with the columns of docs.
 
-    Rows without words (no tokens to weigh) aren't taken. Rows of one id and equal source and size get
-    their copies in any order among themselves.
+    Rows without words (no tokens to weigh) aren't taken. Rows meet their decision by one key, a hash of id,
+    source, size and text, null ids like others. Rows that agree in all of these share their copies out
+    evenly; those that get one more are the first ones by partition of the input. An empty table gives an
+    empty result; other columns may have any names.
     """
-    decided = mix_documents(docs, id_col, source_col, text_col, **how).where("copies > 0")
-    decided = decided.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("source", "size", "copies"))).alias("__found"))
-    nothing = F.lit(-(1 << 63))  # stands for a null id, so that rows meet and are numbered by one plain key
-    decided = written(decided.select(F.coalesce("doc_id", nothing).alias("__key"), "__found"), "mix-decided")
+    measured = _measured(docs, id_col, source_col, text_col)
+    decided = _decided(docs.select(*(c.alias(n) for n, c in measured.items())), **how).where("all_copies > 0")
+    decided = decided.select(F.col("key").alias("__key"), (F.col("all_copies") / F.col("m")).cast("long").alias("__each"), (F.col("all_copies") % F.col("m")).alias("__more"))
+    decided = written(decided, "mix-decided")
     names = docs.columns
-    rows = docs.withColumns({"__key": F.coalesce(docs[id_col].cast("long"), nothing), "__size": word_count(docs[text_col])}).join(decided, "__key")
-    rows = rows.withColumn("__mine", F.filter("__found", lambda x: x["source"].eqNullSafe(docs[source_col]) & (x["size"] == F.col("__size"))))
-    # Rows of one id, source and size take one entry each. They are numbered where the join has brought them.
-    nth = F.row_number().over(W.partitionBy("__key", docs[source_col], "__size").orderBy(F.lit(0)))
-    rows = rows.where(F.size("__mine") > 0).withColumn("__copies", F.get("__mine", nth - 1)["copies"])
-    return rows.where("__copies > 0").withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(*names)
+    keyed = docs.withColumn("__key", F.xxhash64(*measured.values()))
+
+    def copied(rows: DataFrame, copies: Column) -> DataFrame:
+        return rows.withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(*names)
+
+    even = copied(keyed.join(decided.where("__more = 0"), "__key"), F.col("__each"))
+    uneven = decided.where("__more > 0")
+    if uneven.isEmpty():
+        return even
+    # Equal rows may be a great part of the table: they are numbered by partition, and partitions are counted up.
+    rows = written(keyed.join(uneven, "__key").withColumn("__part", F.spark_partition_id()), "mix-uneven")
+    numbered = rows.withColumn("__nth", F.row_number().over(W.partitionBy("__key", "__part").orderBy(F.lit(0))))
+    counts = rows.groupBy("__key", "__part").agg(F.count("*").alias("__n"))
+    earlier = W.partitionBy("__key").orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    counts = counts.select("__key", "__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    one_more = F.col("__each") + (F.col("__before") + F.col("__nth") <= F.col("__more")).cast("long")
+    placed = numbered.join(counts, ["__key", "__part"]).withColumn("__copies", one_more).where("__copies > 0")
+    return even.union(copied(placed, F.col("__copies")))

@@ -84,3 +84,22 @@ def test_probabilities_are_kept(spark):
         mixing.SEED, mixing.LANDINGS = seed, landings
     for k, p in enumerate((0.3, 0.5, 0.7, 0.25, 0.4, 0.6)):
         assert abs(hits[k] / (8 * runs) - p) < 0.13
+
+
+def test_many_rows_without_an_id(spark):
+    """A third of the rows share the null id; some of them are equal in all that counts."""
+    texts = ["word " * (1 + i % 90) + str(i % 300) for i in range(3000)]
+    rows = [(None if i % 3 == 0 else i, t, "s" if i % 2 else None, i) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, tag long").repartition(6)
+    decided = mixing.mix_documents(df).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("n")).where("n > 0").collect()
+    taken = mixing.take_mix(df).collect()
+    got = Counter((str(r.doc_id), str(r.source), len(r.text.split())) for r in taken)
+    assert got == Counter({(str(r.doc_id), str(r.source), r["size"]): r.n for r in decided})
+    assert max(Counter(r.tag for r in taken).values()) <= 2
+
+
+def test_equal_rows_share_evenly(spark):
+    df = spark.createDataFrame([(7, "a b c", "s")] * 9001 + [(8, "a b", "s"), (9, "d", "t")], "doc_id long, text string, source string")
+    got = [r.copies for r in mixing.mix_documents(df).where("doc_id = 7").collect()]
+    assert len(got) == 9001 and max(got) - min(got) <= 1
+    assert mixing.take_mix(df).where("doc_id = 7").count() == sum(got)
