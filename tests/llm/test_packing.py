@@ -91,3 +91,58 @@ def test_windows_follow_targets(spark, encode):
         for w in range(10):
             run += share[w]
             assert all(abs(run[s] - 1024 * (w + 1) * want[s]) <= 128 for s in want)  # and deficits don't pile up
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_rounds_by_brute_force(seed):
+    """Pieces of all queues tile the stream, and the stream is what rounds sent one by one would give."""
+    rng = np.random.default_rng(seed)
+    tokens = rng.integers(1, 3000, int(rng.integers(1, 8)))
+    quanta = tokens / tokens.sum() * 64 if seed % 2 else (x := rng.random(len(tokens)) * 30 + 0.01) / x.sum() * 64
+    order = np.argsort(-quanta)
+    quanta, tokens = quanta[order], tokens[order]
+    packets = [1 if q >= 1 else 16 for q in quanta]
+    want, sent, r = [], [0] * len(tokens), 0
+    while len(want) < tokens.sum():
+        r += 1
+        for s, (q, p, t) in enumerate(zip(quanta.tolist(), packets, tokens.tolist(), strict=True)):
+            due = min(int(r * q // p) * p, t)
+            want += [(s, k) for k in range(sent[s], due)]
+            sent[s] = due
+    got = [None] * len(want)
+    rounds = packing.Rounds(quanta.tolist(), tokens.tolist(), packets)
+    for s, t in enumerate(tokens):
+        cuts = np.unique(np.append(rng.integers(0, t, 5), [0, t]))
+        for owner, start, length, at in zip(*rounds.pieces(np.full(len(cuts) - 1, s), cuts[:-1], np.diff(cuts)), strict=True):
+            for k in range(length):
+                assert got[at + k] is None
+                got[at + k] = (s, int(cuts[owner] + start + k))
+    assert got == want
+
+
+def test_windows_of_documents_hold_their_proportions(spark):
+    """Shipped settings: each window holds a source's share but for one token; the largest gives way by a token a source."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    pieces = packing.pack(docs).join(docs.select("doc_id", "source"), "doc_id").collect()
+    total, per, share = sum(p.length for p in pieces), Counter(), defaultdict(Counter)
+    for p in pieces:
+        per[p.source] += p.length
+        share[p.sequence_id][p.source] += p.length
+    assert len(per) > 5
+    largest = max(per, key=per.get)
+    for w in range(total // 1024):
+        for s, n in per.items():
+            assert abs(share[w][s] - 1024 * n / total) <= 1 + len(per) * (s == largest) + 1e-6
+
+
+def test_small_sources_and_targets_of_zero(spark, encode):
+    rows = [(i, "word " * 300, "big") for i in range(120)] + [(1000 + i, f"some {i}", f"tiny{i}") for i in range(30)] + [(2000 + i, "late " * 50, ["x", None][i % 2]) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    check(packing.pack(df, with_ids=True).collect(), rows, encode)
+    got = packing.pack(df, targets={"x": 0, None: 0.0}, with_ids=True).collect()
+    check(got, rows, encode)
+    place = {p.doc_id: p.sequence_id * 1024 + p.offset for p in got}
+    assert max(v for k, v in place.items() if k < 2000) < min(v for k, v in place.items() if k >= 2000)
+    check(packing.pack(df, targets={r[2]: 0 for r in rows}, with_ids=True).collect(), rows, encode)
+    with pytest.raises(ValueError):
+        packing.pack(df, targets={"big": -1})
