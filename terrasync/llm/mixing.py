@@ -185,7 +185,8 @@ def take_mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     def copied(rows: DataFrame, copies: Column) -> DataFrame:
         return rows.withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(*names)
 
-    even = copied(keyed.join(decided.where("__more = 0"), "__key"), F.col("__each"))
+    # Always by a shuffle, so that small tables take the way of large ones.
+    even = copied(keyed.join(decided.where("__more = 0").hint("merge"), "__key"), F.col("__each"))
     uneven = decided.where("__more > 0")
     if uneven.isEmpty():
         return even
