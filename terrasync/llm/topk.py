@@ -1,8 +1,9 @@
 """Exact top-k search by integer inner product, over buckets of vectors of like length.
 
 Vectors are dealt into buckets by length (quantiles), long ones first. The longest bucket gives every
-query a first threshold, its k-th best score there. A query then goes only to buckets whose longest
-vector could still reach that threshold. Within a bucket, slices of falling length are worked off under
+query a first threshold, its k-th best score there, and with it the least length a candidate needs. Queries
+are dealt into blocks by that length, so a candidate is copied only to the blocks in which some query can still
+take it, and a query goes only to buckets that can reach its threshold. Within a bucket, slices of falling length are worked off under
 the running threshold: threshold / (query length * slice length) is the local cosine that a candidate
 needs. Above 1 the slice is skipped; where the local cosine is high, the query's largest coordinate bounds
 the candidates' one (coordinate pruning); otherwise only the slice's long enough head is taken (length
@@ -15,16 +16,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .common import written
 
 K, SCALE, EVERY = 10, 1024, 100
-#: Length buckets at most; rows of a bucket's block and of a query block (some 30 MB of 64 dimensions, which
+#: Length buckets at most, and vectors in one on average at least; rows of a bucket's block and of a query block (some 30 MB of 64 dimensions, which
 #: bounds a task's memory; larger ones copy each row to fewer blocks); candidates and queries multiplied at once.
-BUCKETS, BLOCK, QUERY_BLOCK, SLICE, AT_ONCE = 64, 65536, 65536, 2048, 1024
+BUCKETS, PER_BUCKET, BLOCK, QUERY_BLOCK, SLICE, AT_ONCE = 64, 64, 65536, 65536, 2048, 1024
 #: Local cosine from which coordinate pruning is tried, and the share of a slice it must leave at most.
 COSINE, LEAVES = 0.6, 0.25
 _LONG = (1 << 63) - 1
@@ -165,44 +166,75 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _blocks(rows: DataFrame, number: str, most: int, into: str) -> tuple[DataFrame, dict[int, int]]:
+    """rows with column into, their block within number, dealt by hash so that a block has most rows on average
+    at most; and the blocks of each number. Numbers are few."""
+    counts = {r[0]: r[1] for r in rows.groupBy(number).agg(F.count("*")).collect()}
+    blocks = {x: max(1, -(-n // most)) for x, n in counts.items()}
+    dealt = F.element_at(F.array(*(F.lit(blocks.get(x, 1)) for x in range(max(blocks, default=0) + 1))), F.col(number) + 1)
+    return rows.withColumn(into, F.pmod(F.xxhash64("id", "v"), dealt).cast("int")), blocks
+
+
+def _place(x: Column, bounds: list[float]) -> Column:
+    """How many of the bounds x reaches."""
+    return F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= x)) if bounds else F.lit(0)
+
+
 def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = SCALE) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows for each row whose id is divisible by every.
 
-    Candidates are all rows with another id. Ties go to the smaller id; fewer rows than k are all given.
-    Vectors that are null or hold a null or a non-finite component, and rows without an id, take no part.
-    Of rows with one id the one with the smallest components (as stored bytes) counts. Vectors of unlike
-    length are filled up with zeros. Scores are held to the range of a long. Other columns are ignored.
+    Candidates are all rows with another id, repeated rows each by itself. Ties go to the smaller id; fewer
+    rows than k are all given. Vectors that are null or hold a null or a non-finite component, and rows without
+    an id, take no part. Of query rows with one id the one with the smallest components (as stored bytes) is
+    the query. Vectors of unlike length are filled up with zeros. Scores are held to the range of a long.
+    Other columns are ignored.
     """
-    v = written(quantize(vectors, id_col, vec_col, scale).groupBy("id").agg(F.min(F.struct("v", "norm")).alias("x")).select("id", "x.v", "x.norm"), "topk-vectors")
+    v = written(quantize(vectors, id_col, vec_col, scale), "topk-vectors")
     total = v.count()
-    share = [i / BUCKETS for i in range(BUCKETS - 1, 0, -1)] if total > BUCKETS * 64 else []
-    bounds = sorted(set(v.approxQuantile("norm", share, 0.002)) if share else (), reverse=True)  # at most BUCKETS numbers
-    bucket = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b > F.col("norm"))) if bounds else F.lit(0)
-    v = v.withColumn("bucket", bucket.cast("int"))
-    sizes = {r.bucket: r for r in v.groupBy("bucket").agg(F.count("*").alias("n"), F.max("norm").alias("top")).collect()}  # at most BUCKETS rows
-    if not sizes:
+    if not total:
         return v.select(F.col("id").cast("long").alias("query_id"), F.lit(1).alias("rank"), F.col("id").cast("long").alias("vec_id"), F.lit(0).cast("long").alias("score"))
-    blocks = [max(1, -(-sizes[b].n // BLOCK)) if b in sizes else 1 for b in range(max(sizes) + 1)]
-    n_queries = v.where(F.col("id") % every == 0).count()
-    query_blocks = max(1, -(-n_queries // QUERY_BLOCK))
-
-    dealt = F.pmod(F.xxhash64("id"), F.element_at(F.array(*map(F.lit, blocks)), F.col("bucket") + 1)).cast("int")
-    candidates = v.withColumn("block", dealt).withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    queries = v.where(F.col("id") % every == 0).select("id", "v", "norm", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(query_blocks)).cast("int").alias("query_block"))
+    n_buckets = max(2, min(BUCKETS, total // PER_BUCKET))
+    bounds = sorted(set(v.approxQuantile("norm", [i / n_buckets for i in range(1, n_buckets)], 0.002)))  # at most BUCKETS numbers
+    # Buckets count from the longest vectors on.
+    v = v.withColumn("bucket", (F.lit(len(bounds)) - _place(F.col("norm"), bounds)).cast("int"))
+    tops = {r[0]: r[1] for r in v.groupBy("bucket").agg(F.max("norm")).collect()}  # at most BUCKETS rows
+    v, blocks = _blocks(v, "bucket", BLOCK, "block")
+    queries = v.where(F.col("id") % every == 0).groupBy("id").agg(F.min(F.struct("v", "norm")).alias("x")).select("id", "x.v", "x.norm")
+    queries = written(queries, "topk-queries")
 
     def to_blocks(q: DataFrame, which: list[int]) -> DataFrame:
         """Queries copied to the blocks of those buckets that can still reach their floor."""
-        known = [F.struct(F.lit(b).alias("bucket"), F.lit(blocks[b]).alias("blocks"), F.lit(sizes[b].top).alias("top")) for b in which]
+        known = [F.struct(F.lit(b).alias("bucket"), F.lit(blocks[b]).alias("blocks"), F.lit(tops[b]).alias("top")) for b in which]
         reached = F.filter(F.array(*known), lambda x: F.col("norm") * x["top"] * (1 + 1e-9) >= F.col("floor"))
         met = q.withColumn("x", F.explode(reached)).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("x.blocks") - 1)))
         return met.select("x.bucket", "block", "query_block", "id", "v", "norm", "floor")
 
-    first = min(sizes)
-    opened = to_blocks(queries.withColumn("floor", F.lit(float("-inf"))), [first])
-    begun = written(_best(_meet(candidates.where(F.col("bucket") == first), opened, k), k), "topk-first")
+    def to_query_blocks(rows: DataFrame, known: list[tuple[int, float]]) -> DataFrame:
+        """Candidates copied to the query blocks (number, least length needed there) that can take them."""
+        of = F.filter(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(need).alias("need")) for i, need in known)), lambda x: F.col("norm") * (1 + 1e-9) >= x["need"])
+        return rows.withColumn("x", F.explode(of)).select("bucket", "block", F.col("x.i").alias("query_block"), "id", "v", "norm")
+
+    first = min(tops)
+    opened, several = _blocks(queries.withColumns({"one": F.lit(0), "floor": F.lit(float("-inf"))}), "one", QUERY_BLOCK, "query_block")
+    begun = _meet(to_query_blocks(v.where(F.col("bucket") == first), [(i, 0.0) for i in range(several.get(0, 0))]), to_blocks(opened, [first]), k) if several else None
+    if begun is None:
+        return v.select(F.col("id").cast("long").alias("query_id"), F.lit(1).alias("rank"), F.col("id").cast("long").alias("vec_id"), F.lit(0).cast("long").alias("score")).limit(0)
+    begun = written(_best(begun, k), "topk-first")
     found = begun.drop("rank")
-    if rest := [b for b in sorted(sizes) if b != first]:
+    if rest := [b for b in sorted(tops) if b != first]:
         floors = begun.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("floor"))
         again = queries.join(floors, "id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
-        found = found.unionByName(_meet(candidates.where(F.col("bucket") != first), to_blocks(again, rest), k))
+        need = F.when((F.col("floor") > 0) & (F.col("norm") > 0), F.col("floor") / F.col("norm")).otherwise(0.0)
+        again = written(again.withColumn("need", need), "topk-again")
+        n_ranges = several[0]
+        cuts = sorted(set(again.approxQuantile("need", [i / n_ranges for i in range(1, n_ranges)], 0.002))) if n_ranges > 1 else []
+        again, parts = _blocks(again.withColumn("range", _place(F.col("need"), cuts)), "range", QUERY_BLOCK, "part")
+        starts, known = {}, []
+        least = {r[0]: r[1] for r in again.groupBy("range").agg(F.min("need")).collect()}
+        for x in sorted(parts):
+            starts[x] = len(known)
+            known += [(len(known) + i, least[x]) for i in range(parts[x])]
+        start = F.element_at(F.array(*(F.lit(starts.get(x, 0)) for x in range(max(starts) + 1))), F.col("range") + 1)
+        again = again.withColumn("query_block", (start + F.col("part")).cast("int"))
+        found = found.unionByName(_meet(to_query_blocks(v.where(F.col("bucket") != first), known), to_blocks(again, rest), k))
     return _best(found, k).select("query_id", "rank", "vec_id", "score")

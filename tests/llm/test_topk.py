@@ -54,3 +54,31 @@ def test_odd_vectors(spark):
     assert first.vec_id == 8 and first.score == (1 << 63) - 1  # held to a long; ties to the smaller id
     assert topk.top_k(table(spark, [])).collect() == []
     assert topk.top_k(table(spark, [(100, [1.0])])).collect() == []
+
+
+def test_repeated_rows_are_candidates_each(spark):
+    got = topk.top_k(table(spark, [(0, [1.0]), (1, [2.0]), (1, [3.0]), (1, [3.0]), (2, [-1.0])])).collect()
+    assert sorted((r["rank"], r.vec_id, r.score) for r in got) == [(1, 1, 3145728), (2, 1, 3145728), (3, 1, 2097152), (4, 2, -1048576)]
+
+
+def test_small_tables_have_buckets_too(spark, monkeypatch):
+    """As few as 500 vectors meet bucket by bucket, and short candidates aren't copied to queries beyond their reach."""
+    seen = []
+    meet = topk._meet
+
+    def counted(candidates, queries, k):
+        seen.append((candidates.select("bucket").distinct().count(), candidates.count(), queries.count()))
+        return meet(candidates, queries, k)
+
+    monkeypatch.setattr(topk, "_meet", counted)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 20)
+    rng = np.random.default_rng(3)
+    x = (rng.normal(size=(500, 4)) * np.geomspace(0.5, 3, 500)[:, None]).astype(np.float32)
+    got = topk.top_k(table(spark, [(i, v.tolist()) for i, v in enumerate(x)]), every=5).collect()
+    assert seen[0][0] == 1 and seen[1][0] > 2
+    assert seen[1][1] < 0.7 * 5 * 500  # five blocks of queries
+    y = np.floor(1024 * x.astype(np.float64)).astype(np.int64)
+    for q in range(0, 500, 5):
+        s = y @ y[q]
+        best = [j for j in np.lexsort((np.arange(500), -s)) if j != q][:10]
+        assert sorted((r["rank"], r.vec_id) for r in got if r.query_id == q) == [(k + 1, int(j)) for k, j in enumerate(best)]
