@@ -26,16 +26,26 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined(F.filter("secrets", lambda x: x["kind"].isin(base))), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
 
 
-def _spans_sql(place: int, kind: str, pattern: str, tested: int = 0, least: int = 0) -> str:
-    """A rule's matches with their starts: what the text holds before each match, matches and the pieces between them."""
+def _spans_sql(place: int, kind: str, pattern: str, tested: int = 0, least: int = 0, span: int = 0) -> str:
+    """A rule's matches with their starts: what the text holds before each match, matches and the pieces between them.
+
+    The span is that group of the match, which ends where the match does.
+    """
     pattern = pattern.replace("'", "''")
     return f"""
-  SELECT doc_id, {place} AS place, '{kind}' AS kind, length(m[i]) AS n, length(x[i]) AS tested, {least} AS least,
+  SELECT doc_id, {place} AS place, '{kind}' AS kind, length(s[i]) AS n, length(x[i]) AS tested, {least} AS least,
          sum(length(p[i]) + length(m[i])) OVER (PARTITION BY doc_id ORDER BY i) AS stop
-  FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {tested}) AS x, regexp_split_to_array(t, '{pattern}') AS p FROM d),
+  FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {tested}) AS x, regexp_extract_all(t, '{pattern}', {span}) AS s, regexp_split_to_array(t, '{pattern}') AS p FROM d),
        unnest(range(1, len(m) + 1)) AS u(i)"""
 
 
+def _extra_sql(place: int, rule: secret_scan.Rule) -> str:
+    """SQL's patterns can't look behind: a match there takes in the character before it, and the span is the rest."""
+    if m := re.fullmatch(r"\(\?<!\[(.+?)\]\)(.+)", rule.pattern):
+        return _spans_sql(place, rule.kind, f"(?:^|[^{m[1]}])({m[2]})", span=1)
+    return _spans_sql(place, rule.kind, rule.pattern)
+
+
 _NAMES = re.sub("[a-z]", lambda m: f"[{m[0].upper()}{m[0]}]", "password|passwd|secret|token|api_?key")
 OP1_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents
@@ -43,10 +53,7 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents
     _spans_sql(0, "assign", "(" + _NAMES + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     _spans_sql(1, "access", "AKIA[A-Z0-9]+", 0, 20),
     _spans_sql(2, "hex", "[0-9a-f]+", 0, 24),
-    _spans_sql(3, "private_key", "-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
-    _spans_sql(4, "code_host", "gh[pousr]_[A-Za-z0-9]{36,}"),
-    _spans_sql(5, "chat_bot", "xox[abprs]-[A-Za-z0-9-]{10,}"),
-    _spans_sql(6, "web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    *(_extra_sql(3 + i, rule) for i, rule in enumerate(secret_scan.EXTRA_RULES)),
 ))}
 ), s AS (SELECT *, stop - n AS start, concat(kind, ':', stop - n, ':', stop) AS span FROM a WHERE tested >= least)
 SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,

@@ -45,12 +45,37 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]+", 0, 24),
 )
-#: Further well-known credential shapes.
+#: Further well-known credential shapes (fixed values: the formats their issuers publish). A private key reaches to
+#: its END line or, where none comes, over the base64 lines that follow. A web token is looked for where a run of
+#: its characters begins, so a text of many beginnings is read once.
 EXTRA_RULES = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?:[^-]*(?:-[^-]+)*-----END (?:[A-Z]+ )*PRIVATE KEY-----|(?:[\x20\x09-\x0D]+[A-Za-z0-9+/]{16,}=*)*)"),
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_bot", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("pgp_key", r"-----BEGIN PGP PRIVATE KEY BLOCK-----(?:[^-]*(?:-[^-]+)*-----END PGP PRIVATE KEY BLOCK-----)?"),
+    Rule("session_access", r"ASIA[A-Z0-9]{16,}"),
+    Rule("code_host_fine", r"github_pat_[A-Za-z0-9_]{22,}"),
+    Rule("code_host_own", r"glpat-[A-Za-z0-9_-]{20,}"),
+    Rule("maps_key", r"AIza[A-Za-z0-9_-]{35}"),
+    Rule("cloud_login", r"ya29\.[A-Za-z0-9_-]{20,}"),
+    Rule("payment", r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,}"),
+    Rule("mail_sender", r"SG\.[A-Za-z0-9_-]{16,}\.[A-Za-z0-9_-]{16,}"),
+    Rule("mail_gateway", r"key-[0-9a-f]{32}"),
+    Rule("package_js", r"npm_[A-Za-z0-9]{36,}"),
+    Rule("package_py", r"pypi-[A-Za-z0-9_-]{16,}"),
+    Rule("chat_hook", r"hooks\.slack\.com/services/[A-Za-z0-9/]{20,}"),
+    Rule("shop", r"shp(?:at|ca|pa|ss)_[0-9a-fA-F]{32,}"),
+    Rule("cloud_droplet", r"do[opr]_v1_[0-9a-f]{64}"),
+    Rule("vault", r"hvs\.[A-Za-z0-9_-]{24,}"),
+    Rule("tracker", r"lin_api_[A-Za-z0-9]{32,}"),
+    Rule("model_hub", r"hf_[A-Za-z]{30,}"),
+    Rule("data_platform", r"dapi[0-9a-f]{32}"),
+    Rule("storage_account", r"AccountKey=[A-Za-z0-9+/]{40,}=*"),
+    Rule("database_url", r"(?:postgres|postgresql|mysql|mongodb|redis|amqp)://[^\x20\x09-\x0D:/@]{1,100}:[^\x20\x09-\x0D:/@]{1,100}@"),
+    Rule("basic_login", r"Authorization: Basic [A-Za-z0-9+/]{16,}=*"),
+    Rule("bearer_login", r"Authorization: Bearer [A-Za-z0-9._-]{20,}"),
+    Rule("age_key", r"AGE-SECRET-KEY-1[0-9A-Z]{50,}"),
 )
 RULES = BASE_RULES + EXTRA_RULES
 
@@ -277,6 +302,7 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
     return one.mapInArrow(each, f"id {kind}, secrets array<struct<start:bigint,end:bigint,kind:string>>").withColumnRenamed("id", id_col)
 
 
+_KEY_BEGIN = re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----")
 _KEY_END = re.compile(r"-----END (?:[A-Z]+ )*PRIVATE KEY-----")
 _KEY_GAP = re.compile(r"""(?:\s|\\+[nrt]|[>"',])*""")
 _KEY_HEADER = re.compile(r"(?:Proc-Type|DEK-Info|Key-Info|MIC-Info|Content-Domain|Comment):[^\n\\]*")
@@ -309,11 +335,12 @@ def _key_end(text: str, at: int, stop: int) -> int:
 
 
 def _whole_keys(text: str, spans: list[tuple[int, int, int]], kinds: list[str]) -> list[tuple[int, int, int]]:
-    """Spans of private keys reach over the key's body: the rule, as op1's SQL has it, finds the first line only."""
+    """Spans of private keys reach over whole bodies: header lines, short last lines and escaped breaks, which the
+    rule leaves where the END line is missing, go too."""
     out, stop = [], len(text)
     for s, k, e in reversed(spans):
         if kinds[k] == "private_key":
-            out.append((s, k, _key_end(text, e, stop)))
+            out.append((s, k, max(e, _key_end(text, _KEY_BEGIN.match(text, s).end(), stop))))
             stop = s
         else:
             out.append((s, k, e))
