@@ -13,9 +13,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where none is set (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or one of our own where none is set (local mode, tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = f"file://{tempfile.mkdtemp(prefix='terrasync-')}"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -49,3 +51,27 @@ def word_count(text: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: 128 bits that stand for a row's id and text.
+ROW = ["__row_a", "__row_b"]
+
+
+def row_hashes(docs: DataFrame, id_col: str, text_col: str) -> dict[str, Column]:
+    return {ROW[0]: F.xxhash64(docs[id_col], docs[text_col]), ROW[1]: F.xxhash64(F.lit(42), docs[text_col], docs[id_col])}
+
+
+def keep_firsts(docs: DataFrame, found: DataFrame, firsts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of docs but for those of found (ROW) that aren't in firsts (ROW), and of rows listed more than once one.
+
+    Only rows that go and rows listed more than once are looked up, always by a shuffle, so that small tables
+    take the way of large ones.
+    """
+    times = found.groupBy(*ROW).agg(F.count("*").alias("times"))
+    judged = written(times.join(firsts.withColumn("first", F.lit(True)), ROW, "left").where("first is null or times > 1"), "keep-judged")
+    rows = docs.withColumns(row_hashes(docs, id_col, text_col))
+    kept = rows.join(judged.select(*ROW).hint("merge"), ROW, "left_anti").select(*docs.columns)
+    again = judged.where("first")
+    if again.isEmpty():
+        return kept
+    return kept.union(rows.join(again.select(*ROW), ROW, "left_semi").dropDuplicates(ROW).select(*docs.columns))

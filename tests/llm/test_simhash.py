@@ -101,3 +101,40 @@ def test_components_of_paths_and_stars(spark):
     want = components(edges, {n for e in edges for n in e})
     assert got == {n: c for n, c in want.items()}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("hot", [0.0005, 0.01])
+def test_keys_of_many_unlike_fingerprints(spark, monkeypatch, hot):
+    """All fingerprints agree in 40 bits, so most keys hold them all; links are those of all pairs."""
+    monkeypatch.setattr(simhash, "LARGE", 64)
+    monkeypatch.setattr(simhash, "SAMPLE", 1000)
+    monkeypatch.setattr(simhash, "HOT", hot)
+    rng = random.Random(3)
+    fps = sorted({rng.getrandbits(24) << 20 | 0x5A for _ in range(1500)})
+    links = simhash.near_links(spark.createDataFrame([(i, f) for i, f in enumerate(fps)], "node long, fp long"))
+    assert components([(r.a, r.b) for r in links.collect()], range(len(fps))) == components(near(fps), range(len(fps)))
+
+
+def test_many_unlike_fingerprints_in_one_task():
+    import time
+
+    fp = np.random.default_rng(0).integers(0, 1 << 43, 200_000, dtype=np.uint64)
+    began = time.perf_counter()
+    simhash._links(fp, 4)
+    assert time.perf_counter() - began < 30
+
+
+def test_rows_without_an_id_link_others(spark, monkeypatch):
+    """Fingerprints 0, 3 bits, 6 bits: the middle one has no id."""
+    monkeypatch.setattr(simhash, "fingerprint", lambda t, _: {"a": 0, "b": 7, "c": 63}[t])
+    df = spark.createDataFrame([(5, "a"), (None, "b"), (9, "c")], "doc_id long, text string")
+    fps = [{"a": 0, "b": 7, "c": 63}[r.text] for r in df.collect()]
+    rows = spark.createDataFrame([(r.doc_id, f, f, f) for r, f in zip(df.collect(), fps, strict=True)], f"id long, fp long, {simhash.ROW[0]} long, {simhash.ROW[1]} long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda *_: rows)
+    assert {(r.doc_id, r.component_id) for r in simhash.near_duplicates(df).collect()} == {(5, 5), (None, 5), (9, 5)}
+
+
+def test_keep_one_judges_texts_of_one_id_apart(spark):
+    x, y = "one two three four five six " * 3, "seven eight nine ten eleven twelve " * 3
+    df = spark.createDataFrame([(1, x), (1, y), (2, y), (2, y)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in simhash.keep_one(df).collect()) == [(1, x), (1, y)]
