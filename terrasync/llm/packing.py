@@ -32,17 +32,20 @@ from pyspark.sql import Window as W
 from .common import written
 
 WINDOW, PACKET, END_ID = 1024, 256, 0
+#: Characters that tiktoken takes at once where it has given up on a whole text.
+LONGEST = 100_000
 #: Pieces that a task returns at once; numbers it holds at once while it places pieces.
 AT_ONCE, NUMBERS = 1024, 1 << 20
 
 
 @lru_cache(maxsize=4)
-def encoder(rank_path: str, json_path: str):
+def encoder(rank_path: str, json_path: str | None):
     """A function text -> ids, from the two files of one vocabulary.
 
     tiktoken reads the ranks and gives the ids of tokenizers in a fifth of the time. tokenizers itself, from
     the JSON file, encodes texts that hold an added token such as <|endoftext|>, which has an id of its own,
-    and runs of about a million spaces, where tiktoken's pattern matcher gives up.
+    and runs of about a million spaces, where tiktoken's pattern matcher gives up. A vocabulary without a JSON
+    file has no added tokens, and such runs are cut there.
     """
     import public_tokenizers
     import tiktoken
@@ -50,8 +53,10 @@ def encoder(rank_path: str, json_path: str):
     with open(rank_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    with open(json_path, encoding="utf-8") as f:
-        added = [t["content"] for t in json.load(f)["added_tokens"]]
+    added = []
+    if json_path:
+        with open(json_path, encoding="utf-8") as f:
+            added = [t["content"] for t in json.load(f)["added_tokens"]]
 
     @lru_cache(maxsize=1)
     def slow():
@@ -66,6 +71,8 @@ def encoder(rank_path: str, json_path: str):
             except BaseException as e:  # the matcher's panic isn't an Exception
                 if type(e).__name__ != "PanicException":
                     raise
+                if not json_path:
+                    return [i for k in range(0, len(text), LONGEST) for i in fast(text[k : k + LONGEST])]
         return slow().encode(text, add_special_tokens=False).ids
 
     return encode

@@ -145,7 +145,30 @@ FROM gap JOIN d USING (doc_id) GROUP BY doc_id
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after a load, a takedown of toxic documents, a move of poor ones to quarantine, and a repeated load."""
+    """Totals of real tokens after a load, a takedown of toxic documents, a change of the tokenizer version for
+    documents that aren't English, whose counts are revised, a move of poor ones to quarantine, and a repeated load."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    (first, files), (second, other) = token_counts.vocabularies().items()
+    counts = written(token_counts.encoded(docs, first, files), "token-counts")
+    foreign = "lang <> 'en' or lang is null"
+    recounted = written(token_counts.encoded(docs.where(foreign), second, other), "token-recounts")
+    toxic = labels.where("toxic = 1").select(F.col("doc_id").alias("id"))
+    poor = labels.where("quality = 0 and toxic = 0").select(F.col("doc_id").alias("id"))
+    new = recounted.join(toxic, "id", "left_anti")
+    now = counts.join(toxic, "id", "left_anti").where(f"not ({foreign})").unionByName(new)
+    old = now.join(poor, "id", "left_semi")
+    rollup = token_counts.Rollup(spark, f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}", compact=3)
+    rollup.commit("load", token_counts.inserts(counts))
+    rollup.commit("takedown", token_counts.deletes(counts.join(toxic, "id", "left_semi")))
+    rollup.commit("version", token_counts.revisions(counts.join(toxic, "id", "left_anti").where(foreign), new))
+    rollup.commit("quarantine", token_counts.revisions(old, old.withColumn("source", F.lit("quarantine"))))
+    rollup.commit("load", token_counts.inserts(counts))
+    return rollup.totals()
+
+
+def token_rollup_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator over patterns that SQL has, too: a load, a takedown of toxic documents, a move of poor ones
+    to quarantine, and a repeated load."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     counts = written(token_counts.counted(docs), "token-counts")
     toxic = labels.where("toxic = 1").select(F.col("doc_id").alias("id"))
@@ -159,7 +182,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
-OP7_SQL = r"""
+ROLLUP_SQL = r"""
 WITH toxic AS (SELECT doc_id FROM labels WHERE toxic = 1), poor AS (SELECT doc_id FROM labels WHERE quality = 0 AND toxic = 0), d AS (
   SELECT CASE WHEN doc_id IN (FROM poor) THEN 'quarantine' ELSE source END AS source, lang,
          len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w, len(regexp_extract_all(text, '[0-9A-Za-z]+|[^0-9A-Za-z\x20\x09-\x0D]')) AS p
@@ -227,4 +250,7 @@ QUERIES = {
         op10_quality_rules,
     )
 }
-ORACLES = {"op1_secret_scan": OP1_SQL, "op2_chat_format": OP2_SQL, "op3_top_k": OP3_SQL, "op6_repeats": OP6_SQL, "op7_token_counts": OP7_SQL, "op8_sharding": OP8_SQL, "op10_quality_rules": OP10_SQL}
+ORACLES = {"op1_secret_scan": OP1_SQL, "op2_chat_format": OP2_SQL, "op3_top_k": OP3_SQL, "op6_repeats": OP6_SQL, "op8_sharding": OP8_SQL, "op10_quality_rules": OP10_SQL}
+#: Operators once more, over what SQL can express.
+MORE_QUERIES = {"token_rollup_words": token_rollup_words}
+MORE_ORACLES = {"token_rollup_words": ROLLUP_SQL}

@@ -89,3 +89,61 @@ def test_written_shards(spark, odd, tmp_path):
     back = spark.read.parquet(f"file://{tmp_path}/s")
     assert back.count() == docs.count() and back.select("shard").distinct().count() > 3
     assert shared_dir(spark)
+
+
+def test_snapshots(spark, odd, odd_rows, tmp_path):
+    """Totals stay what they are through snapshots, batches stay known, and reading leaves compacted ones alone."""
+    rollup = token_counts.Rollup(spark, f"file://{tmp_path}/r", compact=2)
+    plain = token_counts.Rollup(spark, f"file://{tmp_path}/p", compact=1000)
+    counts = token_counts.counted(odd)
+    for i in range(5):
+        changes = (token_counts.deletes if i == 2 else token_counts.inserts)(counts.where(f"coalesce(id, 0) % 5 <= {i}"))
+        assert rollup.commit(f"b{i}", changes) and plain.commit(f"b{i}", changes)
+        assert totals(rollup) == totals(plain)
+    number, last, open_ = rollup._open()
+    assert number == 2 and len(open_) == 1
+    assert not rollup.commit("b0", token_counts.inserts(counts)) and totals(rollup) == totals(plain)
+    for folder in (tmp_path / "r" / "committed").iterdir():  # what a snapshot holds isn't read again
+        if folder.name not in open_:
+            shutil.rmtree(folder)
+    assert totals(rollup) == totals(plain)
+
+
+def test_op7_counts_real_tokens(spark):
+    import public_tokenizers
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    from terrasync.llm import packing, queries
+
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet").collect() for t in ("documents", "labels"))
+    toxic = {r.doc_id for r in labels if r.toxic == 1}
+    poor = {r.doc_id for r in labels if r.quality == 0 and r.toxic == 0}
+    first = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    other = packing.encoder(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), None)
+    want = defaultdict(lambda: [0, 0])
+    for d in docs:
+        if d.doc_id not in toxic:
+            english = d.lang == "en"
+            n = len(first.encode(d.text or "", add_special_tokens=False).ids if english else other(d.text or ""))
+            x = want["quarantine" if d.doc_id in poor else d.source, d.lang, "byte_bpe_50k" if english else "byte_bpe_multi_50k"]
+            x[0] += 1
+            x[1] += n
+    got = {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens) for r in queries.op7_token_counts(spark, sf).collect()}
+    assert got == {k: tuple(v) for k, v in want.items()} and len({k[2] for k in got}) == 2
+    assert tiktoken and other(" " * 1_200_000)
+
+
+def test_rollup_against_sql(spark):
+    import duckdb
+
+    from terrasync.llm import queries
+
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.001/{t}.parquet'")
+    (name,) = queries.MORE_QUERIES
+    got = queries.MORE_QUERIES[name](spark, "/root/testdata/sf0.001")
+    want = con.execute(queries.MORE_ORACLES[name]).df()
+    assert sorted(map(str, map(tuple, got.select(*want.columns).collect()))) == sorted(map(str, want.itertuples(index=False, name=None)))
