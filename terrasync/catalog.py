@@ -22,7 +22,7 @@ from .operators import keyed, kpi, territory
 from .plans.config import AreaOfInterest, Layer
 from .plans.contract import Contract, adopter, area_contract, layer_contract, where_all
 from .sources import state as states
-from .sources.jdbc import split_range
+from .sources.jdbc import key_bounds, split_range
 
 MARK = datetime(2001, 6, 1, tzinfo=UTC)
 ZONE = "Asia/Kolkata"  # five and a half hours ahead of UTC, without changes in the tables' years
@@ -360,15 +360,15 @@ def numeric_key_guard(t):
 
 @query("SELECT min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders")
 def partition_bounds(t):
-    return t("orders").agg(F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"))
+    rows = t("orders")
+    return rows.sparkSession.createDataFrame([key_bounds(rows, "o_orderkey")], "low bigint, high bigint")
 
 
 @query("""WITH b AS (SELECT min(o_orderkey) AS low, max(o_orderkey) - min(o_orderkey) + 1 AS n FROM orders)
 SELECT CAST(i AS INTEGER) AS part, CAST(low + i * (n // 12) + least(i, n % 12) AS BIGINT) AS low, CAST(low + (i + 1) * (n // 12) + least(i + 1, n % 12) - 1 AS BIGINT) AS high FROM b, (SELECT range AS i FROM range(12))""")
 def range_partitions(t):
     rows = t("orders")
-    b = rows.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
-    parts = [(i, low, high) for i, (low, high) in enumerate(split_range(b[0], b[1], 12))]
+    parts = [(i, low, high) for i, (low, high) in enumerate(split_range(*key_bounds(rows, "o_orderkey"), 12))]
     return rows.sparkSession.createDataFrame(parts, "part int, low bigint, high bigint")
 
 
@@ -378,8 +378,8 @@ def range_partitions(t):
 @query("""SELECT CAST(l_orderkey AS VARCHAR) AS area_of_interest_id, CAST(round(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) * CAST(0.0001 AS DECIMAL(5,4)), 3) AS DECIMAL(18,3))::VARCHAR AS value
 FROM lineitem GROUP BY 1""")
 def kpi_theme_sum(t):
-    summed = t("lineitem").groupBy("l_orderkey").agg(F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("m2"))
-    return summed.select(F.col("l_orderkey").cast("string").alias("area_of_interest_id"), area_in(F.col("m2"), "ha").cast("string").alias("value"))
+    rows = t("lineitem").select(F.col("l_orderkey").alias("area_of_interest_id"), F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("m2"))
+    return kpi.summed(rows, "prices", "ha").select("area_of_interest_id", F.col("value").cast("string").alias("value"))
 
 
 @query("""WITH v AS (SELECT o_orderkey AS id, CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(26,9)) AS d FROM orders)

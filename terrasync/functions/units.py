@@ -25,9 +25,9 @@ def as_decimal(c: Column) -> Column:
 
 
 def area_in(square_metres: Column, unit: str | None) -> Column:
-    """decimal(18,3), rounded once, half up; null as 0."""
+    """decimal(18,3), rounded once, half up; null as 0. Up to a million times the Earth's surface."""
     factor = unit_factor(unit)
-    d = as_decimal(square_metres).cast("decimal(26,12)")
+    d = as_decimal(square_metres).cast("decimal(30,12)")
     if factor == "1":
         out = d
     elif "." in factor:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
-from ..functions.units import area_in
+from ..functions.units import area_in, as_decimal
 
 KPI_SCHEMA = "area_of_interest_id string, value decimal(18,3), kpi_name string"
 
@@ -25,8 +25,13 @@ def with_areas(business: DataFrame, measured: DataFrame) -> DataFrame:
     return met.withColumn("area", F.coalesce("__area", old)).drop("__id", "__area")
 
 
+def summed(measured: DataFrame, name: str, unit: str | None) -> DataFrame:
+    """A theme's rows from (area_of_interest_id, m2). Sums are exact decimals, so no order of rows shows in them, and partial before the shuffle."""
+    total = measured.where(F.col("area_of_interest_id").isNotNull()).groupBy("area_of_interest_id").agg(F.sum(as_decimal(F.col("m2"))).alias("m2"))
+    return total.select(F.col("area_of_interest_id").cast("string").alias("area_of_interest_id"), area_in(F.col("m2"), unit).alias("value"), F.lit(name).alias("kpi_name"))
+
+
 def theme(features: DataFrame, name: str, unit: str | None, srid: int = 4326) -> DataFrame:
-    """The area of a layer's features in each area of interest. Sums are partial before the shuffle."""
+    """The area of a layer's features in each area of interest."""
     rows = features.where(F.col("area_of_interest_id").isNotNull() & geo.has_positions(F.col("geom")))
-    summed = rows.groupBy("area_of_interest_id").agg(F.sum(geo.geodesic_area(F.col("geom"), srid)).alias("m2"))
-    return summed.select(F.col("area_of_interest_id").cast("string").alias("area_of_interest_id"), area_in(F.col("m2"), unit).alias("value"), F.lit(name).alias("kpi_name"))
+    return summed(rows.select("area_of_interest_id", geo.geodesic_area(F.col("geom"), srid).alias("m2")), name, unit)
