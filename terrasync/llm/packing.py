@@ -34,8 +34,8 @@ from .common import written
 WINDOW, PACKET, END_ID = 1024, 256, 0
 #: Characters that tiktoken takes at once where it has given up on a whole text.
 LONGEST = 100_000
-#: Pieces that a task returns at once; numbers it holds at once while it places pieces.
-AT_ONCE, NUMBERS = 1024, 1 << 20
+#: Documents that a task looks at together, and pieces that it returns at once; numbers it holds while it places pieces.
+TOGETHER, AT_ONCE, NUMBERS = 512, 1024, 1 << 20
 
 
 @lru_cache(maxsize=4)
@@ -85,6 +85,13 @@ def default_files() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of TOGETHER rows at most, so that a task holds few texts at a time; none is empty."""
+    for b in batches:
+        for k in range(0, b.num_rows, TOGETHER):
+            yield b.slice(k, TOGETHER)
+
+
 def tokenize(docs: DataFrame, files: tuple[str, str], id_col: str, source_col: str, text_col: str) -> DataFrame:
     """id, source, part (of the input), inside (tokens of the source ahead of the row in that part), n and ids
     (unsigned 16-bit, little-endian) with END_ID at the end."""
@@ -93,7 +100,7 @@ def tokenize(docs: DataFrame, files: tuple[str, str], id_col: str, source_col: s
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(*files)
         ahead: dict[object, int] = {}
-        for b in batches:
+        for b in _slices(batches):
             made = [np.array([*encode(t or ""), END_ID], "<u2") for t in b.column("text").to_pylist()]
             inside = []
             for source, x in zip(b.column("source").to_pylist(), made, strict=True):
@@ -259,9 +266,7 @@ def pack(
         return owner[first], start[first], np.add.reduceat(length, first) if len(first) else length, at[first]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in _slices(batches):
             owner, start, length, at = placed(*(b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("before", "queue", "n")))
             # The stream is cut into windows.
             low, high = at // window, (at + length - 1) // window
