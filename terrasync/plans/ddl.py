@@ -8,6 +8,8 @@ from .contract import BOX, CENTROID, Contract, Index
 
 #: Lengths of the text columns that every target has.
 TEXT_LENGTHS = {"id": 255, "area_of_interest_id": 255, "territory_level_3_id": 64}
+#: The table of measures, its constraint and its indexes.
+KPI_TABLE, KPI_UNIQUE, KPI_INDEXES = ("dsp", "kpi_measure"), "uq_kpi_measure_aoi_name", {"idx_kpi_measure_aoi_id": "area_of_interest_id", "idx_kpi_measure_name": "kpi_name"}
 _NAMES = {T.ShortType: "smallint", T.IntegerType: "integer", T.LongType: "bigint", T.BooleanType: "boolean", T.DateType: "date", T.TimestampNTZType: "timestamp", T.TimestampType: "timestamptz", T.DoubleType: "double precision", T.FloatType: "real"}
 
 
@@ -71,3 +73,28 @@ def delete_listed(contract: Contract, listing: str) -> str:
     """Deletes the rows whose key, as text, a staging table lists (nid)."""
     target = quoted(contract.target.schema, contract.target.table)
     return f"DELETE FROM {target} WHERE trim({quoted(contract.key)}::text) IN (SELECT nid FROM {listing})"
+
+
+def create_kpi_table(areas: str) -> list[str]:
+    """The table of measures, which belong to areas of interest (a quoted table), and its two indexes."""
+    name = quoted(*KPI_TABLE)
+    columns = [
+        "id BIGSERIAL PRIMARY KEY",
+        f"area_of_interest_id varchar({TEXT_LENGTHS['area_of_interest_id']}) NOT NULL REFERENCES {areas} (id)",
+        "value numeric(18,3) NOT NULL",
+        "kpi_name varchar(255) NOT NULL",
+        f"CONSTRAINT {KPI_UNIQUE} UNIQUE (area_of_interest_id, kpi_name)",
+    ]
+    made = [f"CREATE SCHEMA IF NOT EXISTS {quoted(KPI_TABLE[0])}", f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)})"]
+    return made + [f"CREATE INDEX IF NOT EXISTS {i} ON {name} ({c})" for i, c in KPI_INDEXES.items()]
+
+
+def refresh_kpis(staging: str) -> list[str]:
+    """All measures anew from a staging table, also where it is empty."""
+    columns = "area_of_interest_id, value, kpi_name"
+    return [f"TRUNCATE TABLE {quoted(*KPI_TABLE)}", f"INSERT INTO {quoted(*KPI_TABLE)} ({columns}) SELECT {columns} FROM {staging}"]
+
+
+def update_areas(areas: str, staging: str) -> str:
+    """Measured areas (id, area) of a staging table into the areas of interest; others keep theirs."""
+    return f"UPDATE {areas} AS t SET area = s.area FROM {staging} AS s WHERE t.id::text = s.id::text"

@@ -54,11 +54,12 @@ class Engine:
     source gives the DataFrame of a source table by its name; transform is a hook on every delta. sink, if
     given, gets (contract, source schema, delta, removed rows or None) before a run is published, to apply
     them to a database as well; where it fails, the run isn't published and the next one does it again.
+    kpi_sink does the same with (measured areas, measures) of the key figures.
     """
 
-    def __init__(self, spark: SparkSession, settings: Settings, source: Source, warehouse: Warehouse, clock: Callable[[], datetime] = lambda: datetime.now(UTC), transform: Callable[[DataFrame], DataFrame] | None = None, sink: Callable | None = None):
+    def __init__(self, spark: SparkSession, settings: Settings, source: Source, warehouse: Warehouse, clock: Callable[[], datetime] = lambda: datetime.now(UTC), transform: Callable[[DataFrame], DataFrame] | None = None, sink: Callable | None = None, kpi_sink: Callable | None = None):
         pin_utc(spark)
-        self.spark, self.settings, self.source, self.warehouse, self.clock, self.transform, self.sink = spark, settings, source, warehouse, clock, transform, sink
+        self.spark, self.settings, self.source, self.warehouse, self.clock, self.transform, self.sink, self.kpi_sink = spark, settings, source, warehouse, clock, transform, sink, kpi_sink
 
     # ---- one table
 
@@ -211,7 +212,8 @@ class Engine:
         shapes, business = self.warehouse.read(f"geo/{target}"), self.warehouse.read(f"target/{target}")
         if shapes is None or business is None:
             raise ContractError(f"{target} isn't there; run the areas of interest first")
-        tables = {f"target/{target}": self.warehouse.stage(f"target/{target}", kpi.with_areas(business, kpi.areas_of(shapes, kpis.area_unit_of_measurement, srid)))}
+        areas = self.warehouse.staged(self.warehouse.stage("kpi/areas", kpi.areas_of(shapes, kpis.area_unit_of_measurement, srid)))
+        tables = {f"target/{target}": self.warehouse.stage(f"target/{target}", kpi.with_areas(business, areas))}
         out = self.spark.createDataFrame([], kpi.KPI_SCHEMA)
         for t in kpis.themes:
             layer = next((x for x in self.settings.layers if x.name == t.layer_name.strip()), Layer(layer_name=t.layer_name.strip()))
@@ -225,6 +227,8 @@ class Engine:
             raise ContractError("a measure names an area of interest that isn't there")
         if not keyed.repeated_keys(measures, "area_of_interest_id", "kpi_name").isEmpty():
             raise ContractError("an area of interest has two measures of one name")
+        if self.kpi_sink is not None:
+            self.kpi_sink(areas, measures)
         self.warehouse.publish(tables | {KPI_TABLE: staged})
         return Result("kpi", upserted=measures.count(), has_changes=True)
 

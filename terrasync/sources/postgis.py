@@ -84,3 +84,21 @@ def writer(spark: SparkSession, settings: Settings, execute=jdbc.execute, stage=
             execute(spark, url, statements, props)
 
     return apply
+
+
+def kpi_writer(spark: SparkSession, settings: Settings, execute=jdbc.execute, stage=jdbc.stage_rows) -> Callable:
+    """The sink of key figures of an Engine: areas and measures in the business database, in one transaction."""
+
+    def apply(areas: DataFrame, measures: DataFrame) -> None:
+        store = settings.stores["target"]
+        url, props = store["url"], properties(store)
+        table = TableName.parse(settings.area_of_interest.target_table if settings.area_of_interest else "dsp.area_of_interest")
+        name, statements = ddl.quoted(table.schema, table.table), []
+        execute(spark, url, ddl.create_kpi_table(name), props)
+        for rows, moved in ((areas, lambda s: [ddl.update_areas(name, s)]), (measures, ddl.refresh_kpis)):
+            staging = f"{table.schema}.staging_{uuid.uuid4().hex}"
+            stage(rows, url, staging, props)
+            statements += [*moved(staging), f"DROP TABLE {staging}"]
+        execute(spark, url, statements, props)
+
+    return apply

@@ -96,3 +96,21 @@ def test_sink_stages_then_moves(spark):
     assert {d[0] for d in done} == {"jdbc:postgresql://geo/db"}  # a layer has no business table
     assert done[1][2] == ["id", "area_of_interest_id", "created_at", "geom"] and done[2][2] == ["nid"]
     assert [x.split()[0] for x in done[3][1]] == ["INSERT", "DROP", "DELETE", "DROP"]
+
+
+def test_key_figures_reach_the_database(spark):
+    """Both kinds of rows are staged, and one transaction moves them; the table comes with its constraint and indexes."""
+    from types import SimpleNamespace
+
+    from terrasync.sources import postgis
+
+    settings = SimpleNamespace(stores={"target": {"url": "u", "username": "me"}}, area_of_interest=None)
+    ran, staged = [], []
+    apply = postgis.kpi_writer(spark, settings, execute=lambda _, url, statements, props: ran.append(statements), stage=lambda rows, url, table, props: staged.append((rows, table)))
+    apply("areas", "measures")
+    made, moved = ran
+    assert made[1].startswith('CREATE TABLE IF NOT EXISTS "dsp"."kpi_measure"') and "UNIQUE (area_of_interest_id, kpi_name)" in made[1] and 'REFERENCES "dsp"."area_of_interest" (id)' in made[1]
+    assert [s.split(" ON ")[0] for s in made[2:]] == ["CREATE INDEX IF NOT EXISTS idx_kpi_measure_aoi_id", "CREATE INDEX IF NOT EXISTS idx_kpi_measure_name"]
+    assert [r for r, _ in staged] == ["areas", "measures"]
+    (_, areas), (_, measures) = staged
+    assert moved == [ddl.update_areas('"dsp"."area_of_interest"', areas), f"DROP TABLE {areas}", 'TRUNCATE TABLE "dsp"."kpi_measure"', ddl.refresh_kpis(measures)[1], f"DROP TABLE {measures}"]
