@@ -1,7 +1,7 @@
 r"""Chat formatting with Spark expressions only.
 
-A conversation's turns are collected as structs and sorted, adjacent turns of one role are merged with an
-array aggregation, and the parts are concatenated:
+A conversation's turns are collected as structs and sorted, adjacent turns of one role are aggregated into
+one block that has the array of their texts, and the blocks are concatenated:
 
     <|im_start|>role\ntext<|im_sep|>text<|im_end|>\n<|im_start|>...
 
@@ -47,32 +47,45 @@ def format_chats(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "tur
         turns[id_col].alias("id"),
         F.struct(turns[turn_col].alias("turn"), F.coalesce(turns[role_col], F.lit("")).alias("role"), F.coalesce(turns[text_col], F.lit("")).alias("text")).alias("t"),
     )
-    sorted_ = one.groupBy("id").agg(F.sort_array(F.collect_list("t")).alias("turn"))
-    roles = sorted_.select("id", "turn", F.size("turn").alias("n"), F.transform("turn", lambda t: t["role"]).alias("roles"), F.array(F.lit(None).cast("string")).alias("none"))
-    # Adjacent turns of one role are one block: a turn knows the roles before and after it.
-    near = roles.select("id", "turn", "n", F.slice(F.concat("none", "roles"), F.lit(1), F.col("n")).alias("before"), F.concat(F.slice("roles", F.lit(2), F.col("n")), "none").alias("after"))
-
-    def parts(z: Column) -> Column:
-        role = z["turn"]["role"]
-        return F.struct(
-            F.when(role == z["before"], SEP).otherwise(F.concat(F.lit(START), escape(role), F.lit("\n"))).alias("lead"),
-            escape_text(z["turn"]["text"]).alias("text"),
-            F.when(role == z["after"], "").otherwise(END).alias("tail"),
-            (role == ASSISTANT).alias("loss"),
-        )
-
-    cut = near.select("id", "n", F.transform(F.arrays_zip("turn", "before", "after"), parts).alias("parts"))
-
-    def mask(p: Column) -> Column:
-        lead, text, tail = (F.length(p[c]).cast("long") for c in ("lead", "text", "tail"))
+    sorted_ = one.groupBy("id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+
+    def blocks(t: Column) -> Column:
+        """array<struct<role, texts>>: a block runs from one change of role to the next, its texts are the slice between."""
+        starts = F.filter(F.sequence(F.lit(1), F.size(t)), lambda i: ~F.get(t, i - 1)["role"].eqNullSafe(F.get(t, i - 2)["role"]))
+        ends = F.concat(F.slice(starts, F.lit(2), F.size(t)), F.array(F.size(t) + 1))
+
+        def merged(start: Column, end: Column) -> Column:
+            texts = F.transform(F.slice(t, start, end - start), lambda x: escape_text(x["text"]))
+            return F.struct(F.get(t, start - 1)["role"].alias("role"), texts.alias("texts"))
+
+        return F.zip_with(starts, ends, merged)
+
+    # The sorted turns are bound once (the only element of an array), however often a block looks into them.
+    merged = sorted_.select("id", F.size("turns").cast("long").alias("n"), F.transform(F.array("turns"), blocks)[0].alias("blocks"))
+
+    def head(b: Column) -> Column:
+        return F.concat(F.lit(START), escape(b["role"]), F.lit("\n"))
+
+    def written(b: Column) -> Column:
+        return F.concat(head(b), F.array_join(b["texts"], SEP), F.lit(END))
+
+    def mask(b: Column) -> Column:
         none = F.lit(0).cast("long")
-        return F.when(p["loss"], F.struct(lead.alias("skip"), text.alias("take"), tail.alias("tail"))).otherwise(F.struct((lead + text + tail).alias("skip"), none.alias("take"), none.alias("tail")))
+        last = F.size(b["texts"]) - 1
+
+        def entry(text: Column, k: Column) -> Column:
+            lead, take = F.length(F.when(k == 0, head(b)).otherwise(SEP)).cast("long"), F.length(text).cast("long")
+            tail = F.when(k == last, F.lit(len(END)).cast("long")).otherwise(none)
+            whole = F.struct((lead + take + tail).alias("skip"), none.alias("take"), none.alias("tail"))
+            return F.when(b["role"] == ASSISTANT, F.struct(lead.alias("skip"), take.alias("take"), tail.alias("tail"))).otherwise(whole)
+
+        return F.transform(b["texts"], entry)
 
-    return cut.select(
+    return merged.select(
         F.col("id").alias(id_col),
-        F.col("n").cast("long").alias("n_turns"),
-        F.array_join(F.transform("parts", lambda p: F.concat(p["lead"], p["text"], p["tail"])), "").alias("formatted"),
-        F.transform("parts", mask).alias("loss_mask"),
+        F.col("n").alias("n_turns"),
+        F.array_join(F.transform("blocks", written), "").alias("formatted"),
+        F.flatten(F.transform("blocks", mask)).alias("loss_mask"),
     )
 
 
