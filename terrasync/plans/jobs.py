@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
-from ..functions.ids import normal
+from ..functions.ids import normal, normal_id
 from ..functions.temporal import ContractError, is_due, pin_utc, utc
 from ..operators import keyed, kpi, territory
 from ..sources import state as states
-from ..sources.warehouse import Warehouse
+from ..sources.warehouse import Entry, Warehouse
 from .config import JOBS, Layer, Settings, check_layers
 from .contract import Contract, area_contract, check_existing, layer_contract, unit_contract
 
@@ -48,6 +48,10 @@ class Result:
 Source = Callable[[str], DataFrame]
 
 
+def _nids(ids: DataFrame) -> DataFrame:
+    return ids.select(normal_id(F.col("id"), ids.schema["id"].dataType).alias("nid"))
+
+
 class Engine:
     """Runs jobs of one configuration from a source into one warehouse.
 
@@ -89,6 +93,8 @@ class Engine:
         result = Result(contract.sync_key, read=seen.n, skipped=counted.get["n"] - seen.n, has_changes=seen.n > 0, watermark=seen.event)
         delta = keyed.latest(rows, contract.key, F.col("__event")).drop("__event", "__box")
         delta = self.transform(delta) if self.transform else delta
+        # Both stores, departures, flags and the sink read it: the newest rows are settled once.
+        delta = self.warehouse.staged(self.warehouse.stage(f"delta/{contract.sync_key}", delta))
         boxes = rows.select("__box.*")
 
         gone = None
@@ -97,8 +103,13 @@ class Engine:
             there = source.where(contract.present())
             ids = there.select(normal(there, contract.primary_key).alias("nid"))
             valid = old_geo.where(geo.has_positions(F.col(contract.geometry_target)))  # rows without geometry never go
-            lost = keyed.orphans(valid, ids, contract.key).select("nid", *([contract.parent] if contract.parent else []), geo.box_in_metres(F.col(contract.geometry_target), contract.srid).alias("box"))
-            gone = self.warehouse.staged(self.warehouse.stage(f"orphans/{contract.sync_key}", lost))
+            # Only ids are shuffled; parents and boxes are then looked up in the buckets that hold lost ones.
+            lost = keyed.orphans(valid.select(contract.key), ids, contract.key).select("nid")
+            lost = self.warehouse.staged(self.warehouse.stage(f"orphans/{contract.sync_key}", lost))
+            holding = self.warehouse.read_holding(geo_name, lost)
+            held = holding.withColumn("nid", normal(holding, contract.key)).join(lost, "nid", "left_semi")
+            held = held.select("nid", *([contract.parent] if contract.parent else []), geo.box_in_metres(F.col(contract.geometry_target), contract.srid).alias("box"))
+            gone = self.warehouse.staged(self.warehouse.stage(f"orphans/{contract.sync_key}", held))
             result.deleted = gone.count()
             boxes = boxes.unionByName(gone.select("box.*"))
 
@@ -113,15 +124,11 @@ class Engine:
                 parts.append(gone.select(F.col(contract.parent).alias("id")))
             departed = territory.merged_ids(*parts) if parts else None
 
-        tables: dict[str, str] = {}
-        new_business = None
-        if contract.business:
-            new_business = self._applied(old_business, contract.for_business(delta), contract, gone, result)
-            if new_business is not None:
-                tables[business_name] = self.warehouse.stage(business_name, new_business)
-        new_geo = self._applied(old_geo, delta, contract, gone, result)
-        if new_geo is not None:
-            tables[geo_name] = self.warehouse.stage(geo_name, new_geo)
+        tables: dict[str, Entry] = {}
+        if contract.business and (entry := self._applied(business_name, old_business, contract.for_business(delta), contract, gone, result, mark)) is not None:
+            tables[business_name] = entry
+        if (entry := self._applied(geo_name, old_geo, delta, contract, gone, result, mark)) is not None:
+            tables[geo_name] = entry
         if contract.regenerates == 0 and result.deleted and (measures := self.warehouse.read(KPI_TABLE)) is not None:
             tables[KPI_TABLE] = self.warehouse.stage(KPI_TABLE, keyed.without(measures, gone, "area_of_interest_id"))
         self._flag(contract, tables, mark, departed, business_name)
@@ -139,26 +146,32 @@ class Engine:
         result.boxes = boxes
         return result
 
-    def _applied(self, old: DataFrame | None, delta: DataFrame, contract: Contract, gone: DataFrame | None, result: Result) -> DataFrame | None:
-        """The table after the run, or None where nothing changes."""
+    def _applied(self, name: str, old: DataFrame | None, delta: DataFrame, contract: Contract, gone: DataFrame | None, result: Result, mark: datetime | None) -> Entry | None:
+        """The table after the run, staged, or None where nothing changes. Only buckets of changed and removed keys are written.
+
+        Territories' own tables get the flags of their changed rows on the way; without a mark all rows are new.
+        """
+
+        def flagged(rows: DataFrame) -> DataFrame:
+            if contract.regenerates not in (2, 3) or not name.startswith("target/"):
+                return rows
+            events = [dict(contract.columns)[e.name] for e in (contract.created, contract.updated) if e]
+            return territory.flag(rows, territory.changed_since(mark, events[0], events[-1]))
+
+        def change(rows: DataFrame) -> DataFrame:
+            new = keyed.upsert(rows, delta, contract.key) if result.has_changes else rows
+            return flagged(keyed.without(new, gone, contract.key) if result.deleted else new)
+
         if old is None:
-            return delta
-        new = keyed.upsert(old, delta, contract.key) if result.has_changes else old
-        if result.deleted:
-            new = keyed.without(new, gone, contract.key)
-        return new if result.has_changes or result.deleted else None
-
-    def _flag(self, contract: Contract, tables: dict[str, str], mark: datetime | None, departed: DataFrame | None, name: str) -> None:
-        """Sets regeneration flags; territories' own jobs flag their changed rows, areas those above them."""
-        level = contract.regenerates
-        if level is None:
-            return
-        if level in (2, 3):
-            if name in tables:
-                rows = self.warehouse.staged(tables[name])
-                events = [dict(contract.columns)[e.name] for e in (contract.created, contract.updated) if e]
-                made, changed = events[0], events[-1]
-                tables[name] = self.warehouse.stage(name, territory.flag(rows, territory.changed_since(mark, made, changed)))
+            return self.warehouse.stage_keyed(name, flagged(delta), contract.key, result.read)
+        if not (result.has_changes or result.deleted):
+            return None
+        ids = delta.select(normal(delta, contract.key).alias("nid"))
+        return self.warehouse.restage(name, contract.key, change, (ids.union(gone.select("nid")) if result.deleted else ids) if mark is not None else None)
+
+    def _flag(self, contract: Contract, tables: dict[str, Entry], mark: datetime | None, departed: DataFrame | None, name: str) -> None:
+        """Sets the regeneration flags of the territories above changed areas of interest."""
+        if contract.regenerates != 0:
             return
         if not {2, 3} <= self.settings.admin_units.keys():
             return
@@ -175,8 +188,9 @@ class Engine:
         if departed is not None:
             ids = territory.merged_ids(ids, departed)
         ids = self.warehouse.staged(self.warehouse.stage("delta/flags", ids))
-        tables[three] = self.warehouse.stage(three, territory.flag_among(level3, ids, key3))
-        tables[two] = self.warehouse.stage(two, territory.flag_among(level2, territory.parents_of(level3, ids, key3, parent), key2))
+        above = self.warehouse.staged(self.warehouse.stage("delta/flags", territory.parents_of(self.warehouse.read_holding(three, _nids(ids)), ids, key3, parent)))
+        for table, key, found in ((three, key3, ids), (two, key2, above)):
+            tables[table] = self.warehouse.restage(table, key, lambda rows, key=key, found=found: territory.flag_among(rows, found, key), _nids(found))
 
     # ---- jobs
 
@@ -213,7 +227,7 @@ class Engine:
         if shapes is None or business is None:
             raise ContractError(f"{target} isn't there; run the areas of interest first")
         areas = self.warehouse.staged(self.warehouse.stage("kpi/areas", kpi.areas_of(shapes, kpis.area_unit_of_measurement, srid)))
-        tables = {f"target/{target}": self.warehouse.stage(f"target/{target}", kpi.with_areas(business, areas))}
+        tables: dict[str, Entry] = {f"target/{target}": self.warehouse.restage(f"target/{target}", "id", lambda rows: kpi.with_areas(rows, areas), None)}
         out = self.spark.createDataFrame([], kpi.KPI_SCHEMA)
         for t in kpis.themes:
             layer = next((x for x in self.settings.layers if x.name == t.layer_name.strip()), Layer(layer_name=t.layer_name.strip()))

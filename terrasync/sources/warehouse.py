@@ -1,7 +1,8 @@
 """Versioned tables under one folder, published together.
 
-A table is a parquet folder that is never written twice. Which folders make up the warehouse is said by
-numbered manifests, of which the last holds. A job writes its new tables first and then publishes them all
+A plain table is a parquet folder that is never written twice. A keyed table is dealt into buckets by a hash
+of its key, each a folder of its own; a change writes the buckets of the changed keys anew and leaves the others
+where they are. Which folders make up the warehouse is said by numbered manifests, of which the last holds. A job writes its new tables first and then publishes them all
 by adding one manifest; a crash before leaves the old state, and readers never see half of a job. Two jobs
 that publish at once get the same number, and the later one fails.
 """
@@ -10,19 +11,34 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.ids import normal
+
+#: What the manifest says of a table: its folder, or of a keyed one its key, schema, number of buckets and their folders.
+Entry = str | dict
+BUCKET, MOST_BUCKETS = "terrasync_bucket", 4096
+
+
+def _bucket(nid: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(nid), F.lit(buckets)).cast("int")
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    """rows_per_bucket settles the buckets of a keyed table when it is first written: a power of two, MOST_BUCKETS at most."""
+
+    def __init__(self, spark: SparkSession, root: str, rows_per_bucket: int = 1_000_000):
+        self.spark, self.root, self.rows_per_bucket = spark, root.rstrip("/"), rows_per_bucket
 
     def _place(self, path: str):
         place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{path}")
         return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
 
-    def _last(self) -> tuple[int, dict[str, str]]:
+    def _last(self) -> tuple[int, dict[str, Entry]]:
         fs, folder = self._place("manifests")
         names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
         numbers = sorted(int(n.removesuffix(".json")) for n in names if n.removesuffix(".json").isdigit())
@@ -35,8 +51,13 @@ class Warehouse:
         return name in self._last()[1]
 
     def read(self, name: str) -> DataFrame | None:
-        path = self._last()[1].get(name)
-        return self.spark.read.parquet(f"{self.root}/{path}") if path else None
+        entry = self._last()[1].get(name)
+        return self.staged(entry) if entry else None
+
+    def read_holding(self, name: str, ids: DataFrame) -> DataFrame:
+        """The part of a table that can hold keys among ids (nid, normal text): their buckets, or all of a plain table."""
+        entry = self._last()[1][name]
+        return self.staged(entry) if isinstance(entry, str) else self.staged(entry, self._touched(entry, ids))
 
     def stage(self, name: str, df: DataFrame) -> str:
         """Writes a new version of a table, not yet to be seen; gives its folder."""
@@ -44,10 +65,49 @@ class Warehouse:
         df.write.parquet(f"{self.root}/{path}")
         return path
 
-    def staged(self, path: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{path}")
+    def staged(self, entry: Entry, buckets: set[int] | None = None) -> DataFrame:
+        """A version of a table; of a keyed one only those buckets, if given."""
+        if isinstance(entry, str):
+            return self.spark.read.parquet(f"{self.root}/{entry}")
+        schema = T.StructType.fromJson(entry["schema"])
+        paths = [f"{self.root}/{p}" for b, p in entry["parts"].items() if buckets is None or int(b) in buckets]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def stage_keyed(self, name: str, df: DataFrame, key: str, rows: int) -> Entry:
+        """Writes a new version of a keyed table, whole, not yet to be seen. rows is about how many it has."""
+        wanted = max(1, -(-rows // self.rows_per_bucket))
+        return self._write(name, df, key, min(MOST_BUCKETS, 1 << (wanted - 1).bit_length()), {})
+
+    def restage(self, name: str, key: str, change: Callable[[DataFrame], DataFrame], ids: DataFrame | None) -> Entry:
+        """A new version of a published table, not yet to be seen, in which change is made to the buckets of ids (nid).
+
+        change keeps the keys of other buckets out; without ids it is made to all buckets. A plain table becomes a keyed one.
+        """
+        entry = self._last()[1][name]
+        if isinstance(entry, str):
+            old = self.staged(entry)
+            return self.stage_keyed(name, change(old), key, old.count())
+        touched = set(range(entry["buckets"])) if ids is None else self._touched(entry, ids)
+        if not touched:
+            return entry
+        kept = {b: p for b, p in entry["parts"].items() if int(b) not in touched}
+        return self._write(name, change(self.staged(entry, touched)), key, entry["buckets"], kept)
+
+    def _touched(self, entry: dict, ids: DataFrame) -> set[int]:
+        """At most as many numbers as there are buckets."""
+        return {r[0] for r in ids.select(_bucket(F.col("nid"), entry["buckets"])).distinct().collect()}
+
+    def _write(self, name: str, df: DataFrame, key: str, buckets: int, kept: dict[str, str]) -> Entry:
+        path = f"tables/{name}/{uuid.uuid4().hex}"
+        # Rebalanced by bucket: small ones share a task, and one that is too large for a task is split.
+        dealt = df.withColumn(BUCKET, _bucket(F.coalesce(normal(df, key), F.lit("")), buckets)).hint("rebalance", BUCKET)
+        dealt.write.partitionBy(BUCKET).parquet(f"{self.root}/{path}")
+        fs, folder = self._place(path)
+        found = [s.getPath().getName() for s in fs.listStatus(folder)]
+        parts = {n.partition("=")[2]: f"{path}/{n}" for n in found if n.startswith(f"{BUCKET}=")}
+        return {"key": key, "schema": df.schema.jsonValue(), "buckets": buckets, "parts": kept | parts}
 
-    def publish(self, tables: dict[str, str]) -> None:
+    def publish(self, tables: dict[str, Entry]) -> None:
         """Makes staged versions the current ones, all at once."""
         number, current = self._last()
         fs, draft = self._place(f"drafts/{uuid.uuid4().hex}")

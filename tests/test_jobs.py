@@ -187,3 +187,44 @@ def test_state_keeps_what_is_not_said(spark):
     got = states.find(known, "k")
     assert got.last_job_execution_id == 8 and got.watermark_last_event_at is not None and got.last_orphan_check_at is not None
     assert states.find(known, "other") is None
+
+
+def test_a_change_of_one_key_writes_one_bucket(spark, tmp_path):
+    house = Warehouse(spark, f"file://{tmp_path}", rows_per_bucket=100)
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("id"), F.lit("old").alias("name"), F.lit(True).alias("flag"))
+    house.publish({"t": house.stage_keyed("t", rows, "id", 1000)})
+    before = house._last()[1]["t"]
+    assert before["buckets"] == 16 == len(before["parts"])
+    delta = spark.createDataFrame([("7", "new", 1)], "id string, name string, extra int")
+    ids = delta.select(F.col("id").alias("nid"))
+    house.publish({"t": house.restage("t", "id", lambda rows: keyed.upsert(rows, delta, "id"), ids)})
+    after = house._last()[1]["t"]
+    assert sum(before["parts"][b] != after["parts"][b] for b in before["parts"]) == 1
+    assert len(list(tmp_path.glob("tables/t/*/*/*.parquet"))) == len(before["parts"]) + 1
+    got = {r.id: tuple(r)[1:] for r in house.read("t").select("id", "name", "flag", "extra").collect()}
+    assert len(got) == 1000 and got["7"] == ("new", True, 1) and got["8"] == ("old", True, None)
+    assert house.read_holding("t", ids).count() < 200
+    gone = spark.createDataFrame([("7",), ("8",)], "nid string")
+    house.publish({"t": house.restage("t", "id", lambda rows: keyed.without(rows, gone, "id"), gone)})
+    assert house.read("t").count() == 998
+    none = house.restage("t", "id", lambda rows: rows, gone.limit(0))
+    assert none == house._last()[1]["t"]
+
+
+def test_jobs_over_many_buckets(spark, tmp_path):
+    """The same runs as over one bucket, with a bucket for each row or so."""
+    w = World(spark, tmp_path)
+    w.warehouse.rows_per_bucket = 1
+    w.run()
+    w.now += timedelta(days=2)
+    before = w.warehouse._last()[1]["geo/dsp.area_of_interest"]
+    areas = w.tables["src.areas"]
+    w.tables["src.areas"] = [(30, "n30", 21, T0, w.now, square(5)), areas[1]]
+    got = w.run()
+    assert got["area-of-interest"].deleted == 1 and got["area-of-interest"].boxes.count() == 2
+    assert set(w.rows("geo/dsp.area_of_interest")) == {"30", "31"} == set(w.rows("target/dsp.area_of_interest"))
+    assert w.rows("geo/dsp.area_of_interest")["30"].territory_level_3_id == "21"
+    after = w.warehouse._last()[1]["geo/dsp.area_of_interest"]
+    written = {int(b) for b, p in (before["parts"] | after["parts"]).items() if before["parts"].get(b) != p or b not in after["parts"]}
+    assert before["buckets"] == 4 and written == w.warehouse._touched(before, spark.createDataFrame([("30",), ("32",)], "nid string"))
+    assert all(r[territory.FLAG] for n in (2, 3) for r in w.rows(f"target/dsp.territory_level_{n}").values())
