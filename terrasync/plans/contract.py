@@ -217,6 +217,12 @@ def _srid(schema: T.StructType, geometry: str, configured: int | None, sample: i
     raise ContractError(f"no SRID is known for {geometry!r}; set srid")
 
 
+def _indexes(schema: T.StructType, geometry: str, copied: list[tuple[str, str]], given: tuple[Index, ...]) -> tuple[Index, ...]:
+    """The given indexes, else those the source's catalog says (metadata of the geometry), whose columns are all copied."""
+    known = given or tuple(Index.parse(*x) for x in schema[geometry].metadata.get("indexes", ()))
+    return tuple(i for i in known if i.columns and set(i.columns) <= {s for s, _ in copied} | {geometry})
+
+
 def layer_contract(layer: Layer, schema: T.StructType, settings: Settings | None = None, indexes: tuple[Index, ...] = (), sample_srid: int | None = None) -> Contract:
     layer.check()
     zone = (settings or Settings()).zone(layer.source_timezone)
@@ -248,7 +254,7 @@ def layer_contract(layer: Layer, schema: T.StructType, settings: Settings | None
         source_srid=schema[geometry].metadata.get("srid"),
         business=False,
         as_text=frozenset({"id", "area_of_interest_id"}),
-        indexes=tuple(i for i in indexes if i.columns and set(i.columns) <= {s for s, _ in pairs} | {geometry}),
+        indexes=_indexes(schema, geometry, pairs, indexes),
     )
 
 
@@ -279,7 +285,7 @@ def area_contract(area: AreaOfInterest, schema: T.StructType, settings: Settings
         source_srid=schema[geometry].metadata.get("srid"),
         parent="territory_level_3_id",
         as_text=frozenset({"id", "territory_level_3_id"}),
-        indexes=tuple(i for i in indexes if i.columns and set(i.columns) <= {s for s, _ in pairs} | {geometry}),
+        indexes=_indexes(schema, geometry, pairs, indexes),
         regenerates=0,
     )
 
@@ -331,6 +337,6 @@ def check_existing(contract: Contract, schema: T.StructType | None) -> None:
         raise ContractError(f"{created!r} of {contract.target} must be an instant, not {schema[created].dataType.simpleString()}")
 
 
-def has_higher_dimensions(kind: str) -> bool:
-    """Whether a geometry type has a Z or M ordinate that a copy drops."""
-    return (kind or "").upper().endswith(("Z", "M"))
+def has_higher_dimensions(kind: str, dimensions: int = 2) -> bool:
+    """Whether a geometry type, or the number of its ordinates, has a Z or M that a copy drops."""
+    return dimensions > 2 or (kind or "").upper().endswith(("Z", "M"))

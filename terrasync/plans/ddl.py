@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from ..operators.territory import FLAG
 from .contract import BOX, CENTROID, Contract, Index
 
 #: Lengths of the text columns that every target has.
 TEXT_LENGTHS = {"id": 255, "area_of_interest_id": 255, "territory_level_3_id": 64}
 #: The table of measures, its constraint and its indexes.
 KPI_TABLE, KPI_UNIQUE, KPI_INDEXES = ("dsp", "kpi_measure"), "uq_kpi_measure_aoi_name", {"idx_kpi_measure_aoi_id": "area_of_interest_id", "idx_kpi_measure_name": "kpi_name"}
+#: The table of sync states.
+STATE_TABLE = ("data_migration", "batch_job_execution_sync_state")
 _NAMES = {T.ShortType: "smallint", T.IntegerType: "integer", T.LongType: "bigint", T.BooleanType: "boolean", T.DateType: "date", T.TimestampNTZType: "timestamp", T.TimestampType: "timestamptz", T.DoubleType: "double precision", T.FloatType: "real"}
 
 
@@ -98,3 +101,27 @@ def refresh_kpis(staging: str) -> list[str]:
 def update_areas(areas: str, staging: str) -> str:
     """Measured areas (id, area) of a staging table into the areas of interest; others keep theirs."""
     return f"UPDATE {areas} AS t SET area = s.area FROM {staging} AS s WHERE t.id::text = s.id::text"
+
+
+def create_state_table() -> list[str]:
+    columns = [
+        "sync_key varchar(255) PRIMARY KEY",
+        "source_table varchar(255)",
+        "watermark_last_event_at timestamptz",
+        "last_success_at timestamptz",
+        "last_job_execution_id bigint",
+        "last_orphan_check_at timestamptz",
+        "updated_at timestamptz",
+    ]
+    return [f"CREATE SCHEMA IF NOT EXISTS {quoted(STATE_TABLE[0])}", f"CREATE TABLE IF NOT EXISTS {quoted(*STATE_TABLE)} ({', '.join(columns)})"]
+
+
+def upsert_state(staging: str, columns: list[str]) -> str:
+    """Whole rows of sync states, which already keep what a run didn't say."""
+    names, rest = ", ".join(columns), ", ".join(f"{c} = EXCLUDED.{c}" for c in columns if c != "sync_key")
+    return f"INSERT INTO {quoted(*STATE_TABLE)} ({names}) SELECT {names} FROM {staging} ON CONFLICT (sync_key) DO UPDATE SET {rest}"
+
+
+def flag_listed(table: str, key: str, listing: str) -> str:
+    """Sets the regeneration flag of the rows of a quoted table whose key, as text, a staging table lists (nid)."""
+    return f"UPDATE {table} SET {FLAG} = TRUE WHERE trim({quoted(key)}::text) IN (SELECT nid FROM {listing})"

@@ -58,12 +58,13 @@ class Engine:
     source gives the DataFrame of a source table by its name; transform is a hook on every delta. sink, if
     given, gets (contract, source schema, delta, removed rows or None) before a run is published, to apply
     them to a database as well; where it fails, the run isn't published and the next one does it again.
-    kpi_sink does the same with (measured areas, measures) of the key figures.
+    kpi_sink does the same with (measured areas, measures) of the key figures, and record with (flags by table:
+    key and ids to flag (nid), the run's row of sync state), once a sink is through.
     """
 
-    def __init__(self, spark: SparkSession, settings: Settings, source: Source, warehouse: Warehouse, clock: Callable[[], datetime] = lambda: datetime.now(UTC), transform: Callable[[DataFrame], DataFrame] | None = None, sink: Callable | None = None, kpi_sink: Callable | None = None):
+    def __init__(self, spark: SparkSession, settings: Settings, source: Source, warehouse: Warehouse, clock: Callable[[], datetime] = lambda: datetime.now(UTC), transform: Callable[[DataFrame], DataFrame] | None = None, sink: Callable | None = None, kpi_sink: Callable | None = None, record: Callable | None = None):
         pin_utc(spark)
-        self.spark, self.settings, self.source, self.warehouse, self.clock, self.transform, self.sink, self.kpi_sink = spark, settings, source, warehouse, clock, transform, sink, kpi_sink
+        self.spark, self.settings, self.source, self.warehouse, self.clock, self.transform, self.sink, self.kpi_sink, self.record = spark, settings, source, warehouse, clock, transform, sink, kpi_sink, record
 
     # ---- one table
 
@@ -131,7 +132,9 @@ class Engine:
             tables[geo_name] = entry
         if contract.regenerates == 0 and result.deleted and (measures := self.warehouse.read(KPI_TABLE)) is not None:
             tables[KPI_TABLE] = self.warehouse.stage(KPI_TABLE, keyed.without(measures, gone, "area_of_interest_id"))
-        self._flag(contract, tables, mark, departed, business_name)
+        flags = self._flag(contract, tables, mark, departed, business_name)
+        if contract.regenerates in (2, 3) and result.has_changes:
+            flags = {str(contract.target): (contract.key, delta.select(normal(delta, contract.key).alias("nid")))}
 
         if result.watermark is not None:
             result.upserted = delta.count()
@@ -140,6 +143,8 @@ class Engine:
             known = states.mark_orphan_check(known, contract.sync_key, str(contract.source), now)
         if self.sink is not None and (result.has_changes or result.deleted):
             self.sink(contract, source.schema, delta, gone)
+        if self.record is not None and (checked or tables):
+            self.record(flags, known.where(F.col("sync_key") == contract.sync_key))
         if checked or tables:
             tables[states.TABLE] = self.warehouse.stage(states.TABLE, known.coalesce(1))
             self.warehouse.publish(tables)
@@ -169,17 +174,17 @@ class Engine:
         ids = delta.select(normal(delta, contract.key).alias("nid"))
         return self.warehouse.restage(name, contract.key, change, (ids.union(gone.select("nid")) if result.deleted else ids) if mark is not None else None)
 
-    def _flag(self, contract: Contract, tables: dict[str, Entry], mark: datetime | None, departed: DataFrame | None, name: str) -> None:
-        """Sets the regeneration flags of the territories above changed areas of interest."""
+    def _flag(self, contract: Contract, tables: dict[str, Entry], mark: datetime | None, departed: DataFrame | None, name: str) -> dict[str, tuple[str, DataFrame]]:
+        """Sets the regeneration flags of the territories above changed areas of interest; gives their keys and ids by table."""
         if contract.regenerates != 0:
-            return
+            return {}
         if not {2, 3} <= self.settings.admin_units.keys():
-            return
+            return {}
         two, three = (f"target/{self.settings.admin_units[n].target_table}" for n in (2, 3))
         level2, level3 = self.warehouse.read(two), self.warehouse.read(three)
         areas = self.warehouse.staged(tables[name]) if name in tables else self.warehouse.read(name)
         if level2 is None or level3 is None or areas is None:
-            return
+            return {}
         units = self.settings.admin_units
         key3, key2 = (units[n].column_mapping.get(units[n].primary_key, units[n].primary_key) for n in (3, 2))
         parent = units[3].column_mapping.get(units[3].partition_column, units[3].partition_column)
@@ -191,6 +196,7 @@ class Engine:
         above = self.warehouse.staged(self.warehouse.stage("delta/flags", territory.parents_of(self.warehouse.read_holding(three, _nids(ids)), ids, key3, parent)))
         for table, key, found in ((three, key3, ids), (two, key2, above)):
             tables[table] = self.warehouse.restage(table, key, lambda rows, key=key, found=found: territory.flag_among(rows, found, key), _nids(found))
+        return {units[n].target_table: (key, _nids(found)) for n, key, found in ((3, key3, ids), (2, key2, above))}
 
     # ---- jobs
 

@@ -81,5 +81,8 @@ def execute(spark: SparkSession, url: str, statements: list[str], properties: di
 
 
 def stage_rows(df: DataFrame, url: str, table: str, properties: dict | None = None, batch_size: int = 1000, connections: int = 8) -> None:
-    """Writes rows to a staging table in batches, over so many connections at most."""
-    df.coalesce(connections).write.mode("overwrite").option("batchsize", batch_size).jdbc(url, table, properties=properties or {})
+    """Writes rows to a staging table in batches, over so many connections.
+
+    The shuffle before it lets the rows be worked out by as many tasks as they have.
+    """
+    df.repartition(connections).write.mode("overwrite").option("batchsize", batch_size).jdbc(url, table, properties=properties or {})

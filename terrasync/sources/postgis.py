@@ -6,19 +6,23 @@ know; column pruning and all other conditions are pushed into that subquery by S
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
 
 from ..functions.geometry import check_srid
 from ..functions.ids import TableName
 from ..plans import ddl
 from ..plans.config import Settings
-from ..plans.contract import BOX, CENTROID, Contract
+from ..functions.temporal import ContractError
+from ..plans.contract import BOX, CENTROID, Contract, has_higher_dimensions
 from . import jdbc
 
+log = logging.getLogger(__name__)
+
 
 def properties(store: dict) -> dict[str, str]:
     return {"driver": "org.postgresql.Driver"} | {k: str(store[v]) for k, v in (("user", "username"), ("password", "password"), ("driver", "driver-class-name")) if store.get(v)}
@@ -32,16 +36,44 @@ def geometry_as_json(table: TableName, columns: list[str], geometry: str, srid:
     return f"(SELECT {', '.join(shown)} FROM {ddl.quoted(table.schema, table.table)} WHERE {g} IS NOT NULL AND NOT ST_IsEmpty(ST_MakeValid({g}))) AS src"
 
 
-def tables_of(settings: Settings) -> dict[str, tuple[str, str, int, str]]:
-    """Of each configured source table: its geometry, key to split reads by, SRID, and job name."""
+def tables_of(settings: Settings) -> dict[str, tuple[str, str, int | None, str]]:
+    """Of each configured source table: its geometry, key to split reads by, SRID (if configured), and job name."""
     out = {u.source_table: (u.geometry_column, u.partition_column or u.primary_key, u.srid, f"admin-unit-level-{n}-geoserver-job") for n, u in settings.admin_units.items()}
     if area := settings.area_of_interest:
         out[area.source_table] = (area.geometry_column, area.primary_key, area.srid, "area-of-interest-geoserver-job")
-    return out | {x.source_table: (x.geometry_column, x.primary_key, x.srid, "layer-jobs") for x in settings.layers if x.srid}
+    return out | {x.source_table: (x.geometry_column, x.primary_key, x.srid, "layer-jobs") for x in settings.layers}
+
+
+def describe(ask: Callable[[str], list[Row]], table: TableName, geometry: str) -> dict:
+    """What the source's catalog says of a geometry and its table: srid, geometry_type and indexes (name, definition).
+
+    ask gives the rows of a subquery. A system that isn't registered is taken from one row. Indexes of primary
+    keys are left out.
+    """
+
+    def text(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    found: dict = {}
+    where = f"f_table_schema = {text(table.schema)} AND f_table_name = {text(table.table)} AND f_geometry_column = {text(geometry)}"
+    for r in ask(f"(SELECT srid, type, coord_dimension FROM geometry_columns WHERE {where}) AS g")[:1]:
+        found = {"geometry_type": r.type} | ({"srid": r.srid} if r.srid else {})
+        if has_higher_dimensions(r.type, r.coord_dimension or 2):
+            log.warning("%s.%s is of type %s in %s dimensions; only two are copied", table, geometry, r.type, r.coord_dimension)
+    if "srid" not in found:
+        g = ddl.quoted(geometry)
+        for r in ask(f"(SELECT ST_SRID({g}) AS srid FROM {ddl.quoted(table.schema, table.table)} WHERE {g} IS NOT NULL LIMIT 1) AS s"):
+            found |= {"srid": r.srid} if r.srid else {}
+    indexes = ask(f"(SELECT indexname, indexdef FROM pg_indexes WHERE schemaname = {text(table.schema)} AND tablename = {text(table.table)}) AS i")
+    return found | {"indexes": [[r.indexname, r.indexdef] for r in indexes if not r.indexname.endswith("_pkey")]}
 
 
 def reader(spark: SparkSession, settings: Settings) -> Callable[[str], DataFrame]:
-    """The source of an Engine: tables of the source database, read in ranges of their keys."""
+    """The source of an Engine: tables of the source database, read in ranges of their keys.
+
+    Geometries come in the configured system, else in the one of the column or of a row; that, the type and the
+    table's indexes are metadata of the geometry.
+    """
     store = settings.stores["source"]
     url, props, known = store["url"], properties(store), tables_of(settings)
 
@@ -50,11 +82,15 @@ def reader(spark: SparkSession, settings: Settings) -> Callable[[str], DataFrame
         table, parallel = TableName.parse(name), settings.parallel_for(job)
         catalog = f"(SELECT column_name FROM information_schema.columns WHERE table_schema = '{table.schema}' AND table_name = '{table.table}' ORDER BY ordinal_position) AS c"
         columns = [r.column_name for r in spark.read.jdbc(url, catalog, properties=props).collect()]
+        said = describe(lambda q: spark.read.jdbc(url, q, properties=props).collect(), table, geometry)
+        srid = srid or said.get("srid")
+        if not srid:
+            raise ContractError(f"no SRID is known for {geometry!r} of {name}; set srid")
         query = geometry_as_json(table, columns, geometry, srid)
         ranges = None
         if parallel.ranges > 1:
             ranges = jdbc.split_range(*jdbc.key_bounds(jdbc.read_table(spark, url, f"(SELECT {ddl.quoted(key)} AS k FROM {ddl.quoted(table.schema, table.table)}) AS b", properties=props), "k"), parallel.ranges)
-        return jdbc.read_table(spark, url, query, ddl.quoted(key), ranges, props, parallel.page_size)
+        return jdbc.read_table(spark, url, query, ddl.quoted(key), ranges, props, parallel.page_size).withMetadata(geometry, said | {"srid": srid})
 
     return read
 
@@ -102,3 +138,29 @@ def kpi_writer(spark: SparkSession, settings: Settings, execute=jdbc.execute, st
         execute(spark, url, statements, props)
 
     return apply
+
+
+def recorder(spark: SparkSession, settings: Settings, execute=jdbc.execute, stage=jdbc.stage_rows) -> Callable:
+    """Takes an Engine's flags to the business database, in one transaction, and its sync state to the batch database.
+
+    Without a batch database of its own the state goes to the business database. The state comes last, so a run
+    that fails before is done again.
+    """
+
+    def apply(flags: dict[str, tuple[str, DataFrame]], state: DataFrame) -> None:
+        store = settings.stores["target"]
+        statements = []
+        for name, (key, ids) in flags.items():
+            table = TableName.parse(name)
+            listing = f"{table.schema}.listing_{uuid.uuid4().hex}"
+            stage(ids.select("nid").distinct(), store["url"], listing, properties(store))
+            statements += [ddl.flag_listed(ddl.quoted(table.schema, table.table), key, listing), f"DROP TABLE {listing}"]
+        if statements:
+            execute(spark, store["url"], statements, properties(store))
+        store = settings.stores.get("batch", store)
+        execute(spark, store["url"], ddl.create_state_table(), properties(store))
+        staging = f"{ddl.STATE_TABLE[0]}.staging_{uuid.uuid4().hex}"
+        stage(state, store["url"], staging, properties(store))
+        execute(spark, store["url"], [ddl.upsert_state(staging, state.columns), f"DROP TABLE {staging}"], properties(store))
+
+    return apply

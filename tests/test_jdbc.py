@@ -114,3 +114,48 @@ def test_key_figures_reach_the_database(spark):
     assert [r for r, _ in staged] == ["areas", "measures"]
     (_, areas), (_, measures) = staged
     assert moved == [ddl.update_areas('"dsp"."area_of_interest"', areas), f"DROP TABLE {areas}", 'TRUNCATE TABLE "dsp"."kpi_measure"', ddl.refresh_kpis(measures)[1], f"DROP TABLE {measures}"]
+
+
+def test_what_the_catalog_says():
+    from pyspark.sql import Row
+
+    from terrasync.functions.ids import TableName
+    from terrasync.sources import postgis
+
+    asked = []
+
+    def ask(query, registered=0):
+        asked.append(query)
+        if "geometry_columns" in query:
+            return [Row(srid=registered, type="MULTIPOLYGON", coord_dimension=3)]
+        if "pg_indexes" in query:
+            return [Row(indexname="rivers_pkey", indexdef="CREATE UNIQUE INDEX rivers_pkey ON a.rivers USING btree (pk)"), Row(indexname="by_code", indexdef="CREATE INDEX by_code ON a.rivers USING btree (code)")]
+        return [Row(srid=31982)]
+
+    said = postgis.describe(ask, TableName("a", "ri'vers"), "shape")
+    assert said == {"geometry_type": "MULTIPOLYGON", "srid": 31982, "indexes": [["by_code", "CREATE INDEX by_code ON a.rivers USING btree (code)"]]}
+    assert all("'ri''vers'" in q for q in asked if "ST_SRID" not in q)
+    assert postgis.describe(lambda q: ask(q, 4674), TableName("a", "b"), "shape")["srid"] == 4674
+    # A layer without srid takes both from the geometry's metadata.
+    schema = T.StructType.fromDDL("pk bigint, aoi bigint, made timestamp, code string, n int, shape string")
+    schema["shape"].metadata = said | {"indexes": said["indexes"] + [["by_n", "CREATE INDEX by_n ON a.rivers USING btree (n)"]]}
+    layer = Layer(source_table="a.rivers", primary_key="pk", area_of_interest_id_column="aoi", creation_date_column="made", geometry_column="shape", additional_columns=["code"])
+    c = layer_contract(layer, schema)
+    assert c.srid == 31982 and [i.name for i in c.indexes] == ["by_code"] and "rivers_by_code" in [i.name for i in c.target_indexes()]
+
+
+def test_flags_and_state_reach_the_database(spark):
+    from types import SimpleNamespace
+
+    from terrasync.sources import postgis
+    from terrasync.sources import state as states
+
+    ran, staged = [], []
+    settings = SimpleNamespace(stores={"target": {"url": "t"}, "batch": {"url": "b"}})
+    apply = postgis.recorder(spark, settings, execute=lambda _, url, statements, props: ran.append((url, statements)), stage=lambda rows, url, table, props: staged.append((rows.columns, url)))
+    ids = spark.createDataFrame([("20",)], "nid string")
+    apply({"dsp.level3": ("id", ids), "dsp.level2": ("code", ids)}, spark.createDataFrame([], states.SCHEMA))
+    assert [u for u, _ in ran] == ["t", "b", "b"] and staged[0] == (["nid"], "t") and staged[-1][1] == "b" and len(staged) == 3
+    flags, made, moved = (s for _, s in ran)
+    assert flags[0].startswith('UPDATE "dsp"."level3" SET requires_s3_file_regeneration = TRUE WHERE trim("id"::text) IN') and 'trim("code"::text)' in flags[2]
+    assert "sync_key varchar(255) PRIMARY KEY" in made[1] and "ON CONFLICT (sync_key) DO UPDATE SET source_table = EXCLUDED.source_table" in moved[0]

@@ -215,7 +215,12 @@ def test_jobs_over_many_buckets(spark, tmp_path):
     """The same runs as over one bucket, with a bucket for each row or so."""
     w = World(spark, tmp_path)
     w.warehouse.rows_per_bucket = 1
+    seen = []
+    w.engine.record = lambda flags, state: seen.append(({t: (k, {r.nid for r in ids.collect()}) for t, (k, ids) in flags.items()}, state.first()))
     w.run()
+    assert [s.sync_key for _, s in seen] == ["admin_unit_level_1", "admin_unit_level_2", "admin_unit_level_3", "area_of_interest", "dsp_rivers"]
+    assert seen[1][0] == {"dsp.territory_level_2": ("id", {"10", "11"})} and seen[0][0] == {} == seen[4][0]
+    assert seen[3][0] == {"dsp.territory_level_3": ("id", {"20", "21", "22"}), "dsp.territory_level_2": ("id", {"10", "11"})}
     w.now += timedelta(days=2)
     before = w.warehouse._last()[1]["geo/dsp.area_of_interest"]
     areas = w.tables["src.areas"]
@@ -228,3 +233,17 @@ def test_jobs_over_many_buckets(spark, tmp_path):
     written = {int(b) for b, p in (before["parts"] | after["parts"]).items() if before["parts"].get(b) != p or b not in after["parts"]}
     assert before["buckets"] == 4 and written == w.warehouse._touched(before, spark.createDataFrame([("30",), ("32",)], "nid string"))
     assert all(r[territory.FLAG] for n in (2, 3) for r in w.rows(f"target/dsp.territory_level_{n}").values())
+
+
+def test_a_file_is_run(spark, tmp_path, capsys):
+    import yaml
+
+    from terrasync import run
+
+    (tmp_path / "c.yml").write_text(yaml.safe_dump(TREE))
+    w = World(spark, tmp_path / "w")
+    w.tables["src.areas"] = None  # this job fails
+    assert run.main([f"file://{tmp_path}/c.yml", "x"], engine=lambda _, settings, root: type("E", (), {"run_all": lambda self: [w.engine.run_admin_unit(1), w.engine.run_areas()]})()) == 1
+    said = capsys.readouterr().out
+    assert "admin-unit-level-1: COMPLETED, read 1" in said and "area-of-interest: FAILED" in said
+    assert run.main([]) == 2
