@@ -216,7 +216,7 @@ def orphan_ids(t):
 @query(f"SELECT CAST(o_orderkey AS VARCHAR) AS id, {', '.join(f'round({_METRES[c]}, 2) AS {c}' for c in _METRES)} FROM orders WHERE o_orderstatus = 'P'")
 def orphan_with_bbox(t):
     source, target = stale(t)
-    lost = keyed.orphans(target, source, "id")
+    lost = keyed.held(target, keyed.orphans(target.select("id"), source, "id"), "id")  # geometries stay out of the shuffle
     return lost.select(F.col("nid").alias("id"), *rounded_box(geo.box_in_metres(F.col("geom"), 4326), 2))
 
 
@@ -327,7 +327,7 @@ UNION ALL SELECT printf('%.6f,%.6f,%.6f,%.6f', {_BOX_TEXT}) FROM orders WHERE o_
 def affected_bboxes(t):
     (source, contract), (there, target) = of_areas(t), stale(t)
     changed = source.where(contract.selected(MARK)).select(F.col("the_geom").alias("geom"))
-    lost = keyed.orphans(target, there, "id").select("geom")
+    lost = keyed.held(target, keyed.orphans(target.select("id"), there, "id"), "id").select("geom")
     b = geo.box_in_metres(F.col("geom"), 4326)
     return changed.unionByName(lost).select(box_text(*(F.round(b[c], 2) for c in ("x0", "y0", "x1", "y1"))).alias("bbox"))
 

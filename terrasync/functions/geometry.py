@@ -38,24 +38,38 @@ def let(value: Column, f) -> Column:
 _STRICT = {"mode": "FAILFAST"}
 
 
-def _parts(g: Column) -> Column:
-    """Type, coordinates as JSON text, and members as JSON texts, from one parse. Malformed text fails; blank text is null."""
-    return F.from_json(g, "struct<type:string,coordinates:string,geometries:array<string>>", _STRICT)
+def _members(g: Column) -> Column:
+    """The members of a collection as JSON texts."""
+    return F.from_json(g, "struct<geometries:array<string>>", _STRICT)["geometries"]
+
+
+#: The types of GeoJSON.
+_KINDS = "Point|LineString|Polygon|MultiPoint|MultiLineString|MultiPolygon|GeometryCollection"
 
 
 def _by_kind(g: Column, point, line, rings, parts) -> Column:
-    """What the function for its nesting of coordinates gives for a geometry that is no collection; else null."""
+    """What the function for its nesting of coordinates gives for a geometry that is no collection; else null.
+
+    The type is read off the text, so that the text is parsed once, straight into that nesting. Null and blank
+    texts are null; what has no known type or can't be parsed is an error.
+    """
+
+    def chosen(z: Column) -> Column:
+        x, t = z["g"], z["t"]
+
+        def coordinates(nesting: str) -> Column:
+            return F.from_json(x, f"struct<coordinates:{nesting}>", _STRICT)["coordinates"]
 
-    def chosen(x: Column) -> Column:
-        t, c = x["type"], x["coordinates"]
         return (
-            F.when(t == "Point", point(t, F.from_json(c, _POINT, _STRICT)))
-            .when(t.isin("LineString", "MultiPoint"), line(t, F.from_json(c, _LINE, _STRICT)))
-            .when(t.isin("Polygon", "MultiLineString"), rings(t, F.from_json(c, _RINGS, _STRICT)))
-            .when(t == "MultiPolygon", parts(t, F.from_json(c, _PARTS, _STRICT)))
+            F.when(x.isNull() | (F.trim(x) == "") | (t == "GeometryCollection"), None)
+            .when(t.isin("Polygon", "MultiLineString"), rings(t, coordinates(_RINGS)))
+            .when(t == "MultiPolygon", parts(t, coordinates(_PARTS)))
+            .when(t == "Point", point(t, coordinates(_POINT)))
+            .when(t.isin("LineString", "MultiPoint"), line(t, coordinates(_LINE)))
+            .otherwise(F.raise_error(F.concat(F.lit("not a GeoJSON geometry: "), F.left(x, F.lit(80)))))
         )
 
-    return let(_parts(g), chosen)
+    return let(let(g, lambda x: F.struct(x.alias("g"), F.regexp_extract(x, rf'"type"\s*:\s*"({_KINDS})"', 1).alias("t"))), chosen)
 
 
 def _simple_positions(g: Column) -> Column:
@@ -71,7 +85,7 @@ def positions(g: Column) -> Column:
     """All positions of a geometry, array<array<double>>, those of a collection's members included; none: empty."""
 
     def all_of(x: Column) -> Column:
-        members = F.coalesce(_parts(x)["geometries"], F.array().cast("array<string>"))
+        members = F.coalesce(_members(x), F.array().cast("array<string>"))
         return F.when(_is_collection(x), F.flatten(F.transform(members, _simple_positions))).otherwise(_simple_positions(x))
 
     return let(g, all_of)
@@ -101,7 +115,7 @@ def _mapped(g: Column, move) -> Column:
         return _by_kind(x, written(move), written(line), written(rings), written(lambda c: F.transform(c, rings)))
 
     def whole(x: Column) -> Column:
-        collected = F.concat(F.lit('{"type":"GeometryCollection","geometries":['), F.array_join(F.transform(_parts(x)["geometries"], simple), ","), F.lit("]}"))
+        collected = F.concat(F.lit('{"type":"GeometryCollection","geometries":['), F.array_join(F.transform(_members(x), simple), ","), F.lit("]}"))
         return F.when(_is_collection(x), collected).otherwise(simple(x))
 
     return let(g, whole)

@@ -43,6 +43,13 @@ def orphans(target: DataFrame, source_ids: DataFrame, key: str) -> DataFrame:
     return target.withColumn("nid", normal(target, key)).join(source_ids.select("nid"), "nid", "left_anti")
 
 
+def held(target: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of target whose key, as normal text (nid), is among ids (nid)."""
+    from ..functions.ids import normal
+
+    return target.withColumn("nid", normal(target, key)).join(ids.select("nid"), "nid", "left_semi")
+
+
 def repeated_keys(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
 

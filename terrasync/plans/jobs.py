@@ -107,9 +107,7 @@ class Engine:
             # Only ids are shuffled; parents and boxes are then looked up in the buckets that hold lost ones.
             lost = keyed.orphans(valid.select(contract.key), ids, contract.key).select("nid")
             lost = self.warehouse.staged(self.warehouse.stage(f"orphans/{contract.sync_key}", lost))
-            holding = self.warehouse.read_holding(geo_name, lost)
-            held = holding.withColumn("nid", normal(holding, contract.key)).join(lost, "nid", "left_semi")
-            held = held.select("nid", *([contract.parent] if contract.parent else []), geo.box_in_metres(F.col(contract.geometry_target), contract.srid).alias("box"))
+            held = keyed.held(self.warehouse.read_holding(geo_name, lost), lost, contract.key).select("nid", *([contract.parent] if contract.parent else []), geo.box_in_metres(F.col(contract.geometry_target), contract.srid).alias("box"))
             gone = self.warehouse.staged(self.warehouse.stage(f"orphans/{contract.sync_key}", held))
             result.deleted = gone.count()
             boxes = boxes.unionByName(gone.select("box.*"))
