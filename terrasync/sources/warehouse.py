@@ -25,7 +25,7 @@ BUCKET, MOST_BUCKETS = "terrasync_bucket", 4096
 
 
 def _bucket(nid: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(nid), F.lit(buckets)).cast("int")
+    return F.pmod(F.xxhash64(F.coalesce(nid, F.lit(""))), F.lit(buckets)).cast("int")
 
 
 class Warehouse:
@@ -81,7 +81,7 @@ class Warehouse:
     def restage(self, name: str, key: str, change: Callable[[DataFrame], DataFrame], ids: DataFrame | None) -> Entry:
         """A new version of a published table, not yet to be seen, in which change is made to the buckets of ids (nid).
 
-        change keeps the keys of other buckets out; without ids it is made to all buckets. A plain table becomes a keyed one.
+        A change that writes keys of other buckets is an error; without ids it is made to all buckets. A plain table becomes a keyed one.
         """
         entry = self._last()[1][name]
         if isinstance(entry, str):
@@ -100,11 +100,13 @@ class Warehouse:
     def _write(self, name: str, df: DataFrame, key: str, buckets: int, kept: dict[str, str]) -> Entry:
         path = f"tables/{name}/{uuid.uuid4().hex}"
         # Rebalanced by bucket: small ones share a task, and one that is too large for a task is split.
-        dealt = df.withColumn(BUCKET, _bucket(F.coalesce(normal(df, key), F.lit("")), buckets)).hint("rebalance", BUCKET)
+        dealt = df.withColumn(BUCKET, _bucket(normal(df, key), buckets)).hint("rebalance", BUCKET)
         dealt.write.partitionBy(BUCKET).parquet(f"{self.root}/{path}")
         fs, folder = self._place(path)
         found = [s.getPath().getName() for s in fs.listStatus(folder)]
         parts = {n.partition("=")[2]: f"{path}/{n}" for n in found if n.startswith(f"{BUCKET}=")}
+        if astray := kept.keys() & parts.keys():
+            raise ValueError(f"{name}: a change wrote keys of buckets {sorted(astray)}, which it wasn't given")
         return {"key": key, "schema": df.schema.jsonValue(), "buckets": buckets, "parts": kept | parts}
 
     def publish(self, tables: dict[str, Entry]) -> None:

@@ -207,6 +207,11 @@ def test_a_change_of_one_key_writes_one_bucket(spark, tmp_path):
     gone = spark.createDataFrame([("7",), ("8",)], "nid string")
     house.publish({"t": house.restage("t", "id", lambda rows: keyed.without(rows, gone, "id"), gone)})
     assert house.read("t").count() == 998
+    with pytest.raises(ValueError, match="wasn't given"):
+        house.restage("t", "id", lambda rows: rows.unionByName(rows.limit(1).withColumn("id", F.explode(F.array(*map(F.lit, map(str, range(200))))))), gone)
+    nulls = spark.createDataFrame([(None, "n")], "id string, name string")
+    house.publish({"t": house.restage("t", "id", lambda rows: keyed.upsert(rows, nulls, "id"), nulls.select(F.col("id").alias("nid")))})
+    assert house.read("t").count() == 999
     none = house.restage("t", "id", lambda rows: rows, gone.limit(0))
     assert none == house._last()[1]["t"]
 
