@@ -88,8 +88,37 @@ def shard_documents(docs: DataFrame, limit: int = LIMIT_BYTES, id_col: str = "do
     return plain.unionByName(paged).select(F.col("id").alias(id_col), "n_bytes", "shard", "depth", "page", "shard_bytes")
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """rows (__key, __bytes, __row) with __number, from 0 within equal key and bytes.
+
+    __row grows within a partition of the input and has its number in the upper bits, so that rows are numbered
+    by partition and only the partitions' counts are summed up.
+    """
+    group = ["__key", "__bytes", "__part"]
+    rows = rows.withColumn("__part", F.shiftright("__row", 33))
+    earlier = W.partitionBy("__key", "__bytes").orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    bases = rows.groupBy(*group).agg(F.count("*").alias("n")).select(*group, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__base"))
+    nth = F.row_number().over(W.partitionBy(*group).orderBy("__row")) - 1
+    return rows.withColumn("__nth", nth).join(bases, group).withColumn("__number", F.col("__base") + F.col("__nth")).drop("__part", "__base", "__nth")
+
+
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT_BYTES, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Writes docs (ids unique) under path, a folder shard=.../page=... for each shard."""
-    placed = written(shard_documents(docs, limit, id_col, text_col).select(F.col(id_col).alias("__id"), "shard", "page"), "shard-placed")
-    met = docs.join(placed, docs[id_col].eqNullSafe(F.col("__id"))).drop("__id")
+    """Writes docs under path, a folder shard=.../page=... for each shard, every row once.
+
+    Rows of one id (null is one) share a shard. Where these fill more than a page of it, rows and pages meet by
+    number among the rows of that id and size. Columns of docs named shard or page give way to the folders';
+    an empty table writes no folder.
+    """
+    # A struct is equal to another where both hold null.
+    rows = docs.withColumns({"__key": F.struct(docs[id_col]), "__bytes": F.coalesce(F.octet_length(docs[text_col]), F.lit(0)).cast("long")}).drop("shard", "page")
+    placed = shard_documents(docs, limit, id_col, text_col).select(F.struct(id_col).alias("__key"), F.col("n_bytes").alias("__bytes"), "shard", "page")
+    placed = written(placed.withColumn("__row", F.monotonically_increasing_id()), "shard-placed")
+    several = written(placed.where("page > 0").select("__key").distinct(), "shard-several")
+    one = placed.join(several, "__key", "left_anti").select("__key", "shard", "page").distinct()
+    met = rows.join(one, "__key").drop("__key", "__bytes")
+    if not several.isEmpty():
+        many = written(rows.withColumn("__row", F.monotonically_increasing_id()).join(several, "__key", "left_semi"), "shard-many")
+        places = _numbered(placed.join(several, "__key", "left_semi")).drop("__row")
+        number = ["__key", "__bytes", "__number"]
+        met = met.unionByName(_numbered(many).join(places, number).drop(*number, "__row"))
     met.withColumn("shard", F.concat(F.lit("s"), "shard")).repartition("shard", "page").write.partitionBy("shard", "page").parquet(path)

@@ -2,6 +2,8 @@ import re
 import shutil
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from terrasync.llm import sharding, token_counts
 from terrasync.llm.common import shared_dir
 
@@ -91,6 +93,24 @@ def test_written_shards(spark, odd, tmp_path):
     assert shared_dir(spark)
 
 
+def test_written_shards_of_repeated_ids(spark, odd, odd_rows, none, tmp_path):
+    """Rows that share an id, or have none, are written once each, and pages hold to the limit."""
+    sharding.write_shards(odd.withColumn("page", F.lit("mine")), f"file://{tmp_path}/odd", 3000)
+    back = spark.read.parquet(f"file://{tmp_path}/odd").collect()
+    assert Counter((r.doc_id, r.text) for r in back) == Counter(r[:2] for r in odd_rows)
+
+    rows = [(None if i % 3 == 0 else i % 7, f"{i:03}" + "x" * (i % 5)) for i in range(600)] + [(None, None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    sharding.write_shards(docs, f"file://{tmp_path}/many", 200)
+    back = spark.read.parquet(f"file://{tmp_path}/many").collect()
+    assert Counter((r.doc_id, r.text) for r in back) == Counter(rows)
+    pages = defaultdict(int)
+    for r in back:
+        pages[r.shard, r.page] += len(r.text or "")
+    assert max(pages.values()) <= 200 and len(pages) > 12
+    sharding.write_shards(none, f"file://{tmp_path}/none")
+
+
 def test_snapshots(spark, odd, odd_rows, tmp_path):
     """Totals stay what they are through snapshots, batches stay known, and reading leaves compacted ones alone."""
     rollup = token_counts.Rollup(spark, f"file://{tmp_path}/r", compact=2)
