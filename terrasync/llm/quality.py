@@ -96,23 +96,24 @@ EXTRA_RULES = (
 )
 RULES = BASE_RULES + EXTRA_RULES
 
-#: Rows of the sample on which costs and selectivities are estimated.
-SAMPLE_ROWS = 512
+#: Rows of the sample on which costs and selectivities are estimated, and tasks that look at them.
+SAMPLE_ROWS, SAMPLE_TASKS = 512, 16
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def plan_cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> tuple[Rule, ...]:
     """The rules in the order in which to run them.
 
-    A sample of about sample_rows rows (at most twice that) is drawn over the whole table. Greedily, the
-    next rule is the one with the most rejections per second among the sample's rows that are still kept.
+    A sample of about sample_rows rows is drawn over the whole table and dealt over a few tasks, as its texts
+    may be very long. Greedily, the next rule is the one with the most rejections per second among the
+    sample's rows that are still kept.
     The tasks return a time and a verdict for each sampled row and rule, no text.
     """
     total = docs.count()
     if not total:
         return tuple(rules)
     share = min(1.0, sample_rows / total)
-    sample = docs.select(docs[text_col].alias("text")).sample(False, share, 42).limit(2 * sample_rows)
+    sample = docs.select(docs[text_col].alias("text")).sample(False, share, 42).repartition(SAMPLE_TASKS)
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
