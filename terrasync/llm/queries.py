@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, quality, repeats, secret_scan, sharding, simhash, token_counts, topk
+from . import chat, filter_audit, mixing, packing, quality, repeats, secret_scan, sharding, simhash, token_counts, topk, whitening
 from .common import shared_dir, table, written
 
 
@@ -235,6 +235,45 @@ FROM f
 """
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM documents
+), f AS (
+  SELECT doc_id, part, len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b,
+         100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e FROM d
+), l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), g AS (
+  SELECT part, list_concat(CASE WHEN a THEN ['A'] ELSE [] END, CASE WHEN b THEN ['B'] ELSE [] END, CASE WHEN c THEN ['C'] ELSE [] END,
+                           CASE WHEN d THEN ['D'] ELSE [] END, CASE WHEN e THEN ['E'] ELSE [] END) AS failed,
+         count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL
+), x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+), o AS (
+  SELECT p.f || q.f || r.f || s.f || t.f AS filter_order FROM x p, x q, x r, x s, x t
+  WHERE len(list_distinct([p.f, q.f, r.f, s.f, t.f])) = 5
+), k AS (SELECT filter_order, CAST(range AS INTEGER) AS step, filter_order[range] AS f, string_split(filter_order[1 : range - 1], '') AS before FROM o, range(1, 6)
+), s AS (
+  SELECT part, filter_order, step, f, n, n_good, n_toxic, failed, list_contains(failed, f) AS fails, step > 1 AND len(list_intersect(failed, before)) > 0 AS gone FROM g, k
+), r AS (
+  SELECT part, filter_order, step, f,
+         CAST(coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0) AS BIGINT) AS kept, CAST(coalesce(sum(n) FILTER (fails AND NOT gone), 0) AS BIGINT) AS removed,
+         CAST(coalesce(sum(n) FILTER (fails AND gone), 0) AS BIGINT) AS redundant, CAST(coalesce(sum(n) FILTER (fails AND len(failed) = 1), 0) AS BIGINT) AS unique_fails,
+         CAST(coalesce(sum(n_good) FILTER (fails AND NOT gone), 0) AS BIGINT) AS good_lost, CAST(coalesce(sum(n_toxic) FILTER (fails AND NOT gone), 0) AS BIGINT) AS toxic_lost
+  FROM s GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM r
+"""
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -248,9 +287,11 @@ QUERIES = {
         op8_sharding,
         op9_simhash_near_dedup,
         op10_quality_rules,
+        op11_filter_audit,
+        op13_embedding_whitening,
     )
 }
-ORACLES = {"op1_secret_scan": OP1_SQL, "op2_chat_format": OP2_SQL, "op3_top_k": OP3_SQL, "op6_repeats": OP6_SQL, "op8_sharding": OP8_SQL, "op10_quality_rules": OP10_SQL}
+ORACLES = {"op1_secret_scan": OP1_SQL, "op2_chat_format": OP2_SQL, "op3_top_k": OP3_SQL, "op6_repeats": OP6_SQL, "op8_sharding": OP8_SQL, "op10_quality_rules": OP10_SQL, "op11_filter_audit": OP11_SQL}
 #: Operators once more, over what SQL can express.
 MORE_QUERIES = {"token_rollup_words": token_rollup_words}
 MORE_ORACLES = {"token_rollup_words": ROLLUP_SQL}

@@ -40,7 +40,7 @@ def test_against_sql(spark, name):
 
 def test_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_op1(spark, docs):
@@ -99,6 +99,21 @@ def test_op9(spark, docs):
         assert got[d.doc_id].fingerprint == f"{fps[i]:016x}" and got[d.doc_id].component_id == docs[comp[i]].doc_id
 
 
+def test_op13(spark):
+    got = queries.op13_embedding_whitening(spark, SF).toPandas()
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect() if r.embedding and all(c is not None and np.isfinite(c) for c in r.embedding)]
+    x = np.floor(1024 * np.array([v for _, v in rows], float)).astype(np.int64) + 100_000
+    n, s = len(x), x.sum(axis=0)
+    y = (n * x - s) / n
+    e, u = np.linalg.eigh(y.T @ y / n)
+    assert len(got) == 8 * n and (got.identity_error < 1e-9).all() and list(got.columns) == "vec_id component n deviation whitened explained identity_error".split()
+    for k in range(8):
+        one = got[got.component == k + 1].set_index("vec_id").loc[[i for i, _ in rows]]
+        want = y @ u[:, -1 - k] / np.sqrt(e[-1 - k])
+        assert np.allclose(np.abs(one.whitened), np.abs(want), atol=1e-6) and np.allclose(one.explained, e[-1 - k] / e.sum())
+        assert one.deviation.tolist() == ((n * x - s) ** 2).sum(axis=1).tolist()
+
+
 def test_pipeline_runs(spark, docs):
     got = entry.queries()["pipeline"](spark, SF).toPandas()
     assert set(got.doc_id) <= {d.doc_id for d in docs} and len(got) and isinstance(got, pd.DataFrame)
