@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, filter_audit, mixing, packing, quality, repeats, secret_scan, sharding, simhash, token_counts, topk, whitening
+from . import chat, filter_audit, mixing, packing, quality, repeats, secret_scan, sharding, simhash, token_counts, topk, toxicity, whitening
 from .common import shared_dir, table, written
 
 
@@ -270,6 +270,11 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 """
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -288,6 +293,7 @@ QUERIES = {
         op9_simhash_near_dedup,
         op10_quality_rules,
         op11_filter_audit,
+        op12_toxicity,
         op13_embedding_whitening,
     )
 }

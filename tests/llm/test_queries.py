@@ -99,6 +99,15 @@ def test_op9(spark, docs):
         assert got[d.doc_id].fingerprint == f"{fps[i]:016x}" and got[d.doc_id].component_id == docs[comp[i]].doc_id
 
 
+def test_op12(spark, docs):
+    got = {r.doc_id: r for r in queries.op12_toxicity(spark, SF).collect()}
+    assert set(got) == {d.doc_id for d in docs}
+    toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) and r.predicted == (r.score >= 0.7) for i, r in got.items())
+    clean = [got[i].predicted for i, t in toxic.items() if t == 0 and got[i].held_out]
+    assert np.mean(clean) < 0.05  # few labels are there at this size; accuracy is tested in test_toxicity.py
+
+
 def test_op13(spark):
     got = queries.op13_embedding_whitening(spark, SF).toPandas()
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect() if r.embedding and all(c is not None and np.isfinite(c) for c in r.embedding)]
