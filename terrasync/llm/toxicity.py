@@ -221,8 +221,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     rows = sample.mapInPandas(numbered, "hash long, positive boolean, unlabelled boolean, features array<int>")
     dealt = rows.withColumn("member", F.explode(F.sequence(F.lit(0), F.lit(MEMBERS - 1)))).withColumn("unlabelled", F.col("unlabelled") & (F.pmod(F.xxhash64("hash", "member"), F.lit(2)) == 0)).where("positive or unlabelled")
-    found = dealt.groupBy("member").applyInPandas(trained, "member int, weights array<double>").orderBy("member").collect()
-    return Model(prior, vocabulary, np.array([r.weights for r in found]))
+    found = dealt.groupBy("member").applyInPandas(trained, "member int, weights array<double>").collect()
+    return Model(prior, vocabulary, np.array([r.weights for r in sorted(found)]))
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
