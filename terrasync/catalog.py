@@ -345,9 +345,88 @@ def centroid(t):
     return t("orders").select(F.col("o_orderkey").alias("id"), p.alias("p")).select("id", F.round(F.col("p")[0], 6).alias("x"), F.round(F.col("p")[1], 6).alias("y"))
 
 
-@query()
+#: Between parallels and meridians areas have a closed form; a geodesic bulges from its parallel by a sliver, of which the leading term is all that shows here.
+_A, _E2 = 6378137.0, (2 - 1 / 298.257223563) / 298.257223563
+
+
+def _below_sql(lat: str) -> str:
+    """For an edge along latitude lat (radians) over d (radians): square metres down to the equator, sliver included."""
+    w = f"(1 - {_E2!r} * sin({lat}) ** 2)"
+    root = f"sqrt({_E2!r})"
+    band = f"{_A!r} ** 2 * (1 - {_E2!r}) / 2 * d * (sin({lat}) / {w} + ln((1 + {root} * sin({lat})) / (1 - {root} * sin({lat}))) / (2 * {root}))"
+    return f"({band} + {_A!r} ** 2 / {w} * sin({lat}) * cos({lat}) ** 2 * d ** 3 / 12)"
+
+
+def squares_sql(k: str, table: str, keys: str) -> str:
+    """id and geodesic area of the squares of a table's keys."""
+    q = square_sql(k)
+    return f"SELECT *, {_below_sql('n')} - {_below_sql('s')} AS m2 FROM (SELECT {keys}, radians({q['x1']} - {q['x0']}) AS d, radians({q['y0']}) AS s, radians({q['y1']}) AS n FROM {table})"
+
+
+@query(f"SELECT id, round(m2) AS m2 FROM ({squares_sql('c_custkey', 'customer', 'c_custkey AS id')})")
 def geodesic_area(t):
-    return t("customer").select(F.col("c_custkey").alias("id"), geo.geodesic_area(square_text(F.col("c_custkey"))).alias("m2"))
+    return t("customer").select(F.col("c_custkey").alias("id"), F.round(geo.geodesic_area(square_text(F.col("c_custkey")))).alias("m2"))
+
+
+def _turned(x: Column) -> Column:
+    return F.pmod(x + 180, F.lit(360.0)) - 180
+
+
+@query("SELECT c_custkey AS id, round(510065621724088.44 * (10 + c_custkey % 170) / 720, -3) AS m2 FROM customer")
+def geodesic_polar_sectors(t):
+    """From a stretch of the equator to a pole, over the date line for some: a share of the hemisphere."""
+    k = F.col("c_custkey")
+    x, w, pole = (k % 360 - 180).cast("double"), (10 + k % 170).cast("double"), F.when(k % 2 == 0, F.lit(90.0)).otherwise(-90.0)
+    east, zero = _turned(x + w), F.lit(0.0)
+    ring = F.array(*(F.array(a, b) for a, b in ((x, zero), (_turned(x + w / 2), zero), (east, zero), (east, pole), (x, pole), (x, zero))))
+    g = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")))
+    return t("customer").select(k.alias("id"), F.round(geo.geodesic_area(g), -3).alias("m2"))
+
+
+def kinds_text(k: Column) -> Column:
+    """A geometry of the square of key k of each kind, by k % 9: with heights, members in any order, holes, collections in collections."""
+    x, y, s = square(k)
+
+    def at(a: Column, b: Column) -> Column:
+        return F.concat(F.lit("["), a.cast("string"), F.lit(","), b.cast("string"), F.lit(",7.5]"))
+
+    def ring(a, b, side) -> Column:
+        return F.concat(F.lit("["), F.concat_ws(",", at(a, b), at(a + side, b), at(a + side, b + side), at(a, b + side), at(a, b)), F.lit("]"))
+
+    def text(template: str, *parts: Column) -> Column:
+        pieces = template.split("%")
+        return F.concat(F.lit(pieces[0]), *(z for part, rest in zip(parts, pieces[1:], strict=True) for z in (part, F.lit(rest))))
+
+    point, outer, hole = at(x, y), ring(x, y, s), ring(x + s / 4, y + s / 4, s / 2)
+    far = at(x + 1, y + 2)
+    shapes = [
+        text('{"type":"Point","coordinates":%}', point),
+        text('{"coordinates":[%,%],"type":"LineString"}', point, far),
+        text('{"bbox":[0,0,1,1],"type":"Polygon","coordinates":[%,%]}', outer, hole),
+        text('{"type":"MultiPoint","crs":{"type":"name"},"coordinates":[%,%]}', far, point),
+        text('{"type":"MultiPolygon","coordinates":[[%],[%]]}', outer, hole),
+        text('{"geometries":[{"type":"Point","coordinates":%},{"coordinates":[%],"type":"Polygon"}],"type":"GeometryCollection"}', far, outer),
+        text('{"bbox":[0,0,1,1],"type":"GeometryCollection","geometries":[{"type":"MultiLineString","coordinates":[[%,%]]}]}', point, far),
+        text('{"type":"GeometryCollection","geometries":[{"geometries":[{"type":"GeometryCollection","geometries":[{"type":"Point","coordinates":%}]},{"type":"Polygon","coordinates":[%]}],"type":"GeometryCollection"}]}', far, outer),
+        F.lit('{"type":"GeometryCollection","geometries":[{"type":"Polygon","coordinates":[]}]}'),
+    ]
+    return F.element_at(F.array(*shapes), (k % 9 + 1).cast("int"))
+
+
+_C = square_sql("c_custkey")
+
+
+@query(f"""SELECT c_custkey AS id, c_custkey % 9 <> 8 AS present, [1, 2, 10, 2, 10, 6, 2, 6, 0][c_custkey % 9 + 1] AS n_positions,
+CASE WHEN c_custkey % 9 < 8 THEN round({_C['x0']}, 6) END AS x0, CASE WHEN c_custkey % 9 < 8 THEN round({_C['y0']}, 6) END AS y0,
+CASE WHEN c_custkey % 9 IN (1, 3, 5, 6, 7) THEN round({_C['x0']} + 1, 6) WHEN c_custkey % 9 = 0 THEN round({_C['x0']}, 6) WHEN c_custkey % 9 < 8 THEN round({_C['x1']}, 6) END AS x1,
+CASE WHEN c_custkey % 9 IN (1, 3, 5, 6, 7) THEN round({_C['y0']} + 2, 6) WHEN c_custkey % 9 = 0 THEN round({_C['y0']}, 6) WHEN c_custkey % 9 < 8 THEN round({_C['y1']}, 6) END AS y1,
+CASE c_custkey % 9 WHEN 2 THEN round(0.75 * (({_C['x1']} - {_C['x0']}) ** 2), 9) WHEN 4 THEN round(1.25 * (({_C['x1']} - {_C['x0']}) ** 2), 9) WHEN 5 THEN round(({_C['x1']} - {_C['x0']}) ** 2, 9) WHEN 7 THEN round(({_C['x1']} - {_C['x0']}) ** 2, 9) ELSE 0 END AS square_degrees
+FROM customer""")
+def geometry_kinds(t):
+    """All kinds of geometries, in two dimensions and read back: positions, bounds, and the plane area of all rings."""
+    raw = t("customer").select(F.col("c_custkey").alias("id"), kinds_text(F.col("c_custkey")).alias("g"))
+    rows = raw.select("id", geo.has_positions(F.col("g")).alias("present"), geo.force_2d(F.col("g")).alias("g"))
+    return rows.select("id", "present", F.size(geo.positions(F.col("g"))).alias("n_positions"), *rounded_box(geo.bounds(F.col("g"))), F.round(geo.planar_area(F.col("g")), 9).alias("square_degrees"))
 
 
 # ---------------------------------------------------------------- partitions
@@ -396,7 +475,8 @@ def kpi_area_update(t):
     return kpi.with_areas(business, measured).select("id", F.col("area").cast("string").alias("area"))
 
 
-@query()
+@query(f"""SELECT CAST(user_id AS VARCHAR) AS area_of_interest_id, CAST(round(sum(CAST(m2 AS DECIMAL(26,9))) / 10000, 3) AS DECIMAL(18,3))::VARCHAR AS value, 'user-events' AS kpi_name
+FROM ({squares_sql('event_id', 'events', 'user_id')}) WHERE user_id IS NOT NULL GROUP BY user_id""")
 def kpi_theme_geodesic(t):
     features = t("events").select(F.col("user_id").alias("area_of_interest_id"), square_text(F.col("event_id")).alias("geom"))
     return kpi.theme(features, "user-events", "ha").select("area_of_interest_id", F.col("value").cast("string").alias("value"), "kpi_name")

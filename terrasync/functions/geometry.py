@@ -1,7 +1,7 @@
 """Geometries as GeoJSON text, with functions on columns.
 
-Coordinates are unnested by type into positions, on which the built-in higher-order functions work; only
-geodesic areas and centroids of polygons run NumPy on Arrow batches.
+Members of a text are found by structure, and coordinates are unnested by type into positions, on which the built-in
+higher-order functions work; only geodesic areas and centroids of polygons run NumPy on Arrow batches.
 """
 
 from __future__ import annotations
@@ -34,73 +34,80 @@ def let(value: Column, f) -> Column:
     return F.transform(F.array(value), f)[0]
 
 
+#: The types of GeoJSON, by the nesting of their coordinates; collections have none.
+_NESTING = {"Point": _POINT, "LineString": _LINE, "MultiPoint": _LINE, "Polygon": _RINGS, "MultiLineString": _RINGS, "MultiPolygon": _PARTS}
+_COLLECTION = "GeometryCollection"
+
+
 #: A malformed geometry is an error: stored as null it would overwrite a good one.
 _STRICT = {"mode": "FAILFAST"}
 
 
-def _members(g: Column) -> Column:
-    """The members of a collection as JSON texts."""
-    return F.from_json(g, "struct<geometries:array<string>>", _STRICT)["geometries"]
+def _value(g: Column) -> Column:
+    """struct<type, coordinates, geometries> of a text, members as texts, found by structure whatever their order; null and blank: null."""
+    return F.when(F.trim(g) != "", F.from_json(g, "struct<type:string,coordinates:string,geometries:array<string>>", _STRICT))
 
 
-#: The types of GeoJSON.
-_KINDS = "Point|LineString|Polygon|MultiPoint|MultiLineString|MultiPolygon|GeometryCollection"
+def _leaves(found: Column, g: Column) -> Column:
+    """The geometries that are no collections among those texts, and inside them at any depth; collections are opened level by level.
 
+    g, the whole text, has no more levels than it names the type.
+    """
 
-def _by_kind(g: Column, point, line, rings, parts) -> Column:
-    """What the function for its nesting of coordinates gives for a geometry that is no collection; else null.
+    def opened(texts: Column) -> Column:
+        def one(x: Column) -> Column:
+            return let(F.struct(x.alias("x"), _value(x).alias("v")), lambda z: F.when(z["v"]["type"] == _COLLECTION, F.coalesce(z["v"]["geometries"], F.array().cast("array<string>"))).otherwise(F.array(z["x"])))
 
-    The type is read off the text, so that the text is parsed once, straight into that nesting. Null and blank
-    texts are null; what has no known type or can't be parsed is an error.
-    """
+        return F.flatten(F.transform(texts, one))
 
-    def chosen(z: Column) -> Column:
-        x, t = z["g"], z["t"]
+    levels = F.regexp_count(g, F.lit(f'"{_COLLECTION}"'))
+    return F.when(levels < 2, found).otherwise(F.aggregate(F.sequence(F.lit(2), F.greatest(levels, F.lit(2))), found, lambda texts, _: opened(texts)))
 
-        def coordinates(nesting: str) -> Column:
-            return F.from_json(x, f"struct<coordinates:{nesting}>", _STRICT)["coordinates"]
 
-        return (
-            F.when(x.isNull() | (F.trim(x) == "") | (t == "GeometryCollection"), None)
-            .when(t.isin("Polygon", "MultiLineString"), rings(t, coordinates(_RINGS)))
-            .when(t == "MultiPolygon", parts(t, coordinates(_PARTS)))
-            .when(t == "Point", point(t, coordinates(_POINT)))
-            .when(t.isin("LineString", "MultiPoint"), line(t, coordinates(_LINE)))
-            .otherwise(F.raise_error(F.concat(F.lit("not a GeoJSON geometry: "), F.left(x, F.lit(80)))))
-        )
+def _by_kind(v: Column, point, line, rings, parts) -> Column:
+    """What the function for its nesting of coordinates gives for a geometry that is no collection; of an unknown type: an error."""
+    t = v["type"]
 
-    return let(let(g, lambda x: F.struct(x.alias("g"), F.regexp_extract(x, rf'"type"\s*:\s*"({_KINDS})"', 1).alias("t"))), chosen)
+    def coordinates(nesting: str) -> Column:
+        return F.from_json(v["coordinates"], nesting, _STRICT)
 
+    out = F.when(F.lit(False), None)
+    for nesting, made in ((_RINGS, rings), (_PARTS, parts), (_POINT, point), (_LINE, line)):
+        out = out.when(t.isin(*(k for k, n in _NESTING.items() if n == nesting)), made(t, coordinates(nesting)))
+    return out.otherwise(F.raise_error(F.concat(F.lit("not a GeoJSON geometry: "), F.coalesce(t, F.lit("without a type")))))
 
-def _simple_positions(g: Column) -> Column:
-    found = _by_kind(g, lambda t, c: F.array(c), lambda t, c: c, lambda t, c: F.flatten(c), lambda t, c: F.flatten(F.flatten(c)))
+
+def _simple_positions(v: Column) -> Column:
+    found = _by_kind(v, lambda t, c: F.array(c), lambda t, c: c, lambda t, c: F.flatten(c), lambda t, c: F.flatten(F.flatten(c)))
     return F.filter(F.coalesce(found, F.array().cast(_LINE)), lambda p: F.size(p) >= 2)
 
 
-def _is_collection(g: Column) -> Column:
-    return g.rlike(r'^[^\[]*"GeometryCollection"')
+def _opened(g: Column, nothing, simple, collection) -> Column:
+    """simple of the geometry's value, or collection of the values it holds; nothing where the text is null or blank."""
 
+    def chosen(z: Column) -> Column:
+        v = z["v"]
+        members = F.coalesce(v["geometries"], F.array().cast("array<string>"))
+        return F.when(v.isNull(), nothing).when(v["type"] == _COLLECTION, collection(F.transform(_leaves(members, z["g"]), _value))).otherwise(simple(v))
 
-def positions(g: Column) -> Column:
-    """All positions of a geometry, array<array<double>>, those of a collection's members included; none: empty."""
+    return let(let(g, lambda x: F.struct(x.alias("g"), _value(x).alias("v"))), chosen)
 
-    def all_of(x: Column) -> Column:
-        members = F.coalesce(_members(x), F.array().cast("array<string>"))
-        return F.when(_is_collection(x), F.flatten(F.transform(members, _simple_positions))).otherwise(_simple_positions(x))
 
-    return let(g, all_of)
+def positions(g: Column) -> Column:
+    """All positions of a geometry, array<array<double>>, those of a collection's members at any depth included; none: empty."""
+    return _opened(g, F.array().cast(_LINE), _simple_positions, lambda found: F.flatten(F.transform(found, _simple_positions)))
 
 
 def has_positions(g: Column) -> Column:
-    """Neither null nor blank nor empty: some coordinates begin with a number, however deep.
+    """Neither null nor blank nor empty: some coordinates begin with a position, however deep.
 
     Repair never empties a geometry, so validity needn't be tested; nor need the text be parsed.
     """
-    return g.isNotNull() & g.rlike(r'"coordinates"\s*:\s*\[[\[\],\s]*-?[0-9]')
+    return g.isNotNull() & g.rlike(r'"coordinates"\s*:\s*\[[\[\],\s]*-?[0-9][^\[\],]*,\s*-?[0-9]')
 
 
 def _mapped(g: Column, move) -> Column:
-    """The geometry with every position replaced by move of it."""
+    """The geometry with every position replaced by move of it. A collection inside a collection is opened: its members are the outer one's."""
 
     def line(c: Column) -> Column:
         return F.transform(c, move)
@@ -111,14 +118,13 @@ def _mapped(g: Column, move) -> Column:
     def written(f):
         return lambda t, c: F.to_json(F.struct(t.alias("type"), f(c).alias("coordinates")))
 
-    def simple(x: Column) -> Column:
-        return _by_kind(x, written(move), written(line), written(rings), written(lambda c: F.transform(c, rings)))
+    def simple(v: Column) -> Column:
+        return _by_kind(v, written(move), written(line), written(rings), written(lambda c: F.transform(c, rings)))
 
-    def whole(x: Column) -> Column:
-        collected = F.concat(F.lit('{"type":"GeometryCollection","geometries":['), F.array_join(F.transform(_members(x), simple), ","), F.lit("]}"))
-        return F.when(_is_collection(x), collected).otherwise(simple(x))
+    def collected(found: Column) -> Column:
+        return F.concat(F.lit('{"type":"GeometryCollection","geometries":['), F.array_join(F.transform(found, simple), ","), F.lit("]}"))
 
-    return let(g, whole)
+    return _opened(g, F.lit(None).cast("string"), simple, collected)
 
 
 def force_2d(g: Column) -> Column:
@@ -136,6 +142,27 @@ def bounds(g: Column) -> Column:
     return let(positions(g), box)
 
 
+def planar_area(g: Column) -> Column:
+    """The area in the system's own units, holes taken off; 0 without polygons, null for null and blank texts. For a collection, of all its members."""
+
+    def ring_area(c: Column) -> Column:
+        x, y = F.transform(c, lambda p: p[0] - c[0][0]), F.transform(c, lambda p: p[1] - c[0][1])
+        steps = F.sequence(F.lit(1), F.greatest(F.size(c) - 1, F.lit(1)))
+        return F.abs(F.aggregate(steps, F.lit(0.0), lambda z, i: z + F.coalesce(F.get(x, i - 1) * F.get(y, i) - F.get(x, i) * F.get(y, i - 1), F.lit(0.0)))) / 2
+
+    def rings_area(c: Column) -> Column:
+        """Of a polygon: the first ring's, less those of its holes."""
+        each = F.transform(c, lambda r: F.when(F.size(r) > 2, ring_area(r)).otherwise(0.0))
+        return F.aggregate(each, F.coalesce(F.get(each, F.lit(0)) * 2, F.lit(0.0)), lambda z, a: z - a)
+
+    def simple(v: Column) -> Column:
+        nothing = lambda t, c: F.lit(0.0)
+        polygons = lambda t, c: F.aggregate(F.transform(c, rings_area), F.lit(0.0), lambda z, a: z + a)
+        return _by_kind(v, nothing, nothing, lambda t, c: F.when(t == "Polygon", rings_area(c)).otherwise(0.0), polygons)
+
+    return _opened(g, F.lit(None).cast("double"), simple, lambda found: F.aggregate(F.transform(found, simple), F.lit(0.0), lambda z, a: z + a))
+
+
 def envelope(g: Column) -> Column:
     """The bounding polygon; a point's is the point, an upright or level line's the line."""
 
@@ -305,13 +332,81 @@ def _t(x):
     return x + np.sqrt(1 / x + 1) * np.arcsinh(np.sqrt(x))
 
 
-def _edges_area(lon: np.ndarray, lat: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """Signed areas between geodesic edges and the equator (Karney, J. Geodesy 87, 2013); one for each edge.
+def _integral(f, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    mid, half = (a + b) / 2, (b - a) / 2
+    x = mid[:, None] + half[:, None] * _NODES
+    return half * (f(x) * _WEIGHTS).sum(axis=1)
+
+
+def _longitude(dl_of, s0, c0, a, b):
+    """The longitude on the ellipsoid that a stretch a..b of a great circle of the auxiliary sphere covers, from that on the sphere."""
+    k2 = (_EP2 * c0 * c0)[:, None]
+    return dl_of - _F * s0 * _integral(lambda x: (2 - _F) / (1 + (1 - _F) * np.sqrt(1 + k2 * np.sin(x) ** 2)), a, b)
+
+
+def _below(c0: np.ndarray, s0: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """What the ellipsoid adds to the spherical area between a stretch of a geodesic and the equator."""
+    k2 = (_EP2 * c0 * c0)[:, None]
+
+    def inner(x):
+        y = np.maximum(k2 * np.sin(x) ** 2, 1e-300)
+        gap = _EP2 - y
+        near = gap < 1e-9 * _EP2
+        step = _EP2 * 1e-4
+        slope = (_t(_EP2 + step) - _t(_EP2 - step)) / (2 * step)
+        return np.where(near, slope, (_t(_EP2) - _t(y)) / np.where(near, 1, gap)) * np.sin(x) / 2
+
+    return -_E2 * _A * _A * c0 * s0 * _integral(inner, a, b)
+
+
+def _by_azimuth(dl: np.ndarray, b1: np.ndarray, b2: np.ndarray) -> np.ndarray:
+    """_edges_area of edges that reach nearly around the globe, found by their azimuth at the first end.
+
+    With ends turned so that the first is the southern one and the farther from the equator, the longitude reached
+    grows with the azimuth from 0 to pi, so Newton's steps are held inside a bracket that halves where they leave it.
+    """
+    sign = np.sign(dl)
+    swap = np.abs(b1) < np.abs(b2)
+    first, second = np.where(swap, b2, b1), np.where(swap, b1, b2)
+    flip = np.where(first > 0, -1.0, 1.0)
+    first, second, want = first * flip, second * flip, np.abs(dl)
+    s1, c1, s2, c2 = np.sin(first), np.cos(first), np.sin(second), np.cos(second)
+
+    def reached(azimuth):
+        sa1, ca1 = np.sin(azimuth), np.cos(azimuth)
+        s0 = sa1 * c1
+        c0 = np.hypot(ca1, sa1 * s1)
+        sa2 = s0 / c2
+        ca2 = np.sqrt(np.maximum((ca1 * c1) ** 2 + (c2 - c1) * (c2 + c1), 0)) / c2
+        a, b = np.arctan2(s1, ca1 * c1), np.arctan2(s2, ca2 * c2)
+        o1, o2 = np.arctan2(s0 * s1, ca1 * c1), np.arctan2(s0 * s2, ca2 * c2)
+        b = np.where(b < a, b + 2 * np.pi, b)
+        omega = np.remainder(o2 - o1, 2 * np.pi)
+        return _longitude(omega, s0, c0, a, b), (s0, c0, a, b, np.arctan2(sa2 * ca1 - ca2 * sa1, ca2 * ca1 + sa2 * sa1))
+
+    low, high = np.zeros(len(dl)), np.full(len(dl), np.pi)
+    at = np.full(len(dl), np.pi / 2)
+    for _ in range(100):
+        there = reached(at)[0] - want
+        low, high = np.where(there <= 0, at, low), np.where(there >= 0, at, high)
+        slope = (reached(at + 1e-7)[0] - reached(at - 1e-7)[0]) / 2e-7
+        step = at - there / np.where(slope == 0, np.inf, slope)
+        new = np.where((step > low) & (step < high), step, (low + high) / 2)
+        if np.all((np.abs(new - at) < 1e-15) | (high - low < 1e-15)):
+            break
+        at = new
+    s0, c0, a, b, turned = reached(at)[1]
+    area = _C2 * turned + _below(c0, s0, a, b)
+    return area * flip * sign
+
+
+def _edges_area(lon: np.ndarray, lat: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Signed areas between geodesic edges and the equator (Karney, J. Geodesy 87, 2013), and their longitudes; one for each edge.
 
     lon and lat are in radians; the edge i runs from point i to i + 1 where both are of one group.
     """
     i = np.flatnonzero(group[1:] == group[:-1])
-    out = np.zeros(len(group))
+    out, turn = np.zeros(len(group)), np.zeros(len(group))
     dl = np.remainder(lon[i + 1] - lon[i] + np.pi, 2 * np.pi) - np.pi
     b1, b2 = (np.arctan((1 - _F) * np.tan(lat[j])) for j in (i, i + 1))
     # Half tangents give the spherical excess; both equal zero on the equator, where the area is nothing.
@@ -331,43 +426,37 @@ def _edges_area(lon: np.ndarray, lat: np.ndarray, group: np.ndarray) -> np.ndarr
         length = np.arctan2(np.hypot(c1 * s2 - s1 * c2 * np.cos(w), c2 * np.sin(w)), s1 * s2 + c1 * c2 * np.cos(w))
         return s0, c0, sigma1, sigma1 + length
 
-    def integral(f, a, b):
-        mid, half = (a + b) / 2, (b - a) / 2
-        x = mid[:, None] + half[:, None] * _NODES
-        return half * (f(x) * _WEIGHTS).sum(axis=1)
-
+    moved = np.zeros(len(i))
     for _ in range(25):
-        s0, c0, a, b = arc(omega)
-        k2 = (_EP2 * c0 * c0)[:, None]
-        new = dl + _F * s0 * integral(lambda x: (2 - _F) / (1 + (1 - _F) * np.sqrt(1 + k2 * np.sin(x) ** 2)), a, b)
-        done = np.max(np.abs(new - omega), initial=0) < 1e-15
-        omega = new
-        if done:
+        new = omega + dl - _longitude(omega, *arc(omega))
+        moved, omega = np.abs(new - omega), new
+        if np.all(moved < 1e-15):
             break
     s0, c0, a, b = arc(omega)
     t1, t2 = np.tan(b1 / 2), np.tan(b2 / 2)
     excess = 2 * np.arctan2(np.sin(omega / 2) * (t1 + t2), np.cos(omega / 2) * (1 + t1 * t2))
-    k2 = (_EP2 * c0 * c0)[:, None]
-
-    def inner(x):
-        y = np.maximum(k2 * np.sin(x) ** 2, 1e-300)
-        gap = _EP2 - y
-        near = gap < 1e-9 * _EP2
-        step = _EP2 * 1e-4
-        slope = (_t(_EP2 + step) - _t(_EP2 - step)) / (2 * step)
-        return np.where(near, slope, (_t(_EP2) - _t(y)) / np.where(near, 1, gap)) * np.sin(x) / 2
-
-    area = _C2 * excess - _E2 * _A * _A * c0 * s0 * integral(inner, a, b)
-    out[i] = np.where(live, area, 0)
-    return out
+    area = _C2 * excess + _below(c0, s0, a, b)
+    # Where the steps don't settle, or settle beyond half a turn of the sphere, the shortest way is another one.
+    far = live & ((moved > 1e-13) | (np.abs(omega) > np.pi))
+    if far.any():
+        area[far] = _by_azimuth(dl[far], b1[far], b2[far])
+    out[i], turn[i] = np.where(live, area, 0), dl
+    return out, turn
 
 
 def geodesic_areas(geometries: list[dict | None]) -> np.ndarray:
-    """Square metres on the WGS84 ellipsoid, holes taken off; 0 for points and lines. Coordinates in degrees."""
+    """Square metres on the WGS84 ellipsoid, holes taken off; 0 for points and lines. Coordinates in degrees.
+
+    Edges are geodesics. A ring has the smaller of the two parts into which it divides the globe; where its longitudes
+    add up to a whole turn, it goes around a pole, and half the globe is added to what lies between it and the equator.
+    """
     lon, lat, ring, owner, sign = _rings(geometries)
     out = np.zeros(len(geometries))
     if len(owner):
-        each = np.abs(np.bincount(ring, weights=_edges_area(np.radians(lon), np.radians(lat), ring), minlength=len(owner)))
+        area, turn = (np.bincount(ring, weights=w, minlength=len(owner)) for w in _edges_area(np.radians(lon), np.radians(lat), ring))
+        globe = 4 * np.pi * _C2
+        area = area + np.where(np.round(turn / (2 * np.pi)).astype(int) % 2 != 0, globe / 2, 0)
+        each = np.abs(area - globe * np.round(area / globe))
         np.add.at(out, owner, each * sign)
     return np.maximum(out, 0)
 
