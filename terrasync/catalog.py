@@ -7,6 +7,8 @@ side s = 0.01 * (1 + k % 5) degrees at (-74 + (k % 400) * 0.1, -33 + ((k / 400)
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
 
@@ -19,10 +21,12 @@ from .functions.ids import all_whole_numbers, box_text, normal
 from .functions.temporal import EventColumn, Temporal, change_filter, last_event, pin_utc
 from .functions.units import area_in
 from .operators import keyed, kpi, territory
-from .plans.config import AreaOfInterest, Layer
+from .plans.config import AreaOfInterest, Layer, Settings
 from .plans.contract import Contract, adopter, area_contract, layer_contract, where_all
 from .sources import state as states
+from .plans.jobs import Engine
 from .sources.jdbc import key_bounds, split_range
+from .sources.warehouse import Warehouse
 
 MARK = datetime(2001, 6, 1, tzinfo=UTC)
 ZONE = "Asia/Kolkata"  # five and a half hours ahead of UTC, without changes in the tables' years
@@ -317,6 +321,55 @@ def flag_departed_l2(t):
     return territory.flag_among(_level2(t), territory.parents_of(_level3(t), departed_from_orphans(t))).select("id", territory.FLAG)
 
 
+# ---------------------------------------------------------------- runs into a warehouse
+
+
+def _warehouse(spark: SparkSession) -> Warehouse:
+    """A new one in the folder that all executors share, or in local mode in a temporary one."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        path = f"file://{tempfile.mkdtemp(prefix='terrasync-')}"
+    return Warehouse(spark, f"{path.rstrip('/')}/terrasync-warehouse-{uuid.uuid4().hex}")
+
+
+@query("""SELECT c_custkey AS id, CASE WHEN c_nationkey < 3 THEN 'moved' ELSE c_name END AS name, CAST(CASE WHEN c_nationkey < 3 THEN c_nationkey + 100 ELSE c_nationkey END AS INTEGER) AS parent_id, c_mktsegment AS segment
+FROM customer WHERE c_nationkey <> 2 AND c_custkey % 10 <> 3
+UNION ALL SELECT 1000000000 + n_nationkey, n_name, n_regionkey, NULL FROM nation""")
+def warehouse_layers(t):
+    """Changes and removals as layers over a keyed table: columns that a change doesn't have stay, new keys come, removed ones go."""
+    rows = t("customer").select(F.col("c_custkey").cast("long").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").cast("int").alias("parent_id"), F.col("c_mktsegment").alias("segment"))
+    house = _warehouse(rows.sparkSession)
+    house.publish({"t": house.stage_keyed("t", rows, "id", rows.count())})
+    moved = rows.where("parent_id < 3").select("id", F.lit("moved").alias("name"), (F.col("parent_id") + 100).alias("parent_id"))
+    added = t("nation").select((F.lit(1_000_000_000) + F.col("n_nationkey")).cast("long").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").cast("int").alias("parent_id"))
+    house.publish({"t": house.apply("t", "id", moved, rows.where("parent_id = 2").select(F.col("id").cast("string").alias("nid")))})
+    house.publish({"t": house.apply("t", "id", added, rows.where("id % 10 = 3").select(F.col("id").cast("string").alias("nid")))})
+    return house.read("t")
+
+
+@query(f"""WITH a AS ({AREA_SQL}) SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS territory_level_3_id, {stamp_sql("o_orderdate")} AS created_at, {stamp_sql("changed")} AS updated_at,
+round({_K["x0"]}, 6) AS x0, round({_K["y1"]}, 6) AS y1 FROM a WHERE o_orderstatus <> 'P' AND o_orderdate IS NOT NULL""")
+def engine_two_runs(t):
+    """Areas of interest after two runs of the job: as they were before the mark, then all but those in process, which are removed."""
+    source = area_source(t)
+    spark = source.sparkSession
+    mark = F.lit(MARK)
+    before = source.where(F.col("o_orderdate") <= mark).withColumn("changed", F.when(F.col("changed") <= mark, F.col("changed")))
+    states_of = [before, source.where("o_orderstatus <> 'P'")]
+    clock = iter([datetime(2001, 6, 2, tzinfo=UTC), datetime(2026, 1, 1, tzinfo=UTC)])
+    house = _warehouse(spark)
+    engine = Engine(spark, Settings(area_of_interest=AREA), lambda name: states_of[0], house, clock=lambda: next(clock))
+    for _ in range(2):
+        engine.sync(area_contract(AREA, source.schema))
+        states_of.pop(0)
+        states_of.append(source)
+    rows = house.read("geo/dsp.area_of_interest")
+    b = geo.bounds(F.col("geom"))
+    return rows.select("id", "territory_level_3_id", stamp("created_at").alias("created_at"), stamp("updated_at").alias("updated_at"), F.round(b["x0"], 6).alias("x0"), F.round(b["y1"], 6).alias("y1"))
+
+
 # ---------------------------------------------------------------- geometry
 
 _BOX_TEXT = ", ".join(f"round({_METRES[c]}, 2)" for c in ("x0", "y0", "x1", "y1"))

@@ -17,6 +17,18 @@ def areas_of(areas: DataFrame, unit: str | None, srid: int = 4326) -> DataFrame:
     return rows.select("id", area_in(geo.geodesic_area(F.col("geom"), srid), unit).alias("area"))
 
 
+def in_unit(measured: DataFrame, unit: str | None) -> DataFrame:
+    """(id, area) of (id, m2)."""
+    return measured.select("id", area_in(F.col("m2"), unit).alias("area"))
+
+
+def changed_areas(business: DataFrame, measured: DataFrame) -> DataFrame:
+    """(id, area) of the rows of business whose measured area isn't what they have."""
+    old = F.col("area").cast("decimal(18,3)") if "area" in business.columns else F.lit(None).cast("decimal(18,3)")
+    rows = business.select("id", old.alias("old"), F.trim(F.col("id").cast("string")).alias("nid"))
+    return rows.join(measured.select(F.col("id").alias("nid"), F.col("area")), "nid").where(~F.col("area").eqNullSafe(F.col("old"))).select("id", "area")
+
+
 def with_areas(business: DataFrame, measured: DataFrame) -> DataFrame:
     """business with the measured areas; rows that weren't measured keep theirs."""
     found = measured.select(F.col("id").alias("__id"), F.col("area").alias("__area"))

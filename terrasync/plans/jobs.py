@@ -150,7 +150,7 @@ class Engine:
         return result
 
     def _applied(self, name: str, old: DataFrame | None, delta: DataFrame, contract: Contract, gone: DataFrame | None, result: Result, mark: datetime | None) -> Entry | None:
-        """The table after the run, staged, or None where nothing changes. Only buckets of changed and removed keys are written.
+        """The table after the run, staged, or None where nothing changes. Only changed rows and marks of removed keys are written.
 
         Territories' own tables get the flags of their changed rows on the way; without a mark all rows are new.
         """
@@ -169,8 +169,12 @@ class Engine:
             return self.warehouse.stage_keyed(name, flagged(delta), contract.key, result.read)
         if not (result.has_changes or result.deleted):
             return None
-        ids = delta.select(normal(delta, contract.key).alias("nid"))
-        return self.warehouse.restage(name, contract.key, change, (ids.union(gone.select("nid")) if result.deleted else ids) if mark is not None else None)
+        if mark is None:
+            return self.warehouse.restage(name, contract.key, change, None)
+        if territory.FLAG in old.columns and contract.regenerates in (2, 3) and result.has_changes:
+            flags = self.warehouse.read_holding(name, delta.select(normal(delta, contract.key).alias("nid"))).select(contract.key, territory.FLAG)
+            delta = delta.join(flags, contract.key, "left")
+        return self.warehouse.apply(name, contract.key, flagged(delta) if result.has_changes else None, gone.select("nid") if result.deleted else None)
 
     def _flag(self, contract: Contract, tables: dict[str, Entry], mark: datetime | None, departed: DataFrame | None, name: str) -> dict[str, tuple[str, DataFrame]]:
         """Sets the regeneration flags of the territories above changed areas of interest; gives their keys and ids by table."""
@@ -193,7 +197,9 @@ class Engine:
         ids = self.warehouse.staged(self.warehouse.stage("delta/flags", ids))
         above = self.warehouse.staged(self.warehouse.stage("delta/flags", territory.parents_of(self.warehouse.read_holding(three, _nids(ids)), ids, key3, parent)))
         for table, key, found in ((three, key3, ids), (two, key2, above)):
-            tables[table] = self.warehouse.restage(table, key, lambda rows, key=key, found=found: territory.flag_among(rows, found, key), _nids(found))
+            there = keyed.held(self.warehouse.read_holding(table, _nids(found)), _nids(found), key).drop("nid")
+            unset = ~F.coalesce(F.col(territory.FLAG), F.lit(False)) if territory.FLAG in there.columns else F.lit(True)
+            tables[table] = self.warehouse.apply(table, key, there.where(unset).withColumn(territory.FLAG, F.lit(True)))
         return {units[n].target_table: (key, _nids(found)) for n, key, found in ((3, key3, ids), (2, key2, above))}
 
     # ---- jobs
@@ -222,23 +228,49 @@ class Engine:
     def run_layer(self, layer: Layer) -> Result:
         return self._guarded(layer.sync_key, lambda: self.sync(layer_contract(layer, self.source(layer.source_table).schema, self.settings)))
 
+    def _measured(self, name: str, shapes: DataFrame, key: str, srid: int, tables: dict[str, Entry]) -> DataFrame:
+        """(id, m2) of the geometries of a table. Measures are kept in a table of their own: only new and changed geometries are measured, told by 128 bits of their text.
+
+        Rows without a key are measured by nobody. The kept table's next version is put among tables.
+        """
+        kept, g = f"measured/{name}", F.col("geom")
+        shapes = shapes.where(geo.has_positions(g)).withColumn("nid", normal(shapes, key)).where("nid is not null")
+        seen = shapes.select("nid", "geom", F.xxhash64("geom", F.lit(srid)).alias("a"), F.xxhash64(F.lit(srid), "geom").alias("b"))
+        old = self.warehouse.read(kept)
+
+        def measured(rows: DataFrame) -> DataFrame:
+            return rows.select(F.col("nid").alias("id"), "a", "b", geo.geodesic_area(g, srid).alias("m2"))
+
+        if old is None:
+            tables[kept] = self.warehouse.stage_keyed(kept, measured(seen), "id", seen.count())
+        else:
+            known = old.select(F.col("id").alias("nid"), "a", "b")
+            new = seen.join(known, ["nid", "a", "b"], "left_anti")
+            gone = known.join(seen.select("nid"), "nid", "left_anti").select("nid")
+            tables[kept] = self.warehouse.apply(kept, "id", measured(new), gone)
+        return self.warehouse.staged(tables[kept]).select("id", "m2")
+
     def run_kpis(self) -> Result:
-        """Measures all areas of interest and themes anew; a failure is raised."""
+        """The areas of interest and themes of now; only geometries that are new since the last run are measured. A failure is raised."""
         kpis, area = self.settings.kpis.check(), self.settings.area_of_interest
         target = area.target_table if area else "dsp.area_of_interest"
         srid = area.srid if area else 4326
         shapes, business = self.warehouse.read(f"geo/{target}"), self.warehouse.read(f"target/{target}")
         if shapes is None or business is None:
             raise ContractError(f"{target} isn't there; run the areas of interest first")
-        areas = self.warehouse.staged(self.warehouse.stage("kpi/areas", kpi.areas_of(shapes, kpis.area_unit_of_measurement, srid)))
-        tables: dict[str, Entry] = {f"target/{target}": self.warehouse.restage(f"target/{target}", "id", lambda rows: kpi.with_areas(rows, areas), None)}
+        tables: dict[str, Entry] = {}
+        measured = kpi.in_unit(self._measured(f"geo/{target}", shapes, "id", srid, tables), kpis.area_unit_of_measurement)
+        areas = self.warehouse.staged(self.warehouse.stage("kpi/areas", measured))
+        tables[f"target/{target}"] = self.warehouse.apply(f"target/{target}", "id", kpi.changed_areas(business, areas))
         out = self.spark.createDataFrame([], kpi.KPI_SCHEMA)
         for t in kpis.themes:
             layer = next((x for x in self.settings.layers if x.name == t.layer_name.strip()), Layer(layer_name=t.layer_name.strip()))
             features = self.warehouse.read(f"geo/{layer.target_table}")
             if features is None:
                 raise ContractError(f"{layer.target_table} of theme {t.layer_name!r} isn't there; run its layer first")
-            out = out.unionByName(kpi.theme(features, t.layer_name.strip(), t.unit_of_measurement, layer.srid or 4326))
+            m2 = self._measured(f"geo/{layer.target_table}", features, "id", layer.srid or 4326, tables)
+            of = features.select(normal(features, "id").alias("id"), "area_of_interest_id").where("area_of_interest_id is not null")
+            out = out.unionByName(kpi.summed(of.join(m2, "id").select("area_of_interest_id", "m2"), t.layer_name.strip(), t.unit_of_measurement))
         staged = self.warehouse.stage(KPI_TABLE, out)
         measures = self.warehouse.staged(staged)
         if not keyed.dangling(measures, "area_of_interest_id", shapes, "id").isEmpty():
@@ -261,4 +293,5 @@ class Engine:
             out += [self.run_layer(x) for x in check_layers(self.settings.layers)]
         if on["kpi-job"]:
             out.append(self.run_kpis())
+        self.warehouse.sweep()
         return out

@@ -4,6 +4,7 @@ from datetime import UTC, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from terrasync.functions import geometry as geo
 from terrasync.operators import keyed, territory
 from terrasync.plans.config import load
 from terrasync.plans.jobs import Engine
@@ -219,7 +220,7 @@ def test_a_change_of_one_key_writes_one_bucket(spark, tmp_path):
 def test_jobs_over_many_buckets(spark, tmp_path):
     """The same runs as over one bucket, with a bucket for each row or so."""
     w = World(spark, tmp_path)
-    w.warehouse.rows_per_bucket = 1
+    w.warehouse.rows_per_bucket, w.warehouse.share = 1, 1e9
     seen = []
     w.engine.record = lambda flags, state: seen.append(({t: (k, {r.nid for r in ids.collect()}) for t, (k, ids) in flags.items()}, state.first()))
     w.run()
@@ -235,8 +236,13 @@ def test_jobs_over_many_buckets(spark, tmp_path):
     assert set(w.rows("geo/dsp.area_of_interest")) == {"30", "31"} == set(w.rows("target/dsp.area_of_interest"))
     assert w.rows("geo/dsp.area_of_interest")["30"].territory_level_3_id == "21"
     after = w.warehouse._last()[1]["geo/dsp.area_of_interest"]
-    written = {int(b) for b, p in (before["parts"] | after["parts"]).items() if before["parts"].get(b) != p or b not in after["parts"]}
-    assert before["buckets"] == 4 and written == w.warehouse._touched(before, spark.createDataFrame([("30",), ("32",)], "nid string"))
+    layer = after["layers"][-1]["rows"]
+    assert before["buckets"] == 4 and after["parts"] == before["parts"] and {int(b) for b in layer} == w.warehouse._touched(before, spark.createDataFrame([("30",), ("32",)], "nid string"))
+    measured = w.warehouse._last()[1]["measured/geo/dsp.area_of_interest"]["layers"]
+    assert sum(measured[-1]["rows"].values()) == 2 == sum(layer.values())  # the changed area is measured, the removed one's mark is kept
+    want = w.warehouse.read("geo/dsp.area_of_interest").select("id", geo.geodesic_area(F.col("geom"), 4326).alias("m2")).collect()
+    assert {tuple(r) for r in w.warehouse.read("measured/geo/dsp.area_of_interest").select("id", "m2").collect()} == {tuple(r) for r in want}
+    assert w.warehouse._last()[1]["measured/geo/dsp.rivers"].get("layers") is None  # nothing new, nothing measured
     assert all(r[territory.FLAG] for n in (2, 3) for r in w.rows(f"target/dsp.territory_level_{n}").values())
 
 
