@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 
 def latest(rows: DataFrame, key: str, *newest_first: Column) -> DataFrame:
-    """One row for each key, the newest; ties are settled by a hash of the whole row, so reruns agree."""
-    order = W.partitionBy(key).orderBy(*(c.desc_nulls_last() for c in newest_first), F.xxhash64(*rows.columns))
-    return rows.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    """One row for each key, the newest; ties are settled by a hash of the whole row, so reruns agree. Rows without a key are of one key.
+
+    An aggregate, so that a task sends on one row for each key: versions of one key don't meet in one task.
+    """
+    order = F.struct(*newest_first, F.bitwise_not(F.xxhash64(*rows.columns)))
+    return rows.groupBy(key).agg(F.max_by(F.struct(*rows.columns), order).alias("__row")).select("__row.*")
 
 
 def upsert(target: DataFrame, delta: DataFrame, key: str) -> DataFrame:

@@ -194,14 +194,30 @@ def _has(schema: T.StructType, name: str, what: str) -> str:
     return name
 
 
+def _whatever_case(schema: T.StructType, name: str, what: str) -> str:
+    """The source's name of a column: the same one, else the only one that differs in case alone."""
+    alike = [n for n in schema.fieldNames() if n.lower() == name.lower()]
+    if name in alike or not alike:
+        return name
+    if len(alike) > 1:
+        raise ContractError(f"{what}: the source has {', '.join(map(repr, alike))} for {name!r}")
+    return alike[0]
+
+
 def _event(schema: T.StructType, name: str, what: str, zone: str | None) -> EventColumn | None:
     if not (name or "").strip():
         return None
-    name = _has(schema, name, what)
+    name = _has(schema, _whatever_case(schema, name.strip(), what), what)
     kind = classify(schema[name].dataType)
     return EventColumn(name, kind, zone if kind.needs_zone else None)
 
 
+def _still(schema: T.StructType, geometry: str, text: str | None) -> str | None:
+    """The adopter's condition, unless the source has met it already (metadata of the geometry): a database does, in its own language."""
+    said = schema[geometry].metadata.get("adopter")
+    return None if said is not None and said == (text or "").strip() else text
+
+
 def _geometry(schema: T.StructType, name: str) -> str:
     name = _has(schema, name, "geometry-column")
     if not isinstance(schema[name].dataType, T.StringType):
@@ -250,7 +266,7 @@ def layer_contract(layer: Layer, schema: T.StructType, settings: Settings | None
         geometry,
         _srid(schema, geometry, layer.srid, sample_srid),
         _first_wins(pairs),
-        where=layer.where_clause,
+        where=_still(schema, geometry, layer.where_clause),
         source_srid=schema[geometry].metadata.get("srid"),
         business=False,
         as_text=frozenset({"id", "area_of_interest_id"}),
@@ -281,7 +297,7 @@ def area_contract(area: AreaOfInterest, schema: T.StructType, settings: Settings
         geometry,
         geo.check_srid(area.srid),
         _first_wins(pairs),
-        where=area.where_clause,
+        where=_still(schema, geometry, area.where_clause),
         source_srid=schema[geometry].metadata.get("srid"),
         parent="territory_level_3_id",
         as_text=frozenset({"id", "territory_level_3_id"}),
@@ -311,7 +327,7 @@ def unit_contract(unit: AdminUnit, schema: T.StructType, settings: Settings | No
         geo.check_srid(unit.srid),
         _first_wins(pairs),
         geometry_target=unit.column_mapping.get(geometry, geometry),
-        where=unit.where_clause,
+        where=_still(schema, geometry, unit.where_clause),
         source_srid=schema[geometry].metadata.get("srid"),
         as_text=frozenset({unit.column_mapping.get(pk, pk)}),
         regenerates=unit.level if unit.level > 1 else None,

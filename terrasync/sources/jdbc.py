@@ -39,9 +39,46 @@ def range_predicates(column: str, ranges: list[tuple[int | None, int | None]]) -
     return out
 
 
-def read_table(spark: SparkSession, url: str, table: str, column: str | None = None, ranges=None, properties: dict | None = None, fetch_size: int = 1000) -> DataFrame:
-    """A table over JDBC; with a key column and ranges, one Spark partition for each range."""
+#: Keys of a sample from which ranges of nearly equal numbers of rows are cut, for each range.
+SAMPLED = 200
+
+
+def evenly(keys: list, parts: int) -> list:
+    """At most parts - 1 of the sorted keys, each once, that cut them into parts of nearly equal size."""
+    cut = [keys[len(keys) * i // parts] for i in range(1, parts)] if keys else []
+    return list(dict.fromkeys(k for k in cut if k > keys[0]))
+
+
+def splitters(keys: DataFrame, column: str, parts: int) -> list:
+    """Keys, in order, between which ranges of a text or number have nearly equally many rows, however the keys are distributed.
+
+    Taken from a sample by hash of about SAMPLED keys a range; a small table's are exact. One key can't be cut in two.
+    """
+    c = F.col(column)
+    total = keys.where(c.isNotNull()).count()
+    share = int((1 << 30) * min(1.0, SAMPLED * parts / max(total, 1)))
+    drawn = keys.where(c.isNotNull() & (F.pmod(F.xxhash64(c, F.lit("range")), F.lit(1 << 30)) < share)).select(c)
+    return evenly([r[0] for r in drawn.orderBy(c).collect()], parts)
+
+
+def between(column: str, cuts: list, text: bool = True) -> list[str]:
+    """Conditions for the reader, one a range; keys that are null go with the first, so no row is lost."""
+
+    def literal(v) -> str:
+        return "'" + str(v).replace("'", "''") + "'" if text else str(int(v))
+
+    if not cuts:
+        return ["1=1"]
+    edges = [literal(v) for v in cuts]
+    middle = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(edges, edges[1:], strict=False)]
+    return [f"({column} < {edges[0]} OR {column} IS NULL)", *middle, f"{column} >= {edges[-1]}"]
+
+
+def read_table(spark: SparkSession, url: str, table: str, column: str | None = None, ranges=None, properties: dict | None = None, fetch_size: int = 1000, predicates: list[str] | None = None) -> DataFrame:
+    """A table over JDBC; with a key column and ranges, or with conditions, one Spark partition for each."""
     props = {"fetchsize": str(fetch_size), **(properties or {})}
+    if predicates and len(predicates) > 1:
+        return spark.read.jdbc(url, table, predicates=predicates, properties=props)
     if column and ranges and ranges[0][0] is not None:
         return spark.read.jdbc(url, table, predicates=range_predicates(column, ranges), properties=props)
     return spark.read.jdbc(url, table, properties=props)
@@ -52,6 +89,8 @@ def check_connections(spark: SparkSession, stores: dict[str, dict], timeout: int
     failed = []
     for name, s in stores.items():
         try:
+            # Of the driver, for all connections: a host that doesn't answer must not hang the probe.
+            spark._jvm.java.sql.DriverManager.setLoginTimeout(timeout)
             props = {k: str(s[v]) for k, v in (("user", "username"), ("password", "password"), ("driver", "driver-class-name")) if s.get(v)}
             spark.read.jdbc(s["url"], s.get("probe", "(SELECT 1 AS one) probe"), properties=props | {"queryTimeout": str(timeout)}).first()
         except Exception as e:

@@ -28,12 +28,21 @@ def properties(store: dict) -> dict[str, str]:
     return {"driver": "org.postgresql.Driver"} | {k: str(store[v]) for k, v in (("user", "username"), ("password", "password"), ("driver", "driver-class-name")) if store.get(v)}
 
 
-def geometry_as_json(table: TableName, columns: list[str], geometry: str, srid: int) -> str:
-    """A subquery with the table's columns, its geometry as two-dimensional GeoJSON in srid; empty ones left out."""
+def conditions_of(settings: Settings) -> dict[str, str]:
+    """Of each configured source table: the adopter's condition, in the database's own language; blank and 1=1 say nothing."""
+    every = [*settings.admin_units.values(), *([settings.area_of_interest] if settings.area_of_interest else []), *settings.layers]
+    return {x.source_table: text for x in every if (text := (x.where_clause or "").strip()) not in ("", "1=1")}
+
+
+def geometry_as_json(table: TableName, columns: list[str], geometry: str, srid: int, condition: str | None = None) -> str:
+    """A subquery with the table's columns, its geometry as two-dimensional GeoJSON in srid; empty ones left out.
+
+    The condition is the database's, over the table as it is, geometry included.
+    """
     g = ddl.quoted(geometry)
     shown = [ddl.quoted(c) for c in columns if c != geometry]
     shown.append(f"ST_AsGeoJSON(ST_Force2D(ST_Transform({g}, {check_srid(srid)})))::text AS {g}")
-    return f"(SELECT {', '.join(shown)} FROM {ddl.quoted(table.schema, table.table)} WHERE {g} IS NOT NULL AND NOT ST_IsEmpty(ST_MakeValid({g}))) AS src"
+    return f"(SELECT {', '.join(shown)} FROM {ddl.quoted(table.schema, table.table)} WHERE {g} IS NOT NULL AND NOT ST_IsEmpty(ST_MakeValid({g})){f' AND ({condition})' if condition else ''}) AS src"
 
 
 def tables_of(settings: Settings) -> dict[str, tuple[str, str, int | None, str]]:
@@ -68,6 +77,33 @@ def describe(ask: Callable[[str], list[Row]], table: TableName, geometry: str) -
     return found | {"indexes": [[r.indexname, r.indexdef] for r in indexes if not r.indexname.endswith("_pkey")]}
 
 
+def bounds_known(ask: Callable[[str], list[Row]], table: TableName, key: str) -> list[str]:
+    """What the catalog's statistics know of a key's distribution: bounds of ranges with equally many rows, as text, in the database's order."""
+
+    def text(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    found = ask(f"(SELECT unnest(histogram_bounds::text::text[]) AS bound FROM pg_stats WHERE schemaname = {text(table.schema)} AND tablename = {text(table.table)} AND attname = {text(key)}) AS h")
+    return [r.bound for r in found]
+
+
+def key_conditions(ask: Callable[[str], list[Row]], keys: DataFrame, table: TableName, key: str, ranges: int) -> list[str]:
+    """Conditions that read a table in so many ranges of its key (keys has it as k).
+
+    Where the catalog knows the key's distribution, by that, in the database's own order; numbers else in ranges of equal width, and
+    texts by a sample of the keys, in the order of their bytes.
+    """
+    number = isinstance(keys.schema["k"].dataType, T.NumericType)
+    quoted = ddl.quoted(key)
+    if len(known := bounds_known(ask, table, key)) > ranges:
+        cuts = [known[len(known) * i // ranges] for i in range(1, ranges)]
+        return jdbc.between(quoted, list(dict.fromkeys(cuts)), text=not number)
+    low, high = jdbc.key_bounds(keys, "k")
+    if low is not None:
+        return jdbc.range_predicates(quoted, jdbc.split_range(low, high, ranges))
+    return jdbc.between(f'{quoted} COLLATE "C"', jdbc.splitters(keys, "k", ranges))
+
+
 def reader(spark: SparkSession, settings: Settings) -> Callable[[str], DataFrame]:
     """The source of an Engine: tables of the source database, read in ranges of their keys.
 
@@ -76,6 +112,7 @@ def reader(spark: SparkSession, settings: Settings) -> Callable[[str], DataFrame
     """
     store = settings.stores["source"]
     url, props, known = store["url"], properties(store), tables_of(settings)
+    conditions = conditions_of(settings)
 
     def read(name: str) -> DataFrame:
         geometry, key, srid, job = known[name]
@@ -86,11 +123,14 @@ def reader(spark: SparkSession, settings: Settings) -> Callable[[str], DataFrame
         srid = srid or said.get("srid")
         if not srid:
             raise ContractError(f"no SRID is known for {geometry!r} of {name}; set srid")
-        query = geometry_as_json(table, columns, geometry, srid)
-        ranges = None
+        condition = conditions.get(name)
+        query = geometry_as_json(table, columns, geometry, srid, condition)
+        predicates = None
         if parallel.ranges > 1:
-            ranges = jdbc.split_range(*jdbc.key_bounds(jdbc.read_table(spark, url, f"(SELECT {ddl.quoted(key)} AS k FROM {ddl.quoted(table.schema, table.table)}) AS b", properties=props), "k"), parallel.ranges)
-        return jdbc.read_table(spark, url, query, ddl.quoted(key), ranges, props, parallel.page_size).withMetadata(geometry, said | {"srid": srid})
+            ask = lambda q: spark.read.jdbc(url, q, properties=props).collect()
+            predicates = key_conditions(ask, spark.read.jdbc(url, f"(SELECT {ddl.quoted(key)} AS k FROM {ddl.quoted(table.schema, table.table)}) AS b", properties=props), table, key, parallel.ranges)
+        said |= {"srid": srid} | ({"adopter": condition} if condition else {})
+        return jdbc.read_table(spark, url, query, properties=props, fetch_size=parallel.page_size, predicates=predicates).withMetadata(geometry, said)
 
     return read
 

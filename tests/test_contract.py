@@ -178,3 +178,13 @@ def test_ranges(spark):
     assert key_bounds(spark.createDataFrame([("1",), (" 30 ",), (None,)], "k string"), "k") == (1, 30)
     assert key_bounds(spark.createDataFrame([("1",), ("a",)], "k string"), "k") == (None, None)
     assert "IS NULL" in range_predicates("k", [(1, 4), (5, 7)])[0]
+
+
+def test_event_columns_are_found_whatever_their_case():
+    layer = Layer(source_table="a.b", primary_key="pk", area_of_interest_id_column="aoi", creation_date_column="MADE", updated_at_column="Changed", geometry_column="shape", srid=4326)
+    c = layer_contract(layer, T.StructType.fromDDL("pk bigint, aoi bigint, made timestamp, changed timestamp, shape string"))
+    assert (c.created.name, c.updated.name) == ("made", "changed")
+    exact = layer_contract(layer, T.StructType.fromDDL("pk bigint, aoi bigint, made timestamp, MADE timestamp, changed timestamp, shape string"))
+    assert exact.created.name == "MADE"
+    with pytest.raises(ContractError, match="'made', 'Made'"):
+        layer_contract(layer, T.StructType.fromDDL("pk bigint, aoi bigint, made timestamp, Made timestamp, changed timestamp, shape string"))

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrasync.plans import ddl
@@ -25,6 +26,55 @@ def test_ranges_read_every_row_once(spark, rows):
     assert sorted(r.NAME for r in got.collect()) == sorted(r.NAME for r in rows.collect())
 
 
+def test_ranges_of_text_keys_are_even(spark):
+    """Keys that crowd, quotes in them and one without a key: every row once, in ranges within a factor of two."""
+    keys = [f"k'{i:06d}" if i % 10 else f"z{i * 100}" for i in range(20_000)]
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "K string, N int")
+    jdbc.stage_rows(df, URL, "TEXTS", DERBY | {"createTableColumnTypes": "K VARCHAR(20)"}, connections=2)
+    jdbc.execute(spark, URL, ["INSERT INTO TEXTS VALUES (NULL, -1)"])
+    read = jdbc.read_table(spark, URL, "TEXTS", properties=DERBY)
+    conditions = jdbc.between("K", jdbc.splitters(read, "K", 8))
+    got = jdbc.read_table(spark, URL, "TEXTS", properties=DERBY, predicates=conditions)
+    sizes = got.groupBy(F.spark_partition_id().alias("p")).count().toPandas()["count"]
+    assert len(sizes) == 8 and sizes.min() > 20_000 / 16 and sizes.max() < 20_000 / 4
+    assert sorted(r.N for r in got.select("N").collect()) == list(range(-1, 20_000))
+    assert jdbc.between("K", []) == ["1=1"] and jdbc.evenly(["a"] * 9, 4) == [] == jdbc.evenly([], 3)
+
+
+def test_conditions_of_keys(spark):
+    """The catalog's bounds come first; then equal widths for numbers, and a sample for texts."""
+    from pyspark.sql import Row
+
+    from terrasync.functions.ids import TableName
+    from terrasync.sources import postgis
+
+    table, asked = TableName("a", "ri'vers"), []
+    texts = spark.createDataFrame([(f"t{i}",) for i in range(40)], "k string")
+    found = postgis.key_conditions(lambda q: asked.append(q) or [Row(bound=f"b{i}") for i in range(101)], texts, table, "code", 4)
+    assert found == ["(\"code\" < 'b25' OR \"code\" IS NULL)", "\"code\" >= 'b25' AND \"code\" < 'b50'", "\"code\" >= 'b50' AND \"code\" < 'b75'", "\"code\" >= 'b75'"]
+    assert "pg_stats" in asked[0] and "tablename = 'ri''vers'" in asked[0] and "attname = 'code'" in asked[0]
+    assert postgis.key_conditions(lambda q: [], texts, table, "code", 2)[1] == "\"code\" COLLATE \"C\" >= 't27'"
+    numbers = spark.range(100).select(F.col("id").alias("k"))
+    assert postgis.key_conditions(lambda q: [], numbers, table, "n", 2)[1] == 'CAST("n" AS BIGINT) BETWEEN 50 AND 99'
+    assert postgis.key_conditions(lambda q: [Row(bound=str(i * i)) for i in range(9)], numbers, table, "n", 2) == ['("n" < 16 OR "n" IS NULL)', '"n" >= 16']
+
+
+def test_the_adopters_condition_is_the_databases(spark):
+    from terrasync.functions.ids import TableName
+    from terrasync.plans.config import load
+    from terrasync.sources import postgis
+
+    where = "ST_Area(geom) > 0 AND name ~ '^A' AND made > now() - interval '1 year'"
+    tree = {"batch": {"layers": [{"source-table": "a.rivers", "primary-key": "pk", "area-of-interest-id-column": "aoi", "creation-date-column": "made", "geometry-column": "shape", "srid": 4674, "where-clause": f" {where} "}]}}
+    s = load(tree)
+    assert postgis.conditions_of(s) == {"a.rivers": where}
+    assert postgis.geometry_as_json(TableName("a", "rivers"), ["pk", "shape"], "shape", 4674, where).endswith(f"AND ({where})) AS src")
+    schema = T.StructType.fromDDL("pk bigint, aoi bigint, made timestamp, shape string")
+    assert layer_contract(s.layers[0], schema, s).where.strip() == where  # a file source has to meet it in Spark's language
+    schema["shape"].metadata = {"adopter": where}
+    assert layer_contract(s.layers[0], schema, s).where is None
+
+
 def test_statements_run_together(spark, rows):
     jdbc.execute(spark, URL, ["CREATE TABLE T1 (A INT)", "INSERT INTO T1 VALUES (1)"])
     with pytest.raises(Exception):
