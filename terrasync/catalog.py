@@ -436,6 +436,23 @@ def geodesic_polar_sectors(t):
     return t("customer").select(k.alias("id"), F.round(geo.geodesic_area(g), -3).alias("m2"))
 
 
+_N = 1 / 298.257222101 / (2 - 1 / 298.257222101)
+_ARCS = [6378137 / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64), -3 / 2 * _N + 9 / 16 * _N**3, 15 / 16 * _N**2 - 15 / 32 * _N**4, -35 / 48 * _N**3, 315 / 512 * _N**4]
+_MERIDIAN = f"{_ARCS[0]!r}::DOUBLE * (f + {' + '.join(f'({c!r})::DOUBLE * sin({2 * i} * f)' for i, c in enumerate(_ARCS[1:], 1))})"
+
+
+@query(f"""SELECT c_custkey AS id, 500000.0::DOUBLE AS east, round(10000000 + 0.9996::DOUBLE * {_MERIDIAN}, 2) AS north, round(x, 7) AS x, round(y, 7) AS y
+FROM (SELECT c_custkey, radians(-33.0::DOUBLE + (c_custkey % 380) * 0.1::DOUBLE) AS f, -48.0::DOUBLE + (c_custkey % 61) * 0.1::DOUBLE AS x, -33.0::DOUBLE + (c_custkey % 380) * 0.1::DOUBLE AS y FROM customer)""")
+def utm_points(t):
+    """Points on a zone's central meridian, whose northing is the meridian's length, and points of the zone there and back."""
+    k, zone = F.col("c_custkey"), geo.Utm.of(31983)
+    x, y = F.lit(-48.0) + (k % 61) * 0.1, F.lit(-33.0) + (k % 380) * 0.1
+    middle = zone.forward(F.lit(-45.0), y)
+    back = F.transform(F.array(zone.forward(x, y)), lambda p: zone.back(p[0], p[1]))[0]
+    rows = t("customer").select(k.alias("id"), middle.alias("m"), back.alias("b"))
+    return rows.select("id", F.round(F.col("m")[0], 2).alias("east"), F.round(F.col("m")[1], 2).alias("north"), F.round(F.col("b")[0], 7).alias("x"), F.round(F.col("b")[1], 7).alias("y"))
+
+
 def kinds_text(k: Column) -> Column:
     """A geometry of the square of key k of each kind, by k % 9: with heights, members in any order, holes, collections in collections."""
     x, y, s = square(k)

@@ -30,7 +30,11 @@ def check_srid(srid: int | None) -> int:
 
 
 def let(value: Column, f) -> Column:
-    """f of a value that stands in the expression once, however often f uses it."""
+    """f of a value that stands in the expression once, however often f uses it.
+
+    What is handed to a Python function mustn't use a value of an outer let inside an inner one: Spark doesn't find
+    such an expression again once it has canonicalised it. Values go in together, as a struct.
+    """
     return F.transform(F.array(value), f)[0]
 
 
@@ -190,32 +194,138 @@ def to_degrees(x: Column, y: Column) -> tuple[Column, Column]:
     return F.degrees(x / EARTH), F.degrees(2 * F.atan(F.exp(y / EARTH)) - math.pi / 2)
 
 
+#: Codes of UTM zones, each run as (first code, last code, first zone, whether south of the equator); WGS84 and SIRGAS 2000.
+_UTM = ((32601, 32660, 1, False), (32701, 32760, 1, True), (31965, 31976, 11, False), (31977, 31985, 17, True), (6210, 6211, 23, False), (5396, 5396, 26, True))
+#: Flattening of WGS84, and of GRS80 for SIRGAS 2000; scale on the central meridian, its easting, the equator's northing in the south.
+_FLAT_WGS84, _FLAT_GRS80 = 1 / 298.257223563, 1 / 298.257222101
+_UTM_SCALE, _UTM_EAST, _UTM_SOUTH = 0.9996, 500_000.0, 10_000_000.0
+#: Coefficients of Krueger's series, of n, n**2, ... for each multiple of the angle (Karney, J. Geodesy 85, 2011).
+_ALPHA = (
+    (1 / 2, -2 / 3, 5 / 16, 41 / 180, -127 / 288, 7891 / 37800),
+    (0, 13 / 48, -3 / 5, 557 / 1440, 281 / 630, -1983433 / 1935360),
+    (0, 0, 61 / 240, -103 / 140, 15061 / 26880, 167603 / 181440),
+    (0, 0, 0, 49561 / 161280, -179 / 168, 6601661 / 7257600),
+    (0, 0, 0, 0, 34729 / 80640, -3418889 / 1995840),
+    (0, 0, 0, 0, 0, 212378941 / 319334400),
+)
+_BETA = (
+    (1 / 2, -2 / 3, 37 / 96, -1 / 360, -81 / 512, 96199 / 604800),
+    (0, 1 / 48, 1 / 15, -437 / 1440, 46 / 105, -1118711 / 3870720),
+    (0, 0, 17 / 480, -37 / 840, -209 / 4480, 5569 / 90720),
+    (0, 0, 0, 4397 / 161280, -11 / 504, -830251 / 7257600),
+    (0, 0, 0, 0, 4583 / 161280, -108847 / 3991680),
+    (0, 0, 0, 0, 0, 20648693 / 638668800),
+)
+
+
+class Utm:
+    """A zone of the universal transverse Mercator projection, both ways, as expressions."""
+
+    def __init__(self, zone: int, south: bool, flattening: float):
+        self.middle, self.north = 6.0 * zone - 183, _UTM_SOUTH if south else 0.0
+        n = flattening / (2 - flattening)
+        self.e = math.sqrt(flattening * (2 - flattening))
+        self.radius = _UTM_SCALE * EARTH / (1 + n) * (1 + n**2 / 4 + n**4 / 64 + n**6 / 256)
+        self.alpha, self.beta = ([sum(c * n ** (k + 1) for k, c in enumerate(row)) for row in rows] for rows in (_ALPHA, _BETA))
+
+    @staticmethod
+    def of(srid: int) -> Utm | None:
+        for first, last, zone, south in _UTM:
+            if first <= srid <= last:
+                return Utm(zone + srid - first, south, _FLAT_WGS84 if first in (32601, 32701) else _FLAT_GRS80)
+        return None
+
+    def _conformal(self, t: Column) -> Column:
+        """The tangent of the conformal latitude from that of the latitude."""
+        h = F.sqrt(1 + t * t)
+        z = F.struct(t.alias("t"), F.sinh(self.e * F.atanh(self.e * t / h)).alias("s"))
+        return let(z, lambda z: z["t"] * F.sqrt(1 + z["s"] * z["s"]) - z["s"] * F.sqrt(1 + z["t"] * z["t"]))
+
+    @staticmethod
+    def _series(z: Column, factors: list[float], sign: int) -> Column:
+        """z (x, y) with the series' terms added or taken off."""
+        x, y = z["x"], z["y"]
+        for j, c in enumerate(factors, 1):
+            x = x + sign * c * F.sin(2 * j * z["x"]) * F.cosh(2 * j * z["y"])
+            y = y + sign * c * F.cos(2 * j * z["x"]) * F.sinh(2 * j * z["y"])
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    def forward(self, lon: Column, lat: Column) -> Column:
+        """[east, north] in metres."""
+
+        def projected(z: Column) -> Column:
+            t, w = z["t"], z["w"]
+            first = F.struct(F.atan2(t, F.cos(w)).alias("x"), F.asinh(F.sin(w) / F.sqrt(t * t + F.cos(w) * F.cos(w))).alias("y"))
+            return let(let(first, lambda q: self._series(q, self.alpha, 1)), lambda q: F.array(_UTM_EAST + self.radius * q["y"], self.north + self.radius * q["x"]))
+
+        away = F.radians(F.pmod(lon - self.middle + 180, F.lit(360.0)) - 180)
+        return let(F.struct(let(F.tan(F.radians(lat)), self._conformal).alias("t"), away.alias("w")), projected)
+
+    def back(self, east: Column, north: Column) -> Column:
+        """[longitude, latitude] in degrees."""
+
+        def latitude(goal: Column) -> Column:
+            def step(z: Column) -> Column:
+                def moved(q: Column) -> Column:
+                    g, t, c, k = q["g"], q["t"], q["c"], 1 - self.e**2
+                    return F.struct(g.alias("g"), (t + (g - c) / F.sqrt(1 + c * c) * (1 + k * t * t) / (k * F.sqrt(1 + t * t))).alias("t"))
+
+                return let(F.struct(z["g"].alias("g"), z["t"].alias("t"), self._conformal(z["t"]).alias("c")), moved)
+
+            z = F.struct(goal.alias("g"), (goal / (1 - self.e**2)).alias("t"))
+            for _ in range(4):  # Newton's steps; each squares the error
+                z = let(z, step)
+            return F.degrees(F.atan(z["t"]))
+
+        def turned(q: Column) -> Column:
+            away = F.degrees(F.atan2(F.sinh(q["y"]), F.cos(q["x"])))
+            goal = F.sin(q["x"]) / F.sqrt(F.sinh(q["y"]) * F.sinh(q["y"]) + F.cos(q["x"]) * F.cos(q["x"]))
+            return F.array(F.pmod(away + self.middle + 180, F.lit(360.0)) - 180, let(goal, latitude))
+
+        first = F.struct(((north - self.north) / self.radius).alias("x"), ((east - _UTM_EAST) / self.radius).alias("y"))
+        return let(let(first, lambda z: self._series(z, self.beta, -1)), turned)
+
+
 def _between(source: int, target: int):
+    """A function of x and y in one system that gives them, as an array, in another; none where nothing moves."""
     source, target = check_srid(source), check_srid(target)
     if source == target or (source in DEGREES and target in DEGREES):
         return None
-    if source in DEGREES and target == METRES:
-        return to_metres
-    if source == METRES and target in DEGREES:
-        return to_degrees
-    raise ContractError(f"no way from SRID {source} to {target}")
+
+    def ways(srid: int):
+        """To degrees and from them; none for degrees themselves."""
+        if srid in DEGREES:
+            return None, None
+        if srid == METRES:
+            return lambda x, y: F.array(*to_degrees(x, y)), lambda x, y: F.array(*to_metres(x, y))
+        zone = Utm.of(srid)
+        if zone is None:
+            raise ContractError(f"no way from SRID {source} to {target}")
+        return zone.back, zone.forward
+
+    there, back = ways(source)[0], ways(target)[1]
+    if there is None or back is None:
+        return there or back
+    return lambda x, y: let(there(x, y), lambda p: back(p[0], p[1]))
 
 
 def transform(g: Column, source: int, target: int) -> Column:
     """The geometry, in two dimensions, in another reference system."""
     convert = _between(source, target)
-    return force_2d(g) if convert is None else _mapped(g, lambda p: F.array(*convert(p[0], p[1])))
+    return force_2d(g) if convert is None else _mapped(g, lambda p: convert(p[0], p[1]))
 
 
 def box_in_metres(g: Column, srid: int) -> Column:
-    """The bounds in the web map's metres: struct<x0, y0, x1, y1>."""
+    """The bounds in the web map's metres: struct<x0, y0, x1, y1>. Of other metres each position is moved, as their axes aren't parallel to it."""
     convert = _between(srid, METRES)
     if convert is None:
         return bounds(g)
+    if srid not in DEGREES:
+        return bounds(transform(g, srid, METRES))
 
     def moved(b: Column) -> Column:
-        (x0, y0), (x1, y1) = convert(b["x0"], b["y0"]), convert(b["x1"], b["y1"])
-        return F.when(b.isNotNull(), F.struct(x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1")))
+        low, high = convert(b["x0"], b["y0"]), convert(b["x1"], b["y1"])
+        return F.when(b.isNotNull(), F.struct(low[0].alias("x0"), low[1].alias("y0"), high[0].alias("x1"), high[1].alias("y1")))
 
     return let(bounds(g), moved)
 
