@@ -217,6 +217,18 @@ def orphan_ids(t):
     return keyed.orphans(target.where(geo.has_positions(F.col("geom"))), source, "id").select(F.col("nid").alias("id"))
 
 
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS id, 'lost' AS run FROM orders WHERE o_orderkey % 997 = 5 AND o_orderkey % 5 <> 3
+UNION ALL SELECT 'none', 'differing buckets of equal sets'""")
+def orphan_digests(t):
+    """Ids that the source has lost, compared in buckets that don't add up; keys that only this run brings are fresh."""
+    ids = t("orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderkey").cast("string").alias("nid"))
+    target, source, fresh = ids.where("k % 5 <> 3").select("nid"), ids.where("k % 997 <> 5").select("nid"), ids.where("k % 5 = 3 and k % 997 <> 5").select("nid")
+    lost = keyed.orphan_ids(target, source, source, fresh)
+    same = keyed.differing(ids.select("nid"), (target, -1), (ids.where("k % 5 = 3").select("nid"), -1))
+    said = ids.sparkSession.createDataFrame([("none" if not same else str(len(same)), "differing buckets of equal sets")], "id string, run string")
+    return lost.select(F.col("nid").alias("id"), F.lit("lost").alias("run")).unionByName(said)
+
+
 @query(f"SELECT CAST(o_orderkey AS VARCHAR) AS id, {', '.join(f'round({_METRES[c]}, 2) AS {c}' for c in _METRES)} FROM orders WHERE o_orderstatus = 'P'")
 def orphan_with_bbox(t):
     source, target = stale(t)

@@ -45,6 +45,48 @@ def orphans(target: DataFrame, source_ids: DataFrame, key: str) -> DataFrame:
     return target.withColumn("nid", normal(target, key)).join(source_ids.select("nid"), "nid", "left_anti")
 
 
+#: Buckets by which sets of ids are compared; as many numbers at most go to the driver.
+DIGESTS = 4096
+
+
+def _digest_bucket(nid: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.coalesce(nid, F.lit("")), F.lit("digest")), F.lit(buckets)).cast("int")
+
+
+def differing(there: DataFrame, *more_or_less: tuple[DataFrame, int], buckets: int = DIGESTS) -> set[int]:
+    """Buckets in which ids (nid) don't add up: there, and further ids with their signs, leave something.
+
+    A digest of a set of ids is their number and the sums of two 64-bit hashes, taken in halves, so that they add up exactly. Digests are
+    partial sums before the shuffle: no id is shuffled.
+    """
+    n, a, b = F.col("nid"), F.xxhash64("nid"), F.xxhash64(F.lit("digest"), "nid")
+    halves = [F.lit(1).cast("long"), *(part for h in (a, b) for part in (F.shiftright(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF))))]
+    names = [f"s{i}" for i in range(len(halves))]
+    every = None
+    for ids, sign in ((there, 1), *more_or_less):
+        rows = ids.select(_digest_bucket(n, buckets).alias("bucket"), *((h * sign).alias(c) for h, c in zip(halves, names, strict=True)))
+        every = rows if every is None else every.unionByName(rows)
+    summed = every.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in names))
+    return {r.bucket for r in summed.where(" or ".join(f"{c} <> 0" for c in names)).select("bucket").collect()}
+
+
+def in_buckets(ids: DataFrame, found: set[int], buckets: int = DIGESTS) -> DataFrame:
+    """The ids (nid) of those buckets."""
+    return ids.where(_digest_bucket(F.col("nid"), buckets).isin(sorted(found)))
+
+
+def orphan_ids(target: DataFrame, source: DataFrame, expected: DataFrame, fresh: DataFrame | None = None, buckets: int = DIGESTS) -> DataFrame:
+    """Ids (nid) of target that source doesn't have, all given as ids.
+
+    expected are those of source that target should have, but for fresh ones, which come in this run. Ids are compared one by one only in
+    buckets where target's aren't the expected ones, so without orphans nothing is shuffled but sums.
+    """
+    found = differing(target, (expected, -1), *([(fresh, 1)] if fresh is not None else []), buckets=buckets)
+    if not found:
+        return target.limit(0)
+    return in_buckets(target, found, buckets).join(in_buckets(source, found, buckets), "nid", "left_anti")
+
+
 def held(target: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of target whose key, as normal text (nid), is among ids (nid)."""
     from ..functions.ids import normal

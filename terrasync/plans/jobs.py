@@ -30,7 +30,11 @@ KPI_TABLE = "target/dsp.kpi_measure"
 
 @dataclass
 class Result:
-    """What a run did. boxes: (x0, y0, x1, y1) in the web map's metres, of all rows that changed or went."""
+    """What a run did. boxes: (x0, y0, x1, y1) in the web map's metres, of all rows that changed or went.
+
+    written: rows by table of the warehouse, removals not among them; flagged: territories by table, those that had the flag already included;
+    sent: rows that a database sink took over, upserts and removals; committed: whether the run was published.
+    """
 
     job: str
     status: str = "COMPLETED"
@@ -40,6 +44,10 @@ class Result:
     deleted: int = 0
     has_changes: bool = False
     watermark: datetime | None = None
+    written: dict[str, int] = field(default_factory=dict)
+    flagged: dict[str, int] = field(default_factory=dict)
+    sent: int = 0
+    committed: bool = False
     seconds: float = 0.0
     error: str | None = None
     boxes: DataFrame | None = field(default=None, repr=False)
@@ -104,8 +112,11 @@ class Engine:
             there = source.where(contract.present())
             ids = there.select(normal(there, contract.primary_key).alias("nid"))
             valid = old_geo.where(geo.has_positions(F.col(contract.geometry_target)))  # rows without geometry never go
-            # Only ids are shuffled; parents and boxes are then looked up in the buckets that hold lost ones.
-            lost = keyed.orphans(valid.select(contract.key), ids, contract.key).select("nid")
+            # Only ids are shuffled, of buckets that don't add up; parents and boxes are then looked up in the buckets that hold lost ones.
+            copied = source.where(contract.selected(None))
+            new = delta.select(normal(delta, contract.key).alias("nid"))
+            fresh = new.join(keyed.held(self.warehouse.read_holding(geo_name, new), new, contract.key).select("nid"), "nid", "left_anti")
+            lost = keyed.orphan_ids(valid.select(normal(valid, contract.key).alias("nid")), ids, copied.select(normal(copied, contract.primary_key).alias("nid")), fresh)
             lost = self.warehouse.staged(self.warehouse.stage(f"orphans/{contract.sync_key}", lost))
             held = keyed.held(self.warehouse.read_holding(geo_name, lost), lost, contract.key).select("nid", *([contract.parent] if contract.parent else []), geo.box_in_metres(F.col(contract.geometry_target), contract.srid).alias("box"))
             gone = self.warehouse.staged(self.warehouse.stage(f"orphans/{contract.sync_key}", held))
@@ -130,22 +141,27 @@ class Engine:
             tables[geo_name] = entry
         if contract.regenerates == 0 and result.deleted and (measures := self.warehouse.read(KPI_TABLE)) is not None:
             tables[KPI_TABLE] = self.warehouse.stage(KPI_TABLE, keyed.without(measures, gone, "area_of_interest_id"))
-        flags = self._flag(contract, tables, mark, departed, business_name)
+        if result.watermark is not None:
+            result.upserted = delta.count()
+            result.written = {name: result.upserted for name in (business_name, geo_name) if name in tables}
+        flags = self._flag(contract, tables, mark, departed, business_name, result)
         if contract.regenerates in (2, 3) and result.has_changes:
             flags = {str(contract.target): (contract.key, delta.select(normal(delta, contract.key).alias("nid")))}
+            result.flagged = {str(contract.target): result.upserted}
 
         if result.watermark is not None:
-            result.upserted = delta.count()
             known = states.advance(known, contract.sync_key, str(contract.source), result.watermark, int(now.timestamp() * 1000), now)
         if checked or old_geo is None:
             known = states.mark_orphan_check(known, contract.sync_key, str(contract.source), now)
         if self.sink is not None and (result.has_changes or result.deleted):
             self.sink(contract, source.schema, delta, gone)
+            result.sent = result.upserted + result.deleted
         if self.record is not None and (checked or tables):
             self.record(flags, known.where(F.col("sync_key") == contract.sync_key))
         if checked or tables:
             tables[states.TABLE] = self.warehouse.stage(states.TABLE, known.coalesce(1))
             self.warehouse.publish(tables)
+            result.committed = True
         result.boxes = boxes
         return result
 
@@ -176,7 +192,7 @@ class Engine:
             delta = delta.join(flags, contract.key, "left")
         return self.warehouse.apply(name, contract.key, flagged(delta) if result.has_changes else None, gone.select("nid") if result.deleted else None)
 
-    def _flag(self, contract: Contract, tables: dict[str, Entry], mark: datetime | None, departed: DataFrame | None, name: str) -> dict[str, tuple[str, DataFrame]]:
+    def _flag(self, contract: Contract, tables: dict[str, Entry], mark: datetime | None, departed: DataFrame | None, name: str, result: Result) -> dict[str, tuple[str, DataFrame]]:
         """Sets the regeneration flags of the territories above changed areas of interest; gives their keys and ids by table."""
         if contract.regenerates != 0:
             return {}
@@ -198,6 +214,7 @@ class Engine:
         above = self.warehouse.staged(self.warehouse.stage("delta/flags", territory.parents_of(self.warehouse.read_holding(three, _nids(ids)), ids, key3, parent)))
         for table, key, found in ((three, key3, ids), (two, key2, above)):
             there = keyed.held(self.warehouse.read_holding(table, _nids(found)), _nids(found), key).drop("nid")
+            result.flagged[table.removeprefix("target/")] = there.count()
             unset = ~F.coalesce(F.col(territory.FLAG), F.lit(False)) if territory.FLAG in there.columns else F.lit(True)
             tables[table] = self.warehouse.apply(table, key, there.where(unset).withColumn(territory.FLAG, F.lit(True)))
         return {units[n].target_table: (key, _nids(found)) for n, key, found in ((3, key3, ids), (2, key2, above))}
@@ -280,7 +297,8 @@ class Engine:
         if self.kpi_sink is not None:
             self.kpi_sink(areas, measures)
         self.warehouse.publish(tables | {KPI_TABLE: staged})
-        return Result("kpi", upserted=measures.count(), has_changes=True)
+        n = measures.count()
+        return Result("kpi", upserted=n, written={KPI_TABLE: n}, has_changes=True, committed=True)
 
     def run_all(self) -> list[Result]:
         on, out = dict(JOBS) | self.settings.jobs, []

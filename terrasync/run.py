@@ -35,7 +35,7 @@ def main(arguments: list[str], engine=engine_of) -> int:
     text = spark.read.text(arguments[0], wholetext=True).first()[0]
     results: list[Result] = engine(spark, load_yaml(text), arguments[1]).run_all()
     for r in results:
-        print(f"{r.job}: {r.status}, read {r.read}, skipped {r.skipped}, upserted {r.upserted}, deleted {r.deleted}, {r.seconds:.1f} s{', ' + r.error if r.error else ''}")
+        print(f"{r.job}: {r.status}, read {r.read}, skipped {r.skipped}, upserted {r.upserted}, deleted {r.deleted}, flagged {sum(r.flagged.values())}, sent {r.sent}, {'committed' if r.committed else 'nothing committed'}, {r.seconds:.1f} s{', ' + r.error if r.error else ''}")
     return int(any(r.status != "COMPLETED" for r in results))
 
 

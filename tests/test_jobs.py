@@ -109,6 +109,9 @@ def test_first_load_then_nothing_then_changes(world):
     got = world.run()
     assert got["dsp_rivers"].skipped == 1 and got["area-of-interest"].skipped == 0
     assert got["area-of-interest"].deleted == 1 and got["area-of-interest"].read == 1 and got["dsp_rivers"].read == 1
+    assert got["area-of-interest"].written == {"target/dsp.area_of_interest": 1, "geo/dsp.area_of_interest": 1} and got["dsp_rivers"].written == {"geo/dsp.rivers": 1}
+    assert got["area-of-interest"].flagged == {"dsp.territory_level_3": 3, "dsp.territory_level_2": 2} and got["area-of-interest"].committed and got["area-of-interest"].sent == 0
+    assert not again["dsp_rivers"].committed and again["dsp_rivers"].written == {}
     assert got["area-of-interest"].boxes.count() == 2
     assert set(world.rows("geo/dsp.area_of_interest")) == {"30", "31"} == set(world.rows("target/dsp.area_of_interest"))
     flags = {k: r[territory.FLAG] for k, r in world.rows("target/dsp.territory_level_3").items()}

@@ -90,3 +90,22 @@ def test_sweep(spark, tmp_path):
     left = {f"tables/{p.parent.relative_to(tmp_path / 'tables')}" for p in (tmp_path / "tables").rglob("*.parquet")}
     named = {p for e in entry.values() for p in [*e["parts"].values(), *(x["path"] for x in e.get("layers", []))]}
     assert gone and left == named and content(house.read("t")) == want and house.sweep(keep=1, grace=-5) == []
+
+
+def test_orphans_by_digests(spark):
+    """Random sets with repeated and null ids; equal sets leave no bucket."""
+    rng = random.Random(9)
+
+    def ids(keys):
+        return spark.createDataFrame([(k if k is None else str(k),) for k in keys], "nid string")
+
+    for _ in range(3):
+        target = rng.sample(range(300), 120)
+        source = [k for k in target if rng.random() < 0.95] + rng.sample(range(300, 400), 10) + [7, 7, None]
+        fresh = [k for k in source if k is not None and k >= 300]
+        got = keyed.orphan_ids(ids(target), ids(source), ids(source), ids(fresh), buckets=16)
+        assert {r.nid for r in got.collect()} == {str(k) for k in set(target) - set(source)}
+    some = ids(range(50))
+    assert keyed.differing(some, (ids(range(40, 50)), -1), (ids(range(40)), -1)) == set()
+    assert len(keyed.differing(some, (ids(range(49)), -1))) == 1
+    assert keyed.orphan_ids(some, some, some).isEmpty() and keyed.orphan_ids(ids([]), some, ids([])).isEmpty()
