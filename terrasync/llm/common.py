@@ -61,6 +61,11 @@ def row_hashes(docs: DataFrame, id_col: str, text_col: str) -> dict[str, Column]
     return {ROW[0]: F.xxhash64(docs[id_col], docs[text_col]), ROW[1]: F.xxhash64(F.lit(42), docs[text_col], docs[id_col])}
 
 
+def renamed(docs: DataFrame) -> DataFrame:
+    """docs with its columns named c0, c1, ...: whatever a caller calls them, they don't clash with names of our own."""
+    return docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+
+
 def keep_firsts(docs: DataFrame, found: DataFrame, firsts: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows of docs but for those of found (ROW) that aren't in firsts (ROW), and of rows listed more than once one.
 
@@ -69,9 +74,10 @@ def keep_firsts(docs: DataFrame, found: DataFrame, firsts: DataFrame, id_col: st
     """
     times = found.groupBy(*ROW).agg(F.count("*").alias("times"))
     judged = written(times.join(firsts.withColumn("first", F.lit(True)), ROW, "left").where("first is null or times > 1"), "keep-judged")
-    rows = docs.withColumns(row_hashes(docs, id_col, text_col))
-    kept = rows.join(judged.select(*ROW).hint("merge"), ROW, "left_anti").select(*docs.columns)
+    names, rows = docs.columns, renamed(docs)
+    rows = rows.withColumns(row_hashes(rows, rows.columns[names.index(id_col)], rows.columns[names.index(text_col)]))
+    kept = rows.join(judged.select(*ROW).hint("merge"), ROW, "left_anti").drop(*ROW)
     again = judged.where("first")
-    if again.isEmpty():
-        return kept
-    return kept.union(rows.join(again.select(*ROW), ROW, "left_semi").dropDuplicates(ROW).select(*docs.columns))
+    if not again.isEmpty():
+        kept = kept.union(rows.join(again.select(*ROW), ROW, "left_semi").dropDuplicates(ROW).drop(*ROW))
+    return kept.toDF(*names)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import word_count, written
+from .common import renamed, word_count, written
 
 #: Weights by a source's place among the sources, repeating; the share of all words to take; copies at most.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
@@ -179,11 +179,12 @@ def take_mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     decided = _decided(docs.select(*(c.alias(n) for n, c in measured.items())), **how).where("all_copies > 0")
     decided = decided.select(F.col("key").alias("__key"), (F.col("all_copies") / F.col("m")).cast("long").alias("__each"), (F.col("all_copies") % F.col("m")).alias("__more"))
     decided = written(decided, "mix-decided")
-    names = docs.columns
-    keyed = docs.withColumn("__key", F.xxhash64(*measured.values()))
+    names, keyed = docs.columns, renamed(docs)
+    inner = keyed.columns
+    keyed = keyed.withColumn("__key", F.xxhash64(*_measured(keyed, *(inner[names.index(c)] for c in (id_col, source_col, text_col))).values()))
 
     def copied(rows: DataFrame, copies: Column) -> DataFrame:
-        return rows.withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(*names)
+        return rows.withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(*inner).toDF(*names)
 
     # Always by a shuffle, so that small tables take the way of large ones.
     even = copied(keyed.join(decided.where("__more = 0").hint("merge"), "__key"), F.col("__each"))

@@ -103,3 +103,17 @@ def test_equal_rows_share_evenly(spark):
     got = [r.copies for r in mixing.mix_documents(df).where("doc_id = 7").collect()]
     assert len(got) == 9001 and max(got) - min(got) <= 1
     assert mixing.take_mix(df).where("doc_id = 7").count() == sum(got)
+
+
+def test_columns_of_any_names_come_back(spark, odd_rows):
+    """Names like those that the operators use inside, in either case, keep their values."""
+    from terrasync.llm import minhash, simhash
+
+    extra = ["__key", "__K", "__each", "__more", "__part", "__row_a", "__ROW_B", "__nth", "c0", "c1", "first", "times"]
+    rows = [(i, r[1], r[3], *(f"{n}-{i}" for n in extra)) for i, r in enumerate(odd_rows)]
+    docs = spark.createDataFrame([*rows, rows[6], rows[6]], ["doc_id", "text", "source", *extra])
+    for stage in (mixing.take_mix, minhash.keep_one, simhash.keep_one):
+        found = stage(docs)
+        assert found.columns == docs.columns
+        got = found.collect()
+        assert got and all(tuple(r) == rows[r.doc_id] for r in got)
