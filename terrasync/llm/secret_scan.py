@@ -45,15 +45,18 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]+", 0, 24),
 )
+#: What may stand between a key's BEGIN and END line: breaks (escaped ones, too), header lines, base64, and one short line of it or a checksum at the end. Prose may not.
+_BREAK = r"(?:[\x20\x09-\x0D]|\\[nrt])"
+_BODY = rf"(?:{_BREAK}+(?:[A-Z][A-Za-z]+(?:-[A-Za-z]+)?:[^\n\\]*|[A-Za-z0-9+/]{{16,}}=*))*(?:{_BREAK}+[A-Za-z0-9+/]{{1,63}}=*)?(?:{_BREAK}+=[A-Za-z0-9+/]{{4}})?{_BREAK}*"
 #: Further well-known credential shapes (fixed values: the formats their issuers publish). A private key reaches to
-#: its END line or, where none comes, over the base64 lines that follow. A web token is looked for where a run of
+#: its END line over header and base64 lines or, where none comes, over the base64 lines that follow. A web token is looked for where a run of
 #: its characters begins, so a text of many beginnings is read once.
 EXTRA_RULES = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?:[^-]*(?:-[^-]+)*-----END (?:[A-Z]+ )*PRIVATE KEY-----|(?:[\x20\x09-\x0D]+[A-Za-z0-9+/]{16,}=*)*)"),
+    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?:" + _BODY + r"-----END (?:[A-Z]+ )*PRIVATE KEY-----|(?:[\x20\x09-\x0D]+[A-Za-z0-9+/]{16,}=*)*)"),
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_bot", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("pgp_key", r"-----BEGIN PGP PRIVATE KEY BLOCK-----(?:[^-]*(?:-[^-]+)*-----END PGP PRIVATE KEY BLOCK-----)?"),
+    Rule("pgp_key", r"-----BEGIN PGP PRIVATE KEY BLOCK-----(?:" + _BODY + r"-----END PGP PRIVATE KEY BLOCK-----)?"),
     Rule("session_access", r"ASIA[A-Z0-9]{16,}"),
     Rule("code_host_fine", r"github_pat_[A-Za-z0-9_]{22,}"),
     Rule("code_host_own", r"glpat-[A-Za-z0-9_-]{20,}"),
@@ -315,14 +318,14 @@ _KEY_RUN = 16
 def _key_end(text: str, at: int, stop: int) -> int:
     """Where the private key ends whose first line ends at `at`; the next key's first line starts at `stop`.
 
-    That is behind its END line or, where none comes, behind the header and base64 lines that follow. In a
+    That is behind the header and base64 lines that follow, and the END line behind these; prose is no part of a key. In a
     text without line breaks long runs of base64 are lines, and the run behind them is the last.
     """
-    if m := _KEY_END.search(text, at, stop):
-        return m.end()
     end, long = at, False
     while True:
         start = _KEY_GAP.match(text, end, stop).end()
+        if m := _KEY_END.match(text, start, stop):
+            return m.end()
         if m := _KEY_HEADER.match(text, start, stop):
             end = m.end()
         elif m := _KEY_BASE64.match(text, start, stop):

@@ -127,3 +127,23 @@ def test_beginnings_without_end_take_linear_time():
         began = time.perf_counter()
         S.find([text], S.RULES)
         assert time.perf_counter() - began < 10
+
+
+def test_prose_between_key_lines_stays(spark):
+    """Header and base64 lines are a key's; what isn't stays, as does prose up to some later END line."""
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    prose = "This guide shows how a key begins -- and where it ends; nobody should paste one here. " * 12
+    body = "\n".join("MIIEowIBAAKCAQEA" + "abcDEF01" * 6 for _ in range(9)) + "\nQ0x9aA=="
+    texts = [
+        f"see {begin}\n{prose}\n{end} done",
+        f"see {begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123\n\n{body}\n{end} done",
+        f"see {begin}\n{body}\n\n{prose}\n{end} done",
+        f"see {begin}\\n{body.replace(chr(10), chr(92) + 'n')}\\n{end} done",
+        f"-----BEGIN PGP PRIVATE KEY BLOCK-----\n{prose}\n-----END PGP PRIVATE KEY BLOCK-----",
+        f"-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: 2\n\n{body}\n=aB3d\n-----END PGP PRIVATE KEY BLOCK----- done",
+    ]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in S.redact_secrets(docs).collect()}
+    assert all(prose.strip() in got[i] for i in (0, 2, 4)) and all("abcDEF01" not in t and "Q0x9aA" not in t for t in got.values())
+    assert got[1] == got[3] == "see [PRIVATE_KEY REMOVED] done" and got[5] == "[PGP_KEY REMOVED] done"
+    assert len(got[0]) > len(texts[0]) - 60
