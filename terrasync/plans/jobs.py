@@ -1,7 +1,8 @@
 """The jobs: administrative units, areas of interest, layers, and key figures, in this order.
 
-A job reads its source once, writes its new tables, and publishes them with its new state in one step. A
-job that fails leaves everything as it was; running it again gives the same tables.
+A job claims the warehouse, reads its source once, writes its new tables, and publishes them with its new state in one
+step; other jobs fail meanwhile, before they have sent anything. A job that fails leaves everything as it was; running it again gives the same
+tables, and databases that a dead job had written to are put right by the next one.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ from ..functions.ids import normal, normal_id
 from ..functions.temporal import ContractError, is_due, pin_utc, utc
 from ..operators import keyed, kpi, territory
 from ..sources import state as states
-from ..sources.warehouse import Entry, Warehouse
+from ..sources.warehouse import Claim, Entry, Warehouse
 from .config import JOBS, Layer, Settings, check_layers
 from .contract import Contract, area_contract, check_existing, layer_contract, unit_contract
 
@@ -80,7 +82,19 @@ class Engine:
         found = self.warehouse.read(states.TABLE)
         return found if found is not None else self.spark.createDataFrame([], states.SCHEMA)
 
+    def _left_by_dead_jobs(self, contract: Contract, source_ids: DataFrame, unfinished: list[dict]) -> DataFrame:
+        """Rows (nid, parent, box) that jobs sent without being published, and that the source no longer has: the warehouse never had them, so they are no orphans there."""
+        parts = [self.warehouse.staged(x["delta"]) for x in unfinished]
+        parent = [contract.parent] if contract.parent else []
+        rows = [p.select(normal(p, contract.key).alias("nid"), *parent, geo.box_in_metres(F.col(contract.geometry_target), contract.srid).alias("box")) for p in parts]
+        sent = reduce(DataFrame.unionByName, rows).where("nid is not null").dropDuplicates(["nid"])
+        return sent.join(source_ids.join(sent.select("nid"), "nid", "left_semi").distinct(), "nid", "left_anti")
+
     def sync(self, contract: Contract) -> Result:
+        with self.warehouse.claim() as claim:
+            return self._sync(contract, claim)
+
+    def _sync(self, contract: Contract, claim: Claim) -> Result:
         now = utc(self.clock())
         source = self.source(str(contract.source))
         known = self._states()
@@ -93,24 +107,31 @@ class Engine:
         # The delta feeds boxes, the watermark, departures and two upserts, so it is written once.
         g = F.col(f"`{contract.geometry}`")
         counted = Observation()
-        changed = source.where(contract.changed(mark)).observe(counted, F.count(F.lit(1)).alias("n"))
+        changed = source.where(contract.changed(mark))
+        unfinished = self.warehouse.unfinished(contract.sync_key) if self.sink is not None else []
+        removed = [self.warehouse.staged(x["gone"]).select("nid") for x in unfinished if x["gone"]]
+        if removed:  # ids that a dead job has deleted from the databases, and that the source has again
+            changed = changed.unionByName(keyed.held(source.where(contract.selected(None)), reduce(DataFrame.union, removed), contract.primary_key).drop("nid"))
+        changed = changed.observe(counted, F.count(F.lit(1)).alias("n"))
         picked = changed.where(geo.has_positions(g))
         box = geo.box_in_metres(g, contract.srid)
         rows = picked.select(*contract.projection(source.schema), contract.last_event().alias("__event"), box.alias("__box"))
         rows = self.warehouse.staged(self.warehouse.stage(f"delta/{contract.sync_key}", rows))
         seen = rows.agg(F.count("*").alias("n"), F.max("__event").alias("event")).first()
-        result = Result(contract.sync_key, read=seen.n, skipped=counted.get["n"] - seen.n, has_changes=seen.n > 0, watermark=seen.event)
+        event = seen.event if seen.event is None or mark is None or utc(seen.event) > mark else state.watermark_last_event_at  # rows sent again don't set it back
+        result = Result(contract.sync_key, read=seen.n, skipped=counted.get["n"] - seen.n, has_changes=seen.n > 0, watermark=event)
         delta = keyed.latest(rows, contract.key, F.col("__event")).drop("__event", "__box")
         delta = self.transform(delta) if self.transform else delta
         # Both stores, departures, flags and the sink read it: the newest rows are settled once.
-        delta = self.warehouse.staged(self.warehouse.stage(f"delta/{contract.sync_key}", delta))
+        delta_at = self.warehouse.stage(f"delta/{contract.sync_key}", delta)
+        delta = self.warehouse.staged(delta_at)
         boxes = rows.select("__box.*")
 
-        gone = None
+        there = source.where(contract.present())
+        ids = there.select(normal(there, contract.primary_key).alias("nid"))
+        going = [self._left_by_dead_jobs(contract, ids, unfinished)] if unfinished else []
         checked = old_geo is not None and is_due(state.last_orphan_check_at if state else None, now)
         if checked:
-            there = source.where(contract.present())
-            ids = there.select(normal(there, contract.primary_key).alias("nid"))
             valid = old_geo.where(geo.has_positions(F.col(contract.geometry_target)))  # rows without geometry never go
             # Only ids are shuffled, of buckets that don't add up; parents and boxes are then looked up in the buckets that hold lost ones.
             copied = source.where(contract.selected(None))
@@ -118,8 +139,12 @@ class Engine:
             fresh = new.join(keyed.held(self.warehouse.read_holding(geo_name, new), new, contract.key).select("nid"), "nid", "left_anti")
             lost = keyed.orphan_ids(valid.select(normal(valid, contract.key).alias("nid")), ids, copied.select(normal(copied, contract.primary_key).alias("nid")), fresh)
             lost = self.warehouse.staged(self.warehouse.stage(f"orphans/{contract.sync_key}", lost))
-            held = keyed.held(self.warehouse.read_holding(geo_name, lost), lost, contract.key).select("nid", *([contract.parent] if contract.parent else []), geo.box_in_metres(F.col(contract.geometry_target), contract.srid).alias("box"))
-            gone = self.warehouse.staged(self.warehouse.stage(f"orphans/{contract.sync_key}", held))
+            going.append(keyed.held(self.warehouse.read_holding(geo_name, lost), lost, contract.key).select("nid", *([contract.parent] if contract.parent else []), geo.box_in_metres(F.col(contract.geometry_target), contract.srid).alias("box")))
+        gone, gone_at = None, None
+        if going:
+            held = going[0] if len(going) == 1 else reduce(DataFrame.unionByName, going).dropDuplicates(["nid"])
+            gone_at = self.warehouse.stage(f"orphans/{contract.sync_key}", held)
+            gone = self.warehouse.staged(gone_at)
             result.deleted = gone.count()
             boxes = boxes.unionByName(gone.select("box.*"))
 
@@ -154,14 +179,19 @@ class Engine:
         if checked or old_geo is None:
             known = states.mark_orphan_check(known, contract.sync_key, str(contract.source), now)
         if self.sink is not None and (result.has_changes or result.deleted):
+            claim.check()
+            self.warehouse.note_sent(contract.sync_key, delta_at, gone_at)
             self.sink(contract, source.schema, delta, gone)
             result.sent = result.upserted + result.deleted
         if self.record is not None and (checked or tables):
+            claim.check()
             self.record(flags, known.where(F.col("sync_key") == contract.sync_key))
         if checked or tables:
             tables[states.TABLE] = self.warehouse.stage(states.TABLE, known.coalesce(1))
-            self.warehouse.publish(tables)
+            self.warehouse.publish(tables, claim)
             result.committed = True
+        if self.sink is not None:
+            self.warehouse.forget(contract.sync_key)
         result.boxes = boxes
         return result
 
@@ -269,6 +299,10 @@ class Engine:
 
     def run_kpis(self) -> Result:
         """The areas of interest and themes of now; only geometries that are new since the last run are measured. A failure is raised."""
+        with self.warehouse.claim() as claim:
+            return self._run_kpis(claim)
+
+    def _run_kpis(self, claim: Claim) -> Result:
         kpis, area = self.settings.kpis.check(), self.settings.area_of_interest
         target = area.target_table if area else "dsp.area_of_interest"
         srid = area.srid if area else 4326
@@ -295,8 +329,9 @@ class Engine:
         if not keyed.repeated_keys(measures, "area_of_interest_id", "kpi_name").isEmpty():
             raise ContractError("an area of interest has two measures of one name")
         if self.kpi_sink is not None:
+            claim.check()
             self.kpi_sink(areas, measures)
-        self.warehouse.publish(tables | {KPI_TABLE: staged})
+        self.warehouse.publish(tables | {KPI_TABLE: staged}, claim)
         n = measures.count()
         return Result("kpi", upserted=n, written={KPI_TABLE: n}, has_changes=True, committed=True)
 

@@ -6,18 +6,21 @@ marks of removed keys, as one more layer. A read takes a key's newest row; bucke
 Once the layers have grown to a share of the table, the touched buckets are written anew, and one that holds too
 many rows by then is split by further bits of the hash, on its own.
 Which folders make up the warehouse is said by numbered manifests, of which the last holds. A job writes its new tables first and then publishes them all
-by adding one manifest; a crash before leaves the old state, and readers never see half of a job. Two jobs
-that publish at once get the same number, and the later one fails. sweep removes folders that no kept manifest names.
+by adding one manifest; a crash before leaves the old state, and readers never see half of a job. A job claims the
+next manifest's number before it starts, and other jobs fail until it is through. sweep removes folders that no kept manifest names.
+What a job is about to send to a database is noted before, and forgotten once the job is published, so that the next one can put right what a dead one has left there.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import threading
 import time
 import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,14 +49,78 @@ def _name(residue: int, modulus: int, buckets: int) -> str:
     return str(residue) if modulus == buckets else f"{residue}-{modulus}"
 
 
+class Busy(RuntimeError):
+    """Another job holds the claim, or has taken it over."""
+
+
+class Claim:
+    """The right to publish one manifest: a file that names it, made by one job only, and gone when the with block ends.
+
+    The holder touches the file as long as it lives. One that hasn't been touched for a lease is a dead job's, and the next claim takes its place.
+    """
+
+    def __init__(self, house: Warehouse, number: int):
+        self.house, self.number, self.token = house, number, uuid.uuid4().hex
+        self.path = f"claims/{number:012d}"
+        self._over = threading.Event()
+        self._beats = threading.Thread(target=self._beat, daemon=True)
+
+    def __enter__(self) -> Claim:
+        house = self.house
+        for name, _, touched in house._children("claims"):
+            if name == f"{self.number:012d}" and touched < (time.time() - house.lease) * 1000:
+                # Moved away under a name of its own before it is deleted: of two jobs that find it, one can move it.
+                fs, dead = house._place(self.path)
+                _, away = house._place(f"drafts/{self.token}")
+                fs.mkdirs(away.getParent())
+                if fs.rename(dead, away):
+                    fs.delete(away, False)
+        try:
+            house._create(self.path, self.token)
+        except Py4JJavaError as e:
+            if house._exists(self.path):
+                raise Busy(f"another job has claimed manifest {self.number}") from e
+            raise
+        self.check()
+        self._beats.start()
+        return self
+
+    def __exit__(self, *error) -> None:
+        self._over.set()
+        if self._beats.is_alive():
+            self._beats.join()
+        if self._mine():
+            fs, place = self.house._place(self.path)
+            fs.delete(place, False)
+
+    def _beat(self) -> None:
+        fs, place = self.house._place(self.path)
+        while not self._over.wait(self.house.lease / 4):
+            if not self._mine():
+                return
+            fs.setTimes(place, int(time.time() * 1000), -1)
+
+    def _mine(self) -> bool:
+        try:
+            return self.house._text(self.path) == self.token
+        except Py4JJavaError:
+            return False
+
+    def check(self) -> None:
+        """Raises Busy where the claim has been taken over, or its manifest is there."""
+        if not self._mine() or self.house._last()[0] + 1 != self.number:
+            raise Busy(f"another job has taken over or published manifest {self.number}")
+
+
 class Warehouse:
     """rows_per_bucket settles the buckets of a keyed table when it is first written (a power of two, MOST_BUCKETS at most), and those that are split.
 
-    Layers are merged into the buckets once they hold that share of the table's bytes, or are that many.
+    Layers are merged into the buckets once they hold that share of the table's bytes, or are that many. A claim that its job hasn't touched
+    for a lease (seconds) is void.
     """
 
-    def __init__(self, spark: SparkSession, root: str, rows_per_bucket: int = 1_000_000, share: float = 0.25, most_layers: int = 16):
-        self.spark, self.root, self.rows_per_bucket, self.share, self.most_layers = spark, root.rstrip("/"), rows_per_bucket, share, most_layers
+    def __init__(self, spark: SparkSession, root: str, rows_per_bucket: int = 1_000_000, share: float = 0.25, most_layers: int = 16, lease: float = 600.0):
+        self.spark, self.root, self.rows_per_bucket, self.share, self.most_layers, self.lease = spark, root.rstrip("/"), rows_per_bucket, share, most_layers, lease
 
     def _place(self, path: str):
         place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{path}")
@@ -71,14 +138,29 @@ class Warehouse:
     def _numbers(self) -> list[int]:
         return sorted(int(n.removesuffix(".json")) for n, *_ in self._children("manifests") if n.removesuffix(".json").isdigit())
 
-    def _manifest(self, number: int) -> dict[str, Entry]:
-        fs, place = self._place(f"manifests/{number:012d}.json")
+    def _exists(self, path: str) -> bool:
+        fs, place = self._place(path)
+        return fs.exists(place)
+
+    def _text(self, path: str) -> str:
+        fs, place = self._place(path)
         stream = fs.open(place)
         try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
 
+    def _create(self, path: str, text: str) -> None:
+        """Writes a new file; an error where there is one."""
+        fs, place = self._place(path)
+        fs.mkdirs(place.getParent())
+        out = fs.create(place, False)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    def _manifest(self, number: int) -> dict[str, Entry]:
+        return json.loads(self._text(f"manifests/{number:012d}.json"))
+
     def _last(self) -> tuple[int, dict[str, Entry]]:
         numbers = self._numbers()
         return (numbers[-1], self._manifest(numbers[-1])) if numbers else (0, {})
@@ -261,21 +343,42 @@ class Warehouse:
 
     # ---- manifests
 
-    def publish(self, tables: dict[str, Entry]) -> None:
-        """Makes staged versions the current ones, all at once."""
+    def claim(self) -> Claim:
+        """The right to publish the next manifest, as a context manager; Busy where another job has it."""
+        return Claim(self, self._last()[0] + 1)
+
+    def publish(self, tables: dict[str, Entry], claim: Claim | None = None) -> None:
+        """Makes staged versions the current ones, all at once, under a claim, or one that is taken for the moment."""
+        if claim is None:
+            with self.claim() as claim:
+                return self.publish(tables, claim)
+        claim.check()
         number, current = self._last()
-        fs, draft = self._place(f"drafts/{uuid.uuid4().hex}")
+        draft = f"drafts/{uuid.uuid4().hex}"
+        self._create(draft, json.dumps(current | tables))
+        fs, made = self._place(draft)
         _, target = self._place(f"manifests/{number + 1:012d}.json")
-        fs.mkdirs(draft.getParent()), fs.mkdirs(target.getParent())
-        out = fs.create(draft, False)
-        out.write(bytearray(json.dumps(current | tables).encode()))
-        out.close()
-        if fs.exists(target) or not fs.rename(draft, target):
-            raise RuntimeError(f"another job has published manifest {number + 1}")
+        fs.mkdirs(target.getParent())
+        if fs.exists(target) or not fs.rename(made, target):
+            raise Busy(f"another job has published manifest {number + 1}")
 
     def put(self, name: str, df: DataFrame) -> None:
         self.publish({name: self.stage(name, df)})
 
+    # ---- what is sent to databases
+
+    def note_sent(self, key: str, delta: str, gone: str | None) -> None:
+        """Notes, before they are sent, the staged rows and removed ids of a job; forget takes the notes back."""
+        self._create(f"sent/{key}/{uuid.uuid4().hex}.json", json.dumps({"delta": delta, "gone": gone}))
+
+    def unfinished(self, key: str) -> list[dict]:
+        """What jobs of that key have sent, or were about to, without being published."""
+        return [json.loads(self._text(f"sent/{key}/{n}")) for n, *_ in self._children(f"sent/{key}") if n.endswith(".json")]
+
+    def forget(self, key: str) -> None:
+        fs, place = self._place(f"sent/{key}")
+        fs.delete(place, True)
+
     def sweep(self, keep: int = 10, grace: float = 86400.0) -> list[str]:
         """Removes manifests but for the last ones, and folders of tables that none of these names; gives what went.
 
@@ -286,6 +389,8 @@ class Warehouse:
         for number in numbers[-keep:]:
             for entry in self._manifest(number).values():
                 named |= {entry} if isinstance(entry, str) else {*entry["parts"].values(), *(x["path"] for x in entry.get("layers") or [])}
+        for key, *_ in self._children("sent"):
+            named |= {p for x in self.unfinished(key) for p in (x["delta"], x["gone"]) if p}
         above = {p.rpartition("/")[0] for p in named if f"/{BUCKET}=" in p}
         gone = [f"manifests/{k:012d}.json" for k in numbers[:-keep]]
 
