@@ -115,8 +115,14 @@ def stamp_sql(c: str) -> str:
     return f"strftime({c}, '%Y-%m-%d %H:%M:%S')"
 
 
+def rounded(c: Column, digits: int) -> Column:
+    """Half up; what rounds to zero keeps its sign, as in SQL's round, since a text shows it."""
+    r = F.round(c, digits)
+    return F.when(r == 0, c * 0.0).otherwise(r)
+
+
 def rounded_box(b: Column, digits: int = 6) -> list[Column]:
-    return [F.round(b[c], digits).alias(c) for c in ("x0", "y0", "x1", "y1")]
+    return [rounded(b[c], digits).alias(c) for c in ("x0", "y0", "x1", "y1")]
 
 
 def square_sql(k: str) -> dict[str, str]:
@@ -393,8 +399,8 @@ def affected_bboxes(t):
     (source, contract), (there, target) = of_areas(t), stale(t)
     changed = source.where(contract.selected(MARK)).select(F.col("the_geom").alias("geom"))
     lost = keyed.held(target, keyed.orphans(target.select("id"), there, "id"), "id").select("geom")
-    b = geo.box_in_metres(F.col("geom"), 4326)
-    return changed.unionByName(lost).select(box_text(*(F.round(b[c], 2) for c in ("x0", "y0", "x1", "y1"))).alias("bbox"))
+    boxes = changed.unionByName(lost).select(geo.box_in_metres(F.col("geom"), 4326).alias("b"))
+    return boxes.select(box_text(*rounded_box(F.col("b"), 2)).alias("bbox"))
 
 
 @query(f"SELECT o_orderkey AS id, {', '.join(f'round({_K[c]}, 6) AS {c}' for c in _K)} FROM orders")
