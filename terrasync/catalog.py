@@ -7,6 +7,7 @@ side s = 0.01 * (1 + k % 5) degrees at (-74 + (k % 400) * 0.1, -33 + ((k / 400)
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -54,6 +55,18 @@ def query(sql: str | None = None):
 # ---------------------------------------------------------------- roles
 
 
+#: Rows whose geometries one task works on.
+ROWS_PER_TASK = 20_000
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """rows dealt evenly over tasks by their number: keys are a few bytes in a file, so its splits hold millions, and geometries are made of each.
+
+    They are counted for that, which reads no column; keys are shuffled, not texts.
+    """
+    return rows.repartition(max(1, math.ceil(rows.count() / ROWS_PER_TASK)))
+
+
 def square(k: Column) -> tuple[Column, Column, Column]:
     s = F.lit(0.01) * (1 + k % 5)
     return F.lit(-74.0) + (k % 400) * 0.1, F.lit(-33.0) + (F.floor(k / 400) % 380) * 0.1, s
@@ -406,14 +419,14 @@ def affected_bboxes(t):
 @query(f"SELECT o_orderkey AS id, {', '.join(f'round({_K[c]}, 6) AS {c}' for c in _K)} FROM orders")
 def force2d_envelope(t):
     with_height = F.regexp_replace(square_text(F.col("o_orderkey")), r"\[(-?[0-9.E]+),(-?[0-9.E]+)\]", r"[$1,$2,7.5]")
-    rows = t("orders").select(F.col("o_orderkey").alias("id"), geo.envelope(geo.force_2d(with_height)).alias("e"))
+    rows = spread(t("orders").select("o_orderkey")).select(F.col("o_orderkey").alias("id"), geo.envelope(geo.force_2d(with_height)).alias("e"))
     return rows.select("id", *rounded_box(geo.bounds(F.col("e"))))
 
 
 @query(f"SELECT o_orderkey AS id, round(({_K['x0']} + {_K['x1']}) / 2, 6) AS x, round(({_K['y0']} + {_K['y1']}) / 2, 6) AS y FROM orders")
 def centroid(t):
     p = geo.positions(geo.centroid(square_text(F.col("o_orderkey"))))[0]
-    return t("orders").select(F.col("o_orderkey").alias("id"), p.alias("p")).select("id", F.round(F.col("p")[0], 6).alias("x"), F.round(F.col("p")[1], 6).alias("y"))
+    return spread(t("orders").select("o_orderkey")).select(F.col("o_orderkey").alias("id"), p.alias("p")).select("id", F.round(F.col("p")[0], 6).alias("x"), F.round(F.col("p")[1], 6).alias("y"))
 
 
 #: Between parallels and meridians areas have a closed form; a geodesic bulges from its parallel by a sliver, of which the leading term is all that shows here.
@@ -436,7 +449,7 @@ def squares_sql(k: str, table: str, keys: str) -> str:
 
 @query(f"SELECT id, round(m2) AS m2 FROM ({squares_sql('c_custkey', 'customer', 'c_custkey AS id')})")
 def geodesic_area(t):
-    return t("customer").select(F.col("c_custkey").alias("id"), F.round(geo.geodesic_area(square_text(F.col("c_custkey")))).alias("m2"))
+    return spread(t("customer").select("c_custkey")).select(F.col("c_custkey").alias("id"), F.round(geo.geodesic_area(square_text(F.col("c_custkey")))).alias("m2"))
 
 
 def _turned(x: Column) -> Column:
@@ -451,7 +464,7 @@ def geodesic_polar_sectors(t):
     east, zero = _turned(x + w), F.lit(0.0)
     ring = F.array(*(F.array(a, b) for a, b in ((x, zero), (_turned(x + w / 2), zero), (east, zero), (east, pole), (x, pole), (x, zero))))
     g = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")))
-    return t("customer").select(k.alias("id"), F.round(geo.geodesic_area(g), -3).alias("m2"))
+    return spread(t("customer").select("c_custkey")).select(k.alias("id"), F.round(geo.geodesic_area(g), -3).alias("m2"))
 
 
 _N = 1 / 298.257222101 / (2 - 1 / 298.257222101)
@@ -467,7 +480,7 @@ def utm_points(t):
     x, y = F.lit(-48.0) + (k % 61) * 0.1, F.lit(-33.0) + (k % 380) * 0.1
     middle = zone.forward(F.lit(-45.0), y)
     back = F.transform(F.array(zone.forward(x, y)), lambda p: zone.back(p[0], p[1]))[0]
-    rows = t("customer").select(k.alias("id"), middle.alias("m"), back.alias("b"))
+    rows = spread(t("customer").select("c_custkey")).select(k.alias("id"), middle.alias("m"), back.alias("b"))
     return rows.select("id", F.round(F.col("m")[0], 2).alias("east"), F.round(F.col("m")[1], 2).alias("north"), F.round(F.col("b")[0], 7).alias("x"), F.round(F.col("b")[1], 7).alias("y"))
 
 
@@ -498,7 +511,10 @@ def kinds_text(k: Column) -> Column:
         text('{"type":"GeometryCollection","geometries":[{"geometries":[{"type":"GeometryCollection","geometries":[{"type":"Point","coordinates":%}]},{"type":"Polygon","coordinates":[%]}],"type":"GeometryCollection"}]}', far, outer),
         F.lit('{"type":"GeometryCollection","geometries":[{"type":"Polygon","coordinates":[]}]}'),
     ]
-    return F.element_at(F.array(*shapes), (k % 9 + 1).cast("int"))
+    chosen = F.lit(None).cast("string")
+    for i, shape in reversed(list(enumerate(shapes))):
+        chosen = F.when(k % 9 == i, shape).otherwise(chosen)
+    return chosen
 
 
 _C = square_sql("c_custkey")
@@ -512,9 +528,11 @@ CASE c_custkey % 9 WHEN 2 THEN round(0.75 * (({_C['x1']} - {_C['x0']}) ** 2), 9)
 FROM customer""")
 def geometry_kinds(t):
     """All kinds of geometries, in two dimensions and read back: positions, bounds, and the plane area of all rings."""
-    raw = t("customer").select(F.col("c_custkey").alias("id"), kinds_text(F.col("c_custkey")).alias("g"))
+    raw = spread(t("customer").select(F.col("c_custkey").alias("id"))).select("id", kinds_text(F.col("id")).alias("g"))
     rows = raw.select("id", geo.has_positions(F.col("g")).alias("present"), geo.force_2d(F.col("g")).alias("g"))
-    return rows.select("id", "present", F.size(geo.positions(F.col("g"))).alias("n_positions"), *rounded_box(geo.bounds(F.col("g"))), F.round(geo.planar_area(F.col("g")), 9).alias("square_degrees"))
+    read = rows.select("id", "present", geo.positions(F.col("g")).alias("p"), F.round(geo.planar_area(F.col("g")), 9).alias("square_degrees"))
+    boxes = read.select("id", "present", F.size("p").alias("n_positions"), geo.bounds_of(F.col("p")).alias("b"), "square_degrees")
+    return boxes.select("id", "present", "n_positions", *rounded_box(F.col("b")), "square_degrees")
 
 
 # ---------------------------------------------------------------- partitions
@@ -577,7 +595,7 @@ def kpi_area_update(t):
 @query(f"""SELECT CAST(user_id AS VARCHAR) AS area_of_interest_id, CAST(round(sum(CAST(m2 AS DECIMAL(26,9))) / 10000, 3) AS DECIMAL(18,3))::VARCHAR AS value, 'user-events' AS kpi_name
 FROM ({squares_sql('event_id', 'events', 'user_id')}) WHERE user_id IS NOT NULL GROUP BY user_id""")
 def kpi_theme_geodesic(t):
-    features = t("events").select(F.col("user_id").alias("area_of_interest_id"), square_text(F.col("event_id")).alias("geom"))
+    features = spread(t("events").select("user_id", "event_id")).select(F.col("user_id").alias("area_of_interest_id"), square_text(F.col("event_id")).alias("geom"))
     return kpi.theme(features, "user-events", "ha").select("area_of_interest_id", F.col("value").cast("string").alias("value"), "kpi_name")
 
 

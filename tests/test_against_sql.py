@@ -4,6 +4,8 @@ import duckdb
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from terrasync import catalog
 from terrasync.functions import geometry as geo
 
@@ -54,3 +56,27 @@ def test_the_closed_form_of_small_boxes_is_the_geodesic_area():
     got = geo.geodesic_areas(mixed)
     triangle = geo.geodesic_areas(polygons([rings[4][:3]]))[0]
     assert np.abs(got - [want[0], want[1], 0, want[4] - triangle, 0]).max() < 1e-4
+
+
+def keyed_folder(tmp_path, n):
+    con = duckdb.connect()
+    for t, columns in (("customer", "range AS c_custkey"), ("orders", "range AS o_orderkey"), ("events", "range AS event_id, range % 5 AS user_id")):
+        con.execute(f"COPY (SELECT {columns} FROM range({n})) TO '{tmp_path}/{t}.parquet'")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", ["geometry_kinds", "force2d_envelope", "centroid", "geodesic_area", "geodesic_polar_sectors", "utm_points", "kpi_theme_geodesic"])
+def test_geometries_of_one_file_are_dealt_over_tasks(spark, tmp_path, monkeypatch, name):
+    """A file of one split holds millions of keys; no task works on more than about so many."""
+    monkeypatch.setattr(catalog, "ROWS_PER_TASK", 100)
+    got = catalog.QUERIES[name](spark, keyed_folder(tmp_path, 1000))
+    if name == "kpi_theme_geodesic":
+        assert "RoundRobinPartitioning(10)" in got._jdf.queryExecution().executedPlan().toString()
+    else:
+        sizes = [r[1] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 10 and max(sizes) <= 110
+    assert spread_rows(spark, 0) == 0 and spread_rows(spark, 101) == 101
+
+
+def spread_rows(spark, n):
+    return catalog.spread(spark.range(n)).distinct().count()
