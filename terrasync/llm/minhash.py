@@ -1,7 +1,9 @@
-"""Near-duplicates by exact Jaccard similarity of word shingles, met through MinHash bands.
+"""Near-duplicates by exact Jaccard similarity of word shingles, met through SimHash blocks and MinHash bands.
 
 Two texts are near if they share at least SIMILAR of the word shingles that either has. A text's set of
-shingle hashes is its node, so texts of equal sets are one from the start. BANDS keys, each of ROWS minimal
+shingle hashes is its node, so texts of equal sets are one from the start. Fingerprints of the same shingles meet by
+pigeonhole blocks as in simhash.py; its links within 4 bits are pairs, and so are nodes of one fingerprint. Most pairs
+of a similarity of 0.8 differ in more bits than blocks can serve, so others meet beside them. BANDS keys, each of ROWS minimal
 hashes, bring nodes together: a pair of similarity s shares a key with probability 1 - (1 - s^ROWS)^BANDS,
 at 0.8 all but 7 in 100,000. Pairs that meet are then verified on the texts themselves:
 
@@ -28,6 +30,7 @@ from xxhash import xxh3_64_intdigest, xxh64_intdigest
 
 from .common import ROW, keep_firsts, row_hashes, written
 from .components import connected_components
+from .simhash import fingerprint_of, near_links, shingle_hashes
 
 SHINGLE, SEED = 5, 42
 #: The least similarity of near copies, as a fraction.
@@ -46,15 +49,12 @@ _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * ROWS, 1)
 
 def shingles(text: str | None, k: int = SHINGLE) -> np.ndarray:
     """Sorted hashes of the text's distinct word shingles; a shorter text is one shingle."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # as for fingerprints
-    joined = b" ".join(words)
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    ends = np.cumsum(lengths + 1) - 1
-    k = min(k, len(words))
-    if not k:
-        return np.array([xxh64_intdigest(b"", SEED)], np.uint64)
-    pairs = zip((ends - lengths)[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)
-    return np.unique(np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in pairs), np.uint64, len(words) - k + 1))
+    return distinct(shingle_hashes(text, k))
+
+
+def distinct(hashes: np.ndarray) -> np.ndarray:
+    """The set of shingle hashes; that of a text without words has one."""
+    return np.unique(hashes) if len(hashes) else np.array([xxh64_intdigest(b"", SEED)], np.uint64)
 
 
 def node_of(found: np.ndarray) -> int:
@@ -76,18 +76,36 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(id, the row's hashes, node, n, keys) for every row, n being the number of its shingles."""
+    """(id, the row's hashes, node, fp, n, keys) for every row, fp being its fingerprint and n the number of its shingles."""
     one = docs.select(docs[id_col].alias("id"), *(c.alias(n) for n, c in row_hashes(docs, id_col, text_col).items()), docs[text_col].alias("text"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingles(t, shingle) for t in b.column("text").to_pylist()]
+            sets, fps = [], np.zeros(len(b), np.uint64)
+            for i, t in enumerate(b.column("text").to_pylist()):
+                hashes = shingle_hashes(t, shingle)
+                fps[i] = fingerprint_of(hashes)
+                sets.append(distinct(hashes))
             keys = np.concatenate([band_keys(s) for s in sets]) if sets else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) + 1, BANDS), pa.int32()), pa.array(keys))
-            columns = [*(b.column(i) for i in range(3)), pa.array(map(node_of, sets), pa.int64()), pa.array(map(len, sets), pa.int64()), lists]
-            yield pa.RecordBatch.from_arrays(columns, ["id", *ROW, "node", "n", "keys"])
+            columns = [*(b.column(i) for i in range(3)), pa.array(map(node_of, sets), pa.int64()), pa.array(fps.view(np.int64)), pa.array(map(len, sets), pa.int64()), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["id", *ROW, "node", "fp", "n", "keys"])
+
+    return one.mapInArrow(each, f"id {one.schema['id'].dataType.simpleString()}, {ROW[0]} bigint, {ROW[1]} bigint, node bigint, fp bigint, n bigint, keys array<bigint>")
 
-    return one.mapInArrow(each, f"id {one.schema['id'].dataType.simpleString()}, {ROW[0]} bigint, {ROW[1]} bigint, node bigint, n bigint, keys array<bigint>")
+
+def _by_fingerprint(found: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes by SimHash: each of a fingerprint with its least, and the least of linked fingerprints.
+
+    Links connect what is within the bits, so a pair that the exact check refuses may have stood for others: those that are near share a band.
+    """
+    of = written(found.select("fp", "node").distinct(), "simhash-fps")
+    least = written(of.groupBy("fp").agg(F.min("node").alias("least")), "simhash-nodes")
+    same = of.join(least, "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    links = written(near_links(least.select(F.col("fp").alias("node"), "fp")).distinct(), "simhash-links")
+    ends = [least.select(F.col("fp").alias(x), F.col("least").alias(f"node_{x}")) for x in "ab"]
+    near = links.join(ends[0], "a").join(ends[1], "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    return same.union(near).where("a <> b")
 
 
 class _Key:
@@ -311,7 +329,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     met = written(_meet(_keyed(nodes)), "minhash-met")
     centers = met.where("center").select("band", "key", F.lit(-1).alias("part"), F.col("a").alias("node"), "n").distinct()
     more = written(_meet(centers), "minhash-centers")
-    links = met.where("b is not null").select("a", "b").union(more.where("b is not null").select("a", "b"))
+    links = met.where("b is not null").select("a", "b").union(more.where("b is not null").select("a", "b")).union(_by_fingerprint(found))
     pairs = written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "minhash-pairs")
     large = met.where("b is null and not center").select("band", "key", F.col("a").alias("node"), "n")
     some = pairs.select(F.col("a").alias("x")).union(pairs.select("b")).union(large.select("node")).distinct()

@@ -36,18 +36,27 @@ FEW = 128
 SAMPLE, HOT = 4096, 0.01
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """Unsigned 64-bit SimHash of the text's word shingles, repeats included; no words: 0."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """Hashes of the text's word shingles in order, repeats included; a shorter text is one shingle, no words: none."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and the six ASCII spaces only
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
     starts = ends - lengths
     k = min(shingle, len(words))
     pairs = zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)
-    h = np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in pairs), np.uint64, len(words) - k + 1)
+    return np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in pairs), np.uint64, len(words) - k + 1)
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """Unsigned 64-bit SimHash of the text's word shingles, repeats included; no words: 0."""
+    return fingerprint_of(shingle_hashes(text, shingle))
+
+
+def fingerprint_of(h: np.ndarray) -> int:
+    """That of shingle hashes."""
     ones = np.zeros(64, np.int64)
     for i in range(0, len(h), 1 << 16):
         ones += np.unpackbits(h[i : i + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from terrasync.llm import minhash
+from terrasync.llm import minhash, simhash
 
 from .conftest import SCHEMA, prose
 from .test_simhash import components
@@ -121,3 +121,22 @@ def test_a_template_is_not_compared_pair_by_pair(spark):
     met = minhash._across(many.union(few))
     assert met.count() == 100_000 and met.where("a <> -1").isEmpty()
     assert time.monotonic() - began < 90
+
+
+def test_fingerprints_meet_by_blocks(spark, monkeypatch):
+    """Pairs within four bits are found by SimHash alone, and only those that the exact check lets pass."""
+    met = minhash._keyed
+    monkeypatch.setattr(minhash, "_keyed", lambda nodes: met(nodes).where("false"))
+    rng = random.Random(11)
+    texts = []
+    for _ in range(40):
+        base = prose(rng, rng.randint(100, 500))
+        texts += [base, edited(rng, base, rng.randint(1, 3))]
+    cycle = "red green blue white black " * 60  # equal fingerprints, unlike sets
+    texts += [cycle, cycle + "one two", "", None]
+    fps = [simhash.fingerprint(t, 5) for t in texts]
+    assert fps[80] == fps[81] and (80, 81) not in near(texts)
+    links = [(i, j) for i, j in near(texts) if (fps[i] ^ fps[j]).bit_count() <= 4]
+    assert 15 < len(links) < len(near(texts))
+    want = components(links, range(len(texts)))
+    assert sorted(r.doc_id for r in run(spark, list(enumerate(texts)))) == sorted(set(want.values()))
